@@ -44,6 +44,12 @@ def ret(c: Column, n: int, w: WindowSpec) -> Column:
     return F.try_divide(c, F.lag(c, n).over(w)) - 1
 
 
+def corr(x: Column, y: Column, frame: WindowSpec | None = None) -> Column:
+    """Correlation that is null, not an error, where one side is constant."""
+    over = (lambda a: a) if frame is None else (lambda a: a.over(frame))
+    return F.try_divide(over(F.covar_pop(x, y)), over(F.stddev_pop(x)) * over(F.stddev_pop(y)))
+
+
 def cumprod(r: Column, w: WindowSpec) -> Column:
     """Running product of 1 + r, where a null return counts as zero and 1 + r must be positive."""
     return F.exp(F.sum(F.ln(1 + F.coalesce(r, F.lit(0.0)))).over(running(w)))

@@ -338,7 +338,7 @@ def rank_ic(df: DataFrame, score: str, fut: str, min_names: int = 10) -> DataFra
     """Daily rank correlation of score and future return, for days with more than min_names names."""
     d = df.filter(c(score).isNotNull() & c(fut).isNotNull())
     d = d.withColumns({"__a": W.avg_rank(c(score), ["date"]), "__b": W.avg_rank(c(fut), ["date"])})
-    return d.groupBy("date").agg(F.corr("__a", "__b").alias("ic"), F.count("*").alias("n")).filter(c("n") > min_names)
+    return d.groupBy("date").agg(W.corr(c("__a"), c("__b")).alias("ic"), F.count("*").alias("n")).filter(c("n") > min_names)
 
 
 def rank_ic_summary(daily: DataFrame) -> DataFrame:

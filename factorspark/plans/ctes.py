@@ -28,9 +28,9 @@ CTES: dict[str, str] = {
         last(p_retailprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS close,
         CAST(sum(l_quantity) AS BIGINT) AS volume, round(sum(p_retailprice * l_quantity), 4) AS amount,
         round(sum(l_quantity) / 50.0, 6) AS turnover FROM f_lines GROUP BY p_type, code, date""",
-    "f_index": """SELECT series_id, date, px, round(px * (1 + CAST(0.0001 AS DOUBLE) * rn), 6) AS close, vol FROM (
+    "f_index": """SELECT series_id, date, px, px * (1 + CAST(0.0001 AS DOUBLE) * rn) AS close, vol FROM (
         SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) AS rn FROM (
-        SELECT series_id, date, round(avg(close), 6) AS px, CAST(sum(volume) AS BIGINT) AS vol FROM (
+        SELECT series_id, date, CAST(CAST(sum(CAST(round(close * 100) AS BIGINT)) AS BIGINT) * 10 // count(*) AS DOUBLE) / 1000 AS px, CAST(sum(volume) AS BIGINT) AS vol FROM (
         SELECT industry AS series_id, date, close, volume FROM f_members UNION ALL
         SELECT 'ALL' AS series_id, date, close, volume FROM f_members) GROUP BY series_id, date))""",
     "f_cal": """SELECT date, row_number() OVER (ORDER BY date) AS td_idx FROM (
@@ -48,7 +48,7 @@ CTES: dict[str, str] = {
         SELECT CAST(date_trunc('month', date) AS DATE) AS date, code, CAST(l_linenumber % 2 AS BIGINT) AS trade_id,
         CASE WHEN l_linestatus = 'F' THEN 'buy' ELSE 'sell' END AS side, CAST(l_suppkey AS VARCHAR) AS seat_code,
         round(sum(l_extendedprice), 2) AS v FROM f_lines GROUP BY 1, 2, 3, 4, 5)""",
-    "f_yield": """SELECT date, round(100 * avg(l_discount), 6) AS y10 FROM (
+    "f_yield": """SELECT date, CAST(CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS BIGINT) * 1000 // count(*) AS DOUBLE) / 1000 AS y10 FROM (
         SELECT CAST(l_shipdate AS DATE) AS date, l_discount FROM lineitem) WHERE isodow(date) = 1 GROUP BY date""",
     "f_runs": """SELECT o_orderpriority AS domain, CAST(o_orderdate AS DATE) AS run_date,
         max(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS bad, count(*) AS n FROM orders GROUP BY 1, 2""",

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "factorspark", memory: str = "20g") -> SparkSession:
@@ -38,3 +38,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="factorspark-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}") if "://" not in base else (
         f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it back: it is computed once, its lineage is
+    cut, and it outlives lost executors."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

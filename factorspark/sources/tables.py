@@ -92,10 +92,11 @@ class Tables:
     def index_series(self) -> DataFrame:
         """Price (px) and total-return (close) series per part type and for ALL."""
         m = self.members.select(F.explode(F.array("industry", F.lit("ALL"))).alias("series_id"), "date", "close", "volume")
+        # Prices are summed as whole cents and cut to 1/1000, so no sum depends on its order.
         g = m.groupBy("series_id", "date").agg(
-            F.round(F.avg("close"), 6).alias("px"), F.sum("volume").alias("vol"))
+            (F.expr("sum(cast(round(close * 100) as bigint)) * 10 div count(*)") / 1000.0).alias("px"), F.sum("volume").alias("vol"))
         td = F.row_number().over(Window.partitionBy("series_id").orderBy("date"))
-        return g.withColumn("close", F.round(F.col("px") * (1 + F.lit(0.0001) * td), 6)).select(
+        return g.withColumn("close", F.col("px") * (1 + F.lit(0.0001) * td)).select(
             "series_id", "date", "px", "close", "vol")
 
     @cached_property
@@ -142,7 +143,7 @@ class Tables:
         """A sparse series: Mondays only."""
         d = F.col("l_shipdate").cast("date")
         return self.raw("lineitem").select(d.alias("date"), "l_discount").filter(F.weekday("date") == 0).groupBy(
-            "date").agg(F.round(100 * F.avg("l_discount"), 6).alias("y10"))
+            "date").agg((F.expr("sum(cast(round(l_discount * 100) as bigint)) * 1000 div count(*)") / 1000.0).alias("y10"))
 
     @cached_property
     def quote_lines(self) -> DataFrame:
@@ -182,3 +183,4 @@ class Tables:
 def _holiday(d):
     doy = F.dayofyear(d)
     return doy.between(121, 123) | doy.between(274, 278)
+
