@@ -98,8 +98,13 @@ class BarStore:
     def _with_month(df: DataFrame) -> DataFrame:
         return df.withColumn("ym", C.month_key(c("date")))
 
+    @staticmethod
+    def _spread(df: DataFrame) -> DataFrame:
+        """Few files per month, yet a month with many rows spans several tasks."""
+        return df.repartitionByRange("ym", "code")
+
     def write_sealed(self, df: DataFrame) -> None:
-        self._with_month(df).repartition("ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.sealed_path)
+        self._spread(self._with_month(df)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.sealed_path)
 
     def append_day(self, df: DataFrame, day: str, overwrite: bool = False) -> str:
         """Idempotent append of one day: the same number of rows again is skipped, another number is an
@@ -119,7 +124,7 @@ class BarStore:
             month = old.filter((c("ym") == day[:7]) & (c("date") != d)).drop("ym").select(*BAR.fieldNames())
             self._replace(month.unionByName(new), self.incr_path)
             return "overwritten"
-        self._with_month(new).coalesce(1).write.mode("append").partitionBy("ym").parquet(self.incr_path)
+        self._with_month(new).repartitionByRange("code").write.mode("append").partitionBy("ym").parquet(self.incr_path)
         return "written"
 
     def append_frozen(self, df: DataFrame) -> None:
@@ -135,7 +140,7 @@ class BarStore:
         stage = f"{self.base}/stage-{uuid.uuid4().hex}"
         self._with_month(df).write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage)
-        staged.repartition("ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+        self._spread(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
 
     def rebuild_months(self, df: DataFrame) -> None:
         """Merge rows into their months: existing and new rows, the new ones win, no other code is lost."""
@@ -285,7 +290,7 @@ class EventStore:
     def _overwrite(self, df: DataFrame) -> None:
         stage = f"{self.stage_root}/{self.name}-{uuid.uuid4().hex}"
         df.write.parquet(stage)
-        self.spark.read.schema(df.schema).parquet(stage).repartition("day").write.mode("overwrite").option(
+        self.spark.read.schema(df.schema).parquet(stage).repartitionByRange("day", self.keys[1]).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(self.path)
 
 
