@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factorspark.session import materialize
+
 
 def by(key: str | Sequence[str] = "code", order: str = "date") -> WindowSpec:
     keys = [key] if isinstance(key, str) else list(key)
@@ -110,11 +112,13 @@ def with_streak(df: DataFrame, flag: Column, out: str, w: WindowSpec, keys: Sequ
         "__flag", "__seg")
 
 
-def with_ewm(df: DataFrame, specs: dict[str, tuple[str, float, int]], key: str = "code", order: str = "date") -> DataFrame:
+def with_ewm(df: DataFrame, specs: dict[str, tuple[str | tuple[str, str], float, int]], key: str = "code", order: str = "date") -> DataFrame:
     """Exponentially weighted means y = (1-a)·y + a·x per key, added as new columns.
 
-    specs maps the new column to (column, alpha, min_periods). The recursion has no built-in window
-    form, so each key's bars (bounded by the calendar) pass once through pandas in Arrow batches.
+    specs maps the new column to (input, alpha, min_periods). An input is a column, an earlier output, or a
+    pair (a, b) that stands for a - b. The recursion has no built-in window form, so each key's bars
+    (bounded by the calendar) pass once through pandas in Arrow batches: call this early, while the frame
+    is narrow, and once per query.
     """
     schema = T.StructType(list(df.schema.fields) + [T.StructField(o, T.DoubleType()) for o in specs])
     names = schema.fieldNames()
@@ -122,18 +126,80 @@ def with_ewm(df: DataFrame, specs: dict[str, tuple[str, float, int]], key: str =
     def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         for out, (col, alpha, min_periods) in specs.items():
-            pdf[out] = pdf[col].astype("float64").ewm(alpha=alpha, adjust=False, min_periods=min_periods).mean()
+            x = pdf[col] if isinstance(col, str) else pdf[col[0]] - pdf[col[1]]
+            pdf[out] = x.astype("float64").ewm(alpha=alpha, adjust=False, min_periods=min_periods).mean()
         return pdf[names]
 
     return df.groupBy(key).applyInPandas(smooth, schema)
 
 
-def bucketed_rank(df: DataFrame, value: str, by_cols: Sequence[str], out: str, buckets: int = 64) -> DataFrame:
-    """Averaged rank for cross-sections too large for one task.
-
-    Equal values are combined first, approximate quantiles split every cross-section into buckets,
-    ranks run inside a bucket and the counts of the lower buckets are added. The split only spreads
-    the work: the ranks are exact whatever the quantiles are.
+def is_wide(keys: DataFrame, column: str, limit: int = 2_000_000) -> bool:
+    """Whether more names than one task should rank at once can meet in a cross-section. Checked on the
+    table that lists the names, which is far smaller than their bars."""
+    return keys.agg(F.approx_count_distinct(column, 0.02)).first()[0] > limit
+
+
+def rank_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
+    """Averaged ranks in the cross-section: specs maps the new column to (column, ascending). Small
+    cross-sections are sorted in one task each, wide ones are split (see bucketed_rank)."""
+    if not wide:
+        return df.withColumns({o: avg_rank(F.col(v), by_cols, up) for o, (v, up) in specs.items()})
+    # Every rank reads the frame again, so it is written once; the plan grows with the number of ranks.
+    k = list(by_cols)
+    df = materialize(df, "ranks")
+    out_df = df
+    for out, (v, up) in specs.items():
+        pos = value_positions(df, v, k)
+        out_df = out_df.join(pos.select(*k, v, ((F.col("__first") + F.col("__last")) / F.lit(2.0) + 1).alias(out)), [*k, v], "left")
+    down = {o: v for o, (v, up) in specs.items() if not up}
+    if down:
+        inputs = list(dict.fromkeys(down.values()))
+        out_df = out_df.join(_counts(df, inputs, k), k)
+        out_df = out_df.withColumns({o: F.col(f"__n_{v}") + 1 - F.col(o) for o, v in down.items()}).drop(*[f"__n_{v}" for v in inputs])
+    return out_df
+
+
+def share_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
+    """Averaged ranks as a share of the non-null values of the cross-section (0 < p <= 1)."""
+    if not wide:
+        return df.withColumns({o: pct_rank(F.col(v), by_cols, up) for o, (v, up) in specs.items()})
+    inputs = list(dict.fromkeys(v for v, _ in specs.values()))
+    df = materialize(df, "shares")
+    n = _counts(df, inputs, by_cols)
+    df = rank_columns(df, specs, by_cols, wide=True).join(n, list(by_cols))
+    return df.withColumns({o: F.col(o) / F.col(f"__n_{v}") for o, (v, _) in specs.items()}).drop(*[f"__n_{v}" for v in inputs])
+
+
+def _counts(df: DataFrame, columns: Sequence[str], by_cols: Sequence[str]) -> DataFrame:
+    return df.groupBy(*by_cols).agg(*[F.count(v).alias(f"__n_{v}") for v in columns])
+
+
+def group_quantiles(df: DataFrame, value: str, by_cols: Sequence[str], cuts: Sequence[float], out: str, wide: bool = False) -> DataFrame:
+    """Interpolated quantiles per group as one array. The wide form finds the order statistics from the
+    exact positions of the distinct values instead of holding a group in one task."""
+    k = list(by_cols)
+    if not wide:
+        return df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.percentile(value, F.array(*[F.lit(x) for x in cuts])).alias(out))
+    pos = value_positions(df, value, k)
+    n = df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.count("*").alias("__n"))
+    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(cuts)])
+    marks = pos.join(n, k).withColumn("__p", F.explode(F.transform(points, lambda p: F.struct(p["i"].alias("i"), (p["q"] * (F.col("__n") - 1)).alias("at")))))
+    at, lo, hi = F.col("__p.at"), F.col("__first"), F.col("__last")
+    # A quantile between two values takes each with the weight of its distance.
+    share = F.when((F.floor(at) >= lo) & (F.floor(at) <= hi), 1 - (at - F.floor(at))).otherwise(0.0) + F.when(
+        (F.floor(at) + 1 >= lo) & (F.floor(at) + 1 <= hi), at - F.floor(at)).otherwise(0.0)
+    edges = marks.withColumn("__w", share).filter(F.col("__w") > 0).groupBy(*k, F.col("__p.i").alias("__i")).agg(
+        F.sum(F.col("__w") * F.col(value)).alias("__e"))
+    return edges.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("__i", "__e"))).alias("__a")).select(
+        *k, F.transform("__a", lambda x: x["__e"]).alias(out))
+
+
+def value_positions(df: DataFrame, value: str, by_cols: Sequence[str], buckets: int = 64) -> DataFrame:
+    """Distinct values per group with the 0-based positions of their first and last copy in sorted order.
+
+    Equal values are combined first; approximate quantiles split every group into buckets, positions run
+    inside a bucket and the counts of the lower buckets are added. The split only spreads the work: the
+    positions are exact whatever the quantiles are.
     """
     keys = list(by_cols)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
@@ -145,7 +211,12 @@ def bucketed_rank(df: DataFrame, value: str, by_cols: Sequence[str], out: str, b
     lower = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(*keys, "__b", F.coalesce(F.sum("__bn").over(lower), F.lit(0)).alias("__lower"))
     inside = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = spread.join(sizes, [*keys, "__b"]).select(
-        *keys, value,
-        (F.col("__lower") + F.coalesce(F.sum("__n").over(inside), F.lit(0)) + (F.col("__n") + 1) / F.lit(2.0)).alias(out))
-    return df.join(ranks, [*keys, value], "left")
+    first = F.col("__lower") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    return spread.join(sizes, [*keys, "__b"]).select(*keys, value, first.alias("__first"), (first + F.col("__n") - 1).alias("__last"))
+
+
+def bucketed_rank(df: DataFrame, value: str, by_cols: Sequence[str], out: str, buckets: int = 64) -> DataFrame:
+    """Averaged rank for cross-sections too large for one task (see value_positions)."""
+    pos = value_positions(df, value, by_cols, buckets)
+    ranks = pos.select(*by_cols, value, ((F.col("__first") + F.col("__last")) / F.lit(2.0) + 1).alias(out))
+    return df.join(ranks, [*by_cols, value], "left")

@@ -65,18 +65,22 @@ def timing_indicators(series: DataFrame, calendar: DataFrame, yields: DataFrame,
     """All columns the timing flags need. Input: series_id, date, px, close, vol."""
     w = W.by(KEY)
     px = c("px")
-    df = series.withColumns({
+    delta = px - F.lag(px).over(w)
+    df = series.withColumns({"up": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
+                             "dn": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0)))})
+    # The exponential means come first, while the frame is narrow.
+    df = W.with_ewm(df, {"ru": ("up", 1 / 14, 0), "rd": ("dn", 1 / 14, 0), "e12": ("px", 2 / 13, 0), "e26": ("px", 2 / 27, 0),
+                         "dea": (("e12", "e26"), 0.2, 0)}, key=KEY)
+    df = df.withColumns({
         "ma20": W.roll(px, 20, F.avg, w), "std20": W.roll(px, 20, F.stddev_pop, w), "ma200": W.roll(px, 200, F.avg, w),
         "ma250": W.roll(px, 250, F.avg, w), "lo63": W.prior(px, 63, F.min, w), "hi63": W.prior(px, 63, F.max, w),
-        "hi10": W.prior(px, 10, F.max, w), "delta": px - F.lag(px).over(w),
+        "hi10": W.prior(px, 10, F.max, w), "dif": c("e12") - c("e26"),
         "div_proxy": (C.div(c("close") / px, F.lag(c("close") / px, 252).over(w)) - 1) * 100,
         "vol5": W.roll(F.last("vol", ignorenulls=True).over(W.running(w)), 5, F.avg, w),
     })
     df = df.withColumns({
         "upper": c("ma20") + 2 * c("std20"), "lower": c("ma20") - 2 * c("std20"),
-        "up63": (C.div(px, c("lo63")) - 1) * 100, "dn63": (C.div(px, c("hi63")) - 1) * 100, "dn10": (C.div(px, c("hi10")) - 1) * 100,
-        "up": F.when(c("delta").isNotNull(), F.greatest(c("delta"), F.lit(0.0))),
-        "dn": F.when(c("delta").isNotNull(), F.greatest(-c("delta"), F.lit(0.0)))})
+        "up63": (C.div(px, c("lo63")) - 1) * 100, "dn63": (C.div(px, c("hi63")) - 1) * 100, "dn10": (C.div(px, c("hi10")) - 1) * 100})
     # Weekly values and the yield hold from the day they are known on.
     y = yields.select("date", "y10")
     df = df.join(weekly_indicators(series, calendar), [KEY, "date"], "left").join(F.broadcast(y), "date", "left")
@@ -84,19 +88,12 @@ def timing_indicators(series: DataFrame, calendar: DataFrame, yields: DataFrame,
     df = df.withColumn("spread", c("div_proxy") - c("y10"))
     n = int(params.val_years * 252)
     df = df.withColumn("spread_pct", W.rolling_pct_rank(F.round("spread", 9), n, int(n * 0.8), w))
-    df = _smooth(df)
     df = df.withColumns({"rsi": F.when(c("rd") == 0, F.when(c("ru") > 0, F.lit(100.0))).otherwise(100 - C.div(F.lit(100.0), 1 + C.div(c("ru"), c("rd")))),
                          "macd_hist": 2 * (c("dif") - c("dea"))})
     return df.withColumns({"hi10rsi": W.prior(c("rsi"), 10, F.max, w), "hi10macd": W.prior(c("macd_hist"), 10, F.max, w),
                            "j10": W.roll(c("wj"), 10, F.max, w), "r10": W.roll(c("wrsi"), 10, F.max, w)})
 
 
-def _smooth(df: DataFrame) -> DataFrame:
-    df = W.with_ewm(df, {"ru": ("up", 1 / 14, 0), "rd": ("dn", 1 / 14, 0), "e12": ("px", 2 / 13, 0), "e26": ("px", 2 / 27, 0)}, key=KEY)
-    df = df.withColumn("dif", c("e12") - c("e26"))
-    return W.with_ewm(df, {"dea": ("dif", 0.2, 0)}, key=KEY)
-
-
 def timing_flags(df: DataFrame, params: TimingParams = TimingParams()) -> DataFrame:
     """Oversold (two of four), overbought, divergence, crosses and lost momentum."""
     p, px = params, c("px")

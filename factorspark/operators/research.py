@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from factorspark.functions import columns as C
 from factorspark.functions import windows as W
 from factorspark.operators import stocks as K
+from factorspark.session import materialize
 
 c = F.col
 
@@ -368,6 +369,8 @@ def walk_forward_score(features: DataFrame, labels: DataFrame, days: DataFrame,
     va = VectorAssembler(inputCols=list(columns), outputCol="x", handleInvalid="skip")
     data = va.transform(features.select("code", "date", *columns).join(labels.select("code", "date", "label"), ["code", "date"], "left"))
     data = data.select("code", "date", "x", "label").join(F.broadcast(days.select("date", "td_idx")), "date")
+    # Every block reads these rows, so they are computed once.
+    data = materialize(data, "walk-forward")
     out = None
     for b in blocks.orderBy("block").collect():
         if scored_until is not None:
@@ -406,12 +409,13 @@ def period_of(date: Column, periods: Sequence[tuple[str, str, str | None]]) -> C
 
 
 def screen_sweep(ind: DataFrame, fut: str, grid: Sequence[tuple[str, float]], periods: Sequence[tuple[str, str, str | None]],
-                 base: K.ScreenParams) -> DataFrame:
+                 base: K.ScreenParams, wide: bool = False) -> DataFrame:
     """Hits, mean future return and win rate of the momentum screen per (parameter, value, period).
 
     One threshold moves at a time. All thresholds are tested on one pass over the indicator block.
     """
-    d = ind.withColumns({"rk": W.pct_rank(c("ret20"), ["date"]), "period": period_of(c("date"), periods)}).filter(c("period").isNotNull())
+    d = W.share_columns(ind, {"rk": ("ret20", True)}, ["date"], wide)
+    d = d.withColumn("period", period_of(c("date"), periods)).filter(c("period").isNotNull())
     d = d.filter(C.gt(c("close"), c("ma20")) & C.gt(c("ma20"), c("ma60")) & c("ma60_rising") & (c("ret120") > 0))
     d = with_grid(d.select("period", "rk", "ret20", "amt20", fut), grid)
     pick = lambda name, default: F.when(c("param") == name, c("value")).otherwise(F.lit(default))

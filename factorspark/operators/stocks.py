@@ -8,7 +8,6 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from factorspark.functions import columns as C
 from factorspark.functions import windows as W
@@ -39,10 +38,10 @@ def join_bases(hfq: DataFrame, raw: DataFrame) -> DataFrame:
     return hfq.select("code", "date", "open", "high", "low", "close").join(r, ["code", "date"], "left")
 
 
-def indicators(hfq: DataFrame, raw: DataFrame) -> DataFrame:
-    """The daily indicator block. All windows share one partitioning and one sort."""
+def indicators(df: DataFrame) -> DataFrame:
+    """The daily indicator block over joined bases (see join_bases). All windows share one partitioning
+    and one sort."""
     w = W.by()
-    df = join_bases(hfq, raw)
     px, vol = c("close"), c("volume")
     df = df.withColumns({
         **{f"ma{n}": W.roll(px, n, F.avg, w) for n in (5, 10, 20, 50, 60)},
@@ -71,13 +70,20 @@ def indicators(hfq: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def with_kdj(df: DataFrame) -> DataFrame:
-    """J of KDJ(9,3,3) and its distance below the 20-row mean."""
+    """J of KDJ(9,3,3) and its distance below the 20-row mean. Call it before the wide indicator block."""
+    df = W.with_ewm(_with_rsv(df), {"k": ("rsv", 1 / 3, 0), "d": ("k", 1 / 3, 0)})
+    return _with_j(df).drop("rsv", "k", "d")
+
+
+def _with_rsv(df: DataFrame) -> DataFrame:
     w = W.by()
     hh, ll = W.roll(c("high"), 9, F.max, w), W.roll(c("low"), 9, F.min, w)
-    df = df.withColumn("rsv", C.div(c("close") - ll, C.non_zero(hh - ll)) * 100)
-    df = W.with_ewm(df, {"k": ("rsv", 1 / 3, 0), "d": ("k", 1 / 3, 0)})
+    return df.withColumn("rsv", C.div(c("close") - ll, C.non_zero(hh - ll)) * 100)
+
+
+def _with_j(df: DataFrame) -> DataFrame:
     df = df.withColumn("kdj_j", 3 * c("k") - 2 * c("d"))
-    return df.withColumn("j_dev", W.roll(c("kdj_j"), 20, F.avg, w) - c("kdj_j")).drop("rsv", "k", "d")
+    return df.withColumn("j_dev", W.roll(c("kdj_j"), 20, F.avg, W.by()) - c("kdj_j"))
 
 
 def skew_sample(x: Column, w) -> Callable:
@@ -103,10 +109,16 @@ FEATURES = (
 ).split()
 
 
-def features(hfq: DataFrame, raw: DataFrame) -> DataFrame:
-    """The 35 model features per (code, date)."""
+def features(df: DataFrame, wide: bool = False) -> DataFrame:
+    """The 35 model features per (code, date) over joined bases."""
     w = W.by()
-    df = indicators(hfq, raw)
+    move = W.ret(c("close"), 1, w)
+    # All exponential means come first, while the frame is narrow.
+    df = _with_rsv(df).withColumns({"up": F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))),
+                                    "dn": F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))})
+    df = W.with_ewm(df, {"k": ("rsv", 1 / 3, 0), "d": ("k", 1 / 3, 0), "au": ("up", 1 / 14, 0), "ad": ("dn", 1 / 14, 0),
+                         "e12": ("close", 2 / 13, 0), "e26": ("close", 2 / 27, 0), "sig9": (("e12", "e26"), 2 / 10, 0)})
+    df = indicators(_with_j(df))
     px, r = c("close"), c("ret")
     full20 = F.count(r).over(W.last_rows(w, 20)) == 20
     spread = F.stddev_pop(r).over(W.last_rows(w, 20)) > 0
@@ -127,52 +139,23 @@ def features(hfq: DataFrame, raw: DataFrame) -> DataFrame:
         "bias20": C.div(px, c("ma20")) - 1,
         "bias60": C.div(px, c("ma60")) - 1,
         "win20": W.roll(F.coalesce((r > 0), F.lit(False)).cast("double"), 20, F.avg, w),
-        "up": F.when(r.isNotNull(), F.greatest(r, F.lit(0.0))),
-        "dn": F.when(r.isNotNull(), F.greatest(-r, F.lit(0.0))),
-        "rsv": C.div(px - W.roll(c("low"), 9, F.min, w),
-                     C.non_zero(W.roll(c("high"), 9, F.max, w) - W.roll(c("low"), 9, F.min, w))) * 100,
-    })
-    df = df.withColumn("amp20", W.roll(c("amp"), 20, F.avg, w))
-    df = _smooth_features(df)
-    df = df.withColumns({
         "rsi14": 100 - C.div(F.lit(100.0), 1 + C.div(c("au"), C.non_zero(c("ad")))),
-        "macd_hist": C.div(c("macd") - c("sig9"), px) * 100,
-        "kdj_j": 3 * c("k") - 2 * c("d"),
+        "macd_hist": C.div(c("e12") - c("e26") - c("sig9"), px) * 100,
     })
-    df = df.withColumn("j_dev", W.roll(c("kdj_j"), 20, F.avg, w) - c("kdj_j"))
-    ranks = {"rk_ret5": "ret5", "rk_ret20": "ret20", "rk_vol20": "vol20", "rk_amt20": "amt20", "rk_sharpe20": "sharpe20"}
-    df = df.withColumns({o: W.pct_rank(c(i), ["date"]) for o, i in ranks.items()})
+    df = df.withColumn("amp20", W.roll(c("amp"), 20, F.avg, w))
+    df = df.select("code", "date", "close", "amt20", *[f for f in FEATURES if not f.startswith("rk_")])
+    df = W.share_columns(df, {f"rk_{v}": (v, True) for v in ("ret5", "ret20", "vol20", "amt20", "sharpe20")}, ["date"], wide)
     return df.select("code", "date", "close", *FEATURES)
 
 
-def _smooth_features(df: DataFrame) -> DataFrame:
-    """All exponential means of the feature block in one pass per code."""
-    outs = ["k", "d", "au", "ad", "macd", "sig9"]
-    keep = list(df.schema.fields)
-    schema = T.StructType(keep + [T.StructField(o, T.DoubleType()) for o in outs])
-    names = schema.fieldNames()
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        mean = lambda s, **kw: s.astype("float64").ewm(adjust=False, **kw).mean()
-        pdf["k"] = mean(pdf["rsv"], alpha=1 / 3)
-        pdf["d"] = mean(pdf["k"], alpha=1 / 3)
-        pdf["au"] = mean(pdf["up"], alpha=1 / 14)
-        pdf["ad"] = mean(pdf["dn"], alpha=1 / 14)
-        pdf["macd"] = mean(pdf["close"], span=12) - mean(pdf["close"], span=26)
-        pdf["sig9"] = mean(pdf["macd"], span=9)
-        return pdf[names]
-
-    return df.groupBy("code").applyInPandas(smooth, schema)
-
-
-def momentum_screen(df: DataFrame, params: ScreenParams = ScreenParams()) -> Column:
-    """Boolean column of the momentum screen over the indicator block; null inputs give false."""
+def momentum_screen(df: DataFrame, params: ScreenParams = ScreenParams(), wide: bool = False) -> DataFrame:
+    """Add the rank ``rk`` of ret20 and the flag ``hit`` of the momentum screen to the indicator block; null
+    inputs give false."""
+    df = W.share_columns(df, {"rk": ("ret20", True)}, ["date"], wide)
     hit = (
-        (W.pct_rank(c("ret20"), ["date"]) >= params.rank_min)
-        & C.gt(c("close"), c("ma20")) & C.gt(c("ma20"), c("ma60")) & c("ma60_rising")
+        (c("rk") >= params.rank_min) & C.gt(c("close"), c("ma20")) & C.gt(c("ma20"), c("ma60")) & c("ma60_rising")
         & (c("ret20") < params.ret20_max) & (c("ret120") > 0) & (c("amt20") >= params.amt20_min))
-    return F.coalesce(hit, F.lit(False))
+    return df.withColumn("hit", F.coalesce(hit, F.lit(False)))
 
 
 def volume_shrink() -> Column:
@@ -234,30 +217,37 @@ SCORE_MODES: dict[str, Callable[[], Column]] = {
 }
 
 
-def scores(df: DataFrame, modes=tuple(SCORE_MODES)) -> DataFrame:
-    """Composite scores per day. Needs the indicator block with kdj columns; a null part gives null.
+# Rank column -> (indicator, ascending).
+RANKS = {"ret20": ("ret20", True), "sharpe20": ("sharpe20", True), "win60": ("win60", True), "trend": ("trend_streak", True),
+         "jdev": ("j_dev", True), "vol20": ("vol20", False), "liquid": ("liquidity", True), "jrev": ("j_dev", False)}
 
-    Each rank column is computed once from (rank, count) pairs that share a sort per input column.
-    """
-    d = ["date"]
-    inputs = {"ret20": "ret20", "sharpe20": "sharpe20", "win60": "win60", "trend": "trend_streak", "jdev": "j_dev"}
-    cols = {f"r_{k}": W.avg_rank(c(v), d) for k, v in inputs.items()}
-    cols["r_vol20"] = W.avg_rank(c("vol20"), d, ascending=False)
-    cols["r_liquid"] = W.avg_rank(C.div(F.lit(1.0), c("illiq20")), d)
-    cols["r_jrev"] = W.avg_rank(c("j_dev"), d, ascending=False)
-    df = df.withColumns(cols)
-    x = Window.partitionBy("date")
-    share = {f"p_{k}": c(f"r_{k}") / F.count(f"r_{k}").over(x) for k in ("ret20", "sharpe20", "win60", "trend", "jdev", "liquid", "jrev")}
-    share["p_lowvol"] = c("r_vol20") / F.count("r_vol20").over(x)
+
+# Ranks each mode reads.
+CORE = ("ret20", "sharpe20", "win60", "trend", "vol20")
+MODE_RANKS = {
+    "momentum": ("ret20",), "quality": CORE, "quality_kdj5": (*CORE, "jdev"), "quality_kdj10": (*CORE, "jdev"), "rrf": (*CORE, "jdev"),
+    "wrrf": (*CORE, "jdev"), "amihud": ("ret20", "liquid"), "voladj": ("sharpe20",), "kdj": ("jdev",), "kdj_rev": ("jrev",)}
+
+
+def scores(df: DataFrame, modes=tuple(SCORE_MODES), wide: bool = False) -> DataFrame:
+    """Composite scores per day. Needs the indicator block with kdj columns; a null part gives null."""
+    need = [k for k in RANKS if any(k in MODE_RANKS[m] for m in modes)]
+    df = df.withColumn("liquidity", C.div(F.lit(1.0), c("illiq20")))
+    cols = [f"r_{k}" for k in need]
+    df = W.rank_columns(df, {f"r_{k}": RANKS[k] for k in need}, ["date"], wide)
+    if wide:
+        df = df.join(df.groupBy("date").agg(*[F.count(RANKS[k][0]).alias(f"n_r_{k}") for k in need]), "date")
+    else:
+        df = df.withColumns({f"n_{x}": F.count(x).over(Window.partitionBy("date")) for x in cols})
+    share = {("p_lowvol" if k == "vol20" else f"p_{k}"): c(f"r_{k}") / c(f"n_r_{k}") for k in need}
     df = df.withColumns(share)
-    return df.withColumns({f"score_{m}": SCORE_MODES[m]() for m in modes}).drop(
-        *cols, *share)
+    return df.withColumns({f"score_{m}": SCORE_MODES[m]() for m in modes}).drop(*cols, *share, *[f"n_{x}" for x in cols], "liquidity")
 
 
-def signals(df: DataFrame, score: str, strategy: str = "momentum") -> DataFrame:
+def signals(df: DataFrame, score: str, strategy: str = "momentum", wide: bool = False) -> DataFrame:
     """Rows that pass the screen, with the score re-ranked within (date, strategy)."""
     out = df.filter("hit").select("date", F.lit(strategy).alias("strategy"), "code", c(score).alias("s"))
-    return out.withColumn("score", W.pct_rank(c("s"), ["date", "strategy"])).drop("s")
+    return W.share_columns(out, {"score": ("s", True)}, ["date", "strategy"], wide).drop("s")
 
 
 def regime(series: DataFrame, params: RegimeParams = RegimeParams()) -> DataFrame:
@@ -324,20 +314,19 @@ def forward_return(df: DataFrame, n: int, out: str = "fut") -> DataFrame:
     return df.withColumn(out, C.div(F.lead("close", n).over(w), c("close")) - 1)
 
 
-def quantile_labels(df: DataFrame, value: str, bins: int = 5, out: str = "label") -> DataFrame:
+def quantile_labels(df: DataFrame, value: str, bins: int = 5, out: str = "label", wide: bool = False) -> DataFrame:
     """Bin number of the value among the day's quantiles; equal edges are merged first."""
-    cuts = [i / bins for i in range(bins + 1)]
-    edges = df.filter(c(value).isNotNull()).groupBy("date").agg(
-        F.array_distinct(F.percentile(value, F.array(*[F.lit(x) for x in cuts]))).alias("__edges"))
+    edges = W.group_quantiles(df, value, ["date"], [i / bins for i in range(bins + 1)], "__edges", wide)
+    edges = edges.withColumn("__edges", F.array_distinct("__edges"))
     lab = F.greatest(F.lit(0), F.size(F.filter("__edges", lambda e: e < c(value))) - 1)
     return df.join(edges, "date", "left").withColumn(
         out, F.when(c(value).isNotNull() & (F.size("__edges") > 1), lab)).drop("__edges")
 
 
-def rank_ic(df: DataFrame, score: str, fut: str, min_names: int = 10) -> DataFrame:
+def rank_ic(df: DataFrame, score: str, fut: str, min_names: int = 10, wide: bool = False) -> DataFrame:
     """Daily rank correlation of score and future return, for days with more than min_names names."""
     d = df.filter(c(score).isNotNull() & c(fut).isNotNull())
-    d = d.withColumns({"__a": W.avg_rank(c(score), ["date"]), "__b": W.avg_rank(c(fut), ["date"])})
+    d = W.rank_columns(d, {"__a": (score, True), "__b": (fut, True)}, ["date"], wide)
     return d.groupBy("date").agg(W.corr(c("__a"), c("__b")).alias("ic"), F.count("*").alias("n")).filter(c("n") > min_names)
 
 

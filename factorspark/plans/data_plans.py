@@ -91,6 +91,12 @@ def p6(t):
     return rounded(B.reconcile_units(src), amount=4)
 
 
+@query("p7b_join_bases", f"""SELECT h.code, h.date, {R('h.close', 6)} AS close, r.volume, r.open AS raw_open, r.close AS raw_close FROM f_hfq AS h LEFT JOIN f_bars AS r USING (code, date)""")
+def p7b(t):
+    from factorspark.operators.stocks import join_bases
+    return rounded(join_bases(t.bars_hfq, t.bars).select("code", "date", "close", "volume", "raw_open", "raw_close"), close=6)
+
+
 @query("p7_attach_volume", f"""SELECT h.code, h.date, {R('h.close', 6)} AS close,
     CASE WHEN r.amount IS NULL THEN 0 ELSE r.volume END AS volume, coalesce(r.amount, 0) AS amount FROM f_hfq AS h LEFT JOIN (
     SELECT * FROM f_bars WHERE dayofmonth(date) <> 15) AS r USING (code, date)""")

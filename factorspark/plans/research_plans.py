@@ -47,7 +47,7 @@ STUDY = f"entry_date, {R('entry_px', 6)} AS entry_px, reason, CAST(hold_days AS
 
 
 def study(t):
-    bars = K.indicators(t.bars_hfq, t.bars)
+    bars = K.indicators(t.both_bases)
     bars = bars.withColumn("shrink", K.volume_shrink())
     return E.event_study(signal_table(t).select("code", "date"), bars)
 
@@ -269,9 +269,9 @@ PERIODS = [("1995-1996", "1995-01-01", "1996-12-31"), ("1997-1999", "1997-01-01"
     AND amt20 >= CASE WHEN param = 'amt20_min' THEN value ELSE 10000 END GROUP BY 1, 2, 3""".replace("f_screen JOIN f_fut USING (code, date)", "f_screen JOIN (SELECT code, date, fut FROM f_fut) USING (code, date)").replace(
     "f_close_ok", "close - ma20 > 1e-9 AND ma20 - ma60 > 1e-9 AND ma60_rising AND ret120 > 0"))
 def e10(t):
-    ind = K.indicators(t.bars_hfq, t.bars)
+    ind = K.indicators(t.both_bases)
     ind = ind.withColumn("fut", F.try_divide(F.lead("raw_close", 5).over(W.by()), c("raw_close")) - 1)
-    return rounded(E.screen_sweep(ind, "fut", GRID, PERIODS, K.ScreenParams(rank_min=0.80, amt20_min=10_000.0)), avg_fut=9, win_rate=9)
+    return rounded(E.screen_sweep(ind, "fut", GRID, PERIODS, K.ScreenParams(rank_min=0.80, amt20_min=10_000.0), t.wide), avg_fut=9, win_rate=9)
 
 
 # A score both engines compute alike: a congruential mix of seed, day position and industry.
@@ -343,8 +343,8 @@ def j9(t):
 
 @query("e13_walk_forward_score")
 def e13(t):
-    f = K.indicators(t.bars_hfq, t.bars).select("code", "date", "close", "ret20", "vol20", "sharpe20", "win60", "illiq20")
-    lab = K.quantile_labels(K.forward_return(t.bars, 5), "fut").select("code", "date", "label")
+    f = K.indicators(t.both_bases).select("code", "date", "close", "ret20", "vol20", "sharpe20", "win60", "illiq20")
+    lab = K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
     return E.walk_forward_score(f, lab, t.calendar, blocks(t, "2001-07-02"), ["ret20", "vol20", "sharpe20", "win60", "illiq20"], trees=3, depth=3)
 
 

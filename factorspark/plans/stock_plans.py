@@ -71,15 +71,13 @@ def ewm_cte(name: str, source: str, key: str, col: str, alpha: str, recursive_so
 
 def scored(t):
     """Indicator block with J columns and the screen flag."""
-    df = K.with_kdj(K.indicators(t.bars_hfq, t.bars))
-    return df.withColumn("hit", K.momentum_screen(df, FLAGSHIP))
+    return K.momentum_screen(K.indicators(K.with_kdj(t.both_bases)), FLAGSHIP, t.wide)
 
 
 @query("p16_momentum_screen", f"""SELECT date, code, {R('ret20', 9)} AS ret20, {R('rk', 9)} AS rk,
     {R('amt20', 4)} AS amt20 FROM f_screen WHERE hit""")
 def p16(t):
-    df = K.indicators(t.bars_hfq, t.bars)
-    df = df.withColumns({"rk": W.pct_rank(c("ret20"), ["date"]), "hit": K.momentum_screen(df, FLAGSHIP)})
+    df = K.momentum_screen(K.indicators(t.both_bases), FLAGSHIP, t.wide)
     return rounded(df.filter("hit").select("date", "code", "ret20", "rk", "amt20"), ret20=9, rk=9, amt20=4)
 
 
@@ -117,7 +115,7 @@ IND = dict(ma5=9, ma10=9, ma20=9, ma50=9, ma60=9, vol_ma5=6, vol_ma20=6, prev_vo
 @query("w4_indicators", f"""SELECT code, date, ma60_rising, trend_streak, raw_open, raw_close,
     {', '.join(f'{R(k, n)} AS {k}' for k, n in IND.items())} FROM f_ind""")
 def w4(t):
-    df = K.indicators(t.bars_hfq, t.bars)
+    df = K.indicators(t.both_bases)
     return rounded(df.select("code", "date", "ma60_rising", "trend_streak", "raw_open", "raw_close", *IND), **IND)
 
 
@@ -147,6 +145,18 @@ def w12b(t):
     return W.bucketed_rank(t.ubars.select("code", "date", "volume"), "volume", ["date"], "r", 16).select("code", "date", "r")
 
 
+@query("a22b_quantile_labels_wide", "SELECT code, date, CAST(label AS INTEGER) AS label FROM f_labels")
+def a22b(t):
+    return K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=True).select("code", "date", "label")
+
+
+@query("w22c_scores_wide", "SELECT code, date, " + ", ".join(f"{R(m, 9)} AS score_{m}" for m in ("amihud", "kdj_rev")) + " FROM f_scores")
+def w22c(t):
+    modes = ["amihud", "kdj_rev"]
+    df = K.scores(K.indicators(K.with_kdj(t.both_bases)), modes, wide=True)
+    return rounded(df.select("code", "date", *[f"score_{m}" for m in modes]), **{f"score_{m}": 9 for m in modes})
+
+
 @query("w13_xs_rank", f"""SELECT code, date, {R(sql_rank('volume'), 1)} AS r_up, {R(sql_rank('volume', direction='DESC'), 1)} AS r_down
     FROM f_bars""")
 def w13(t):
@@ -264,7 +274,7 @@ cte("f_feat", f"""SELECT f.*, {sql_roll("avg", "amp", 20)} AS amp20, 100 - 100 /
 
 @query("w6_features", f"""SELECT code, date, trend_streak, {', '.join(f'{R(k, n)} AS {k}' for k, n in FEAT.items())} FROM f_feat""")
 def w6(t):
-    return rounded(K.features(t.bars_hfq, t.bars).select("code", "date", "trend_streak", *FEAT), **FEAT)
+    return rounded(K.features(t.both_bases, t.wide).select("code", "date", "trend_streak", *FEAT), **FEAT)
 
 
 @query("p15_tradable", """SELECT b.code, b.date, b.close FROM f_bars AS b LEFT JOIN f_uni AS u USING (code)
@@ -276,7 +286,7 @@ def p15(t):
 
 @query("p17_volume_shrink", """SELECT code, date, coalesce(volume >= 2 * prev_vol_ma5 AND ret < 0 AND close < open, false) AS shrink FROM f_ind""")
 def p17(t):
-    df = K.indicators(t.bars_hfq, t.bars)
+    df = K.indicators(t.both_bases)
     return df.select("code", "date", K.volume_shrink().alias("shrink"))
 
 
@@ -309,7 +319,7 @@ cte("f_scores", """SELECT code, date, hit, p_ret20 AS momentum,
 
 @query("w22_scores", f"SELECT code, date, {', '.join(f'{R(m, 9)} AS score_{m}' for m in SC)} FROM f_scores")
 def w22(t):
-    df = K.scores(K.with_kdj(K.indicators(t.bars_hfq, t.bars)))
+    df = K.scores(K.indicators(K.with_kdj(t.both_bases)), wide=t.wide)
     return rounded(df.select("code", "date", *[f"score_{m}" for m in SC]), **{f"score_{m}": 9 for m in SC})
 
 
@@ -317,9 +327,9 @@ cte("f_signals", f"""SELECT date, 'momentum' AS strategy, code, {R(sql_pct('roun
 
 
 def signal_table(t):
-    df = K.scores(scored(t), ["quality_kdj5"])
+    df = K.scores(scored(t), ["quality_kdj5"], t.wide)
     df = df.withColumn("score_quality_kdj5", F.round("score_quality_kdj5", 12))
-    return rounded(K.signals(df, "score_quality_kdj5"), score=9)
+    return rounded(K.signals(df, "score_quality_kdj5", wide=t.wide), score=9)
 
 
 @query("w22b_signals", "SELECT date, strategy, code, score FROM f_signals")
@@ -363,7 +373,7 @@ cte("f_labels", """SELECT f.code, f.date, f.fut, CASE WHEN f.fut IS NOT NULL AND
 
 @query("a22_quantile_labels", "SELECT code, date, CAST(label AS INTEGER) AS label FROM f_labels")
 def a22(t):
-    return K.quantile_labels(K.forward_return(t.bars, 5), "fut").select("code", "date", "label")
+    return K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
 
 
 cte("f_ic", f"""SELECT date, corr(a, b) AS ic, count(*) AS n FROM (SELECT date, {sql_rank('ret20')} AS a, {sql_rank('fut')} AS b FROM (
@@ -374,11 +384,11 @@ cte("f_ic", f"""SELECT date, corr(a, b) AS ic, count(*) AS n FROM (SELECT date,
 @query("a21_rank_ic", f"SELECT date, {R('ic', 9)} AS ic, n FROM f_ic")
 def a21(t):
     df = K.forward_return(t.bars.withColumn("ret20", W.ret(c("close"), 20, W.by())), 5)
-    return rounded(K.rank_ic(df, "ret20", "fut"), ic=9)
+    return rounded(K.rank_ic(df, "ret20", "fut", wide=t.wide), ic=9)
 
 
 @query("a21b_rank_ic_summary", f"""SELECT {R('avg(ic)', 9)} AS ic_mean, {R('avg(ic) / stddev_samp(ic)', 9)} AS icir, count(*) AS days
     FROM f_ic WHERE ic IS NOT NULL AND NOT isnan(ic)""")
 def a21b(t):
     df = K.forward_return(t.bars.withColumn("ret20", W.ret(c("close"), 20, W.by())), 5)
-    return rounded(K.rank_ic_summary(K.rank_ic(df, "ret20", "fut")), ic_mean=9, icir=9)
+    return rounded(K.rank_ic_summary(K.rank_ic(df, "ret20", "fut", wide=t.wide)), ic_mean=9, icir=9)

@@ -18,6 +18,9 @@ def local_session(cpus: int = 8, app: str = "factorspark", memory: str = "20g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Bars are few but the windows over them are heavy: keep all cores busy after small shuffles.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")

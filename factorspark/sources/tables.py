@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
+from factorspark.functions import windows as W
 
 
 def brand_number(c):
@@ -27,6 +28,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def wide(self) -> bool:
+        """Whether the brands are too many to rank a day in one task; checked on the part table."""
+        return W.is_wide(self.raw("part"), "p_brand")
+
     @cached_property
     def lines(self) -> DataFrame:
         """Weekday line items with their part: code, date, type and price."""
@@ -35,9 +41,7 @@ class Tables:
         return li.join(part, li.l_partkey == part.p_partkey).withColumn("code", F.col("p_brand"))
 
     def _bars(self, df: DataFrame, *keys: str) -> DataFrame:
-        # (order, line, part) fixes the price, so ties beyond it cannot change open or close.
-        seq = F.struct("l_orderkey", "l_linenumber", "l_partkey")
-        px = F.col("p_retailprice")
+        seq, px = _sequence(), F.col("p_retailprice")
         return df.groupBy(*keys).agg(
             F.min_by(px, seq).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
             F.max_by(px, seq).alias("close"), F.sum("l_quantity").cast("bigint").alias("volume"),
@@ -56,11 +60,22 @@ class Tables:
         return b.select("code", "date", *[(F.col(c) * k).alias(c) for c in ("open", "high", "low", "close")],
                         "volume", "amount")
 
+    @cached_property
+    def both_bases(self) -> DataFrame:
+        """Back-adjusted prices next to the raw volume, amount and prices, in one pass over the lines; the
+        same rows as ``stocks.join_bases(bars_hfq, bars)``."""
+        k = 1 + F.lit(0.001) * brand_number(F.col("code"))
+        return self.bars.select(
+            "code", "date", *[(F.col(c) * k).alias(c) for c in ("open", "high", "low", "close")], "volume", "amount",
+            F.col("open").alias("raw_open"), F.col("close").alias("raw_close"))
+
     @cached_property
     def ubars(self) -> DataFrame:
         """Daily bars per user, with codes spread over all boards."""
         ev = self.raw("events").select("event_id", "ts", "user_id", "value", F.col("ts").cast("date").alias("date"))
-        seq, v = F.struct("ts", "event_id"), F.col("value")
+        v = F.col("value")
+        # Microseconds, then event number: the order of ticks as one number.
+        seq = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + F.col("event_id").cast("decimal(18,0)")
         g = ev.groupBy("user_id", "date").agg(
             F.min_by(v, seq).alias("open"), F.max(v).alias("high"), F.min(v).alias("low"),
             F.max_by(v, seq).alias("close"), F.count("*").alias("volume"), F.round(F.sum(v), 4).alias("amount"))
@@ -77,8 +92,7 @@ class Tables:
     @cached_property
     def members(self) -> DataFrame:
         """Daily bars of industry members (brand within type) with a turnover column."""
-        px = F.col("p_retailprice")
-        seq = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+        seq, px = _sequence(), F.col("p_retailprice")
         g = self.lines.groupBy("p_type", "p_brand", "date").agg(
             F.min_by(px, seq).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
             F.max_by(px, seq).alias("close"), F.sum("l_quantity").alias("q"),
@@ -180,6 +194,13 @@ class Tables:
                          F.lit("rows"), F.col("n").cast("string")).alias("stages"))
 
 
+def _sequence():
+    """Trading order of line items as one number. (order, line, part) fixes the price, so ties beyond it
+    cannot change open or close; a flat number keeps the grouping in hash aggregation."""
+    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(8).cast("decimal(1,0)") + F.col("l_linenumber").cast("decimal(10,0)")
+    return order.cast("decimal(22,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("l_partkey").cast("decimal(18,0)")
+
+
 def _holiday(d):
     doy = F.dayofyear(d)
     return doy.between(121, 123) | doy.between(274, 278)
