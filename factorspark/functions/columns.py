@@ -115,3 +115,9 @@ def iso_week_key(d: Column) -> Column:
 
 def month_key(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM")
+
+
+def tick_order(ts: Column, seq: Column) -> Column:
+    """Time and event number as one flat number, so that first/last picks stay in hash aggregation."""
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(19,0)")
+    return micros * F.lit(10**18).cast("decimal(19,0)") + seq.cast("decimal(18,0)")

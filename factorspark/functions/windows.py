@@ -179,7 +179,8 @@ def group_quantiles(df: DataFrame, value: str, by_cols: Sequence[str], cuts: Seq
     exact positions of the distinct values instead of holding a group in one task."""
     k = list(by_cols)
     if not wide:
-        return df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.percentile(value, F.array(*[F.lit(x) for x in cuts])).alias(out))
+        # Adding zero makes -0.0 and 0.0 one value.
+        return df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.percentile(F.col(value) + F.lit(0.0), F.array(*[F.lit(x) for x in cuts])).alias(out))
     pos = value_positions(df, value, k)
     n = df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.count("*").alias("__n"))
     points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(cuts)])

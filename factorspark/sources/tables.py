@@ -74,8 +74,7 @@ class Tables:
         """Daily bars per user, with codes spread over all boards."""
         ev = self.raw("events").select("event_id", "ts", "user_id", "value", F.col("ts").cast("date").alias("date"))
         v = F.col("value")
-        # Microseconds, then event number: the order of ticks as one number.
-        seq = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + F.col("event_id").cast("decimal(18,0)")
+        seq = C.tick_order(F.col("ts"), F.col("event_id"))
         g = ev.groupBy("user_id", "date").agg(
             F.min_by(v, seq).alias("open"), F.max(v).alias("high"), F.min(v).alias("low"),
             F.max_by(v, seq).alias("close"), F.count("*").alias("volume"), F.round(F.sum(v), 4).alias("amount"))

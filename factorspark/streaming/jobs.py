@@ -61,7 +61,7 @@ def _bars(ticks: DataFrame, span: str, start: str | None, delay: str) -> DataFra
     """Bars per code and window from (code, ts, seq, value); a window is emitted once it is closed."""
     t = ticks.withColumn("ts", c("ts").cast("timestamp")).withWatermark("ts", delay)
     win = F.window("ts", span, startTime=start) if start else F.window("ts", span)
-    order, v = F.struct("ts", "seq"), c("value")
+    order, v = C.tick_order(c("ts"), c("seq")), c("value")
     g = t.groupBy(win.alias("w"), "code").agg(
         F.min_by(v, order).alias("open"), F.max(v).alias("high"), F.min(v).alias("low"), F.max_by(v, order).alias("close"),
         F.count("*").alias("volume"), F.sum(v).alias("amount"))
