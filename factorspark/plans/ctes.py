@@ -10,9 +10,9 @@ CTES: dict[str, str] = {
         l.l_returnflag, l.l_linestatus
         FROM lineitem AS l JOIN part AS p ON l.l_partkey = p.p_partkey
         WHERE isodow(CAST(l.l_shipdate AS DATE)) <= 5""",
-    "f_bars": """SELECT code, date, first(p_retailprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS open,
+    "f_bars": """SELECT code, date, first(p_retailprice ORDER BY l_orderkey, l_linenumber, p_retailprice) AS open,
         max(p_retailprice) AS high, min(p_retailprice) AS low,
-        last(p_retailprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS close,
+        last(p_retailprice ORDER BY l_orderkey, l_linenumber, p_retailprice) AS close,
         CAST(sum(l_quantity) AS BIGINT) AS volume, round(sum(p_retailprice * l_quantity), 4) AS amount
         FROM f_lines GROUP BY code, date""",
     "f_hfq": """SELECT code, date, open * k AS open, high * k AS high, low * k AS low, close * k AS close, volume, amount
@@ -23,9 +23,9 @@ CTES: dict[str, str] = {
         last(value ORDER BY ts, event_id) AS close, count(*) AS volume, round(sum(value), 4) AS amount
         FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "f_members": """SELECT p_type AS industry, code || '/' || p_type AS code, date,
-        first(p_retailprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS open,
+        first(p_retailprice ORDER BY l_orderkey, l_linenumber, p_retailprice) AS open,
         max(p_retailprice) AS high, min(p_retailprice) AS low,
-        last(p_retailprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS close,
+        last(p_retailprice ORDER BY l_orderkey, l_linenumber, p_retailprice) AS close,
         CAST(sum(l_quantity) AS BIGINT) AS volume, round(sum(p_retailprice * l_quantity), 4) AS amount,
         round(sum(l_quantity) / 50.0, 6) AS turnover FROM f_lines GROUP BY p_type, code, date""",
     "f_index": """SELECT series_id, date, px, px * (1 + CAST(0.0001 AS DOUBLE) * rn) AS close, vol FROM (

@@ -15,6 +15,10 @@ from factorspark.functions import columns as C
 from factorspark.functions import windows as W
 
 
+# Schemas by path, so that each file is inspected once per process.
+_SCHEMAS: dict = {}
+
+
 def brand_number(c):
     return F.regexp_extract(c, r"(\d+)", 1).cast("int")
 
@@ -26,7 +30,10 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def wide(self) -> bool:
@@ -38,13 +45,14 @@ class Tables:
         """Weekday line items with their part: code, date, type and price."""
         part = self.raw("part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
         li = self.raw("lineitem").withColumn("date", F.col("l_shipdate").cast("date")).filter(F.weekday("date") < 5)
-        return li.join(part, li.l_partkey == part.p_partkey).withColumn("code", F.col("p_brand"))
+        out = li.join(part, li.l_partkey == part.p_partkey)
+        return out.withColumns({"code": F.col("p_brand"), "packed": _packed(F.col("p_retailprice"))})
 
     def _bars(self, df: DataFrame, *keys: str) -> DataFrame:
-        seq, px = _sequence(), F.col("p_retailprice")
+        px = F.col("p_retailprice")
         return df.groupBy(*keys).agg(
-            F.min_by(px, seq).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
-            F.max_by(px, seq).alias("close"), F.sum("l_quantity").cast("bigint").alias("volume"),
+            _price(F.min("packed")).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
+            _price(F.max("packed")).alias("close"), F.sum("l_quantity").cast("bigint").alias("volume"),
             F.round(F.sum(px * F.col("l_quantity")), 4).alias("amount"))
 
     @cached_property
@@ -91,10 +99,10 @@ class Tables:
     @cached_property
     def members(self) -> DataFrame:
         """Daily bars of industry members (brand within type) with a turnover column."""
-        seq, px = _sequence(), F.col("p_retailprice")
+        px = F.col("p_retailprice")
         g = self.lines.groupBy("p_type", "p_brand", "date").agg(
-            F.min_by(px, seq).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
-            F.max_by(px, seq).alias("close"), F.sum("l_quantity").alias("q"),
+            _price(F.min("packed")).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
+            _price(F.max("packed")).alias("close"), F.sum("l_quantity").alias("q"),
             F.round(F.sum(px * F.col("l_quantity")), 4).alias("amount"))
         return g.select(
             F.col("p_type").alias("industry"), F.concat("p_brand", F.lit("/"), "p_type").alias("code"), "date",
@@ -193,11 +201,21 @@ class Tables:
                          F.lit("rows"), F.col("n").cast("string")).alias("stages"))
 
 
-def _sequence():
-    """Trading order of line items as one number. (order, line, part) fixes the price, so ties beyond it
-    cannot change open or close; a flat number keeps the grouping in hash aggregation."""
-    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(8).cast("decimal(1,0)") + F.col("l_linenumber").cast("decimal(10,0)")
-    return order.cast("decimal(22,0)") * F.lit(10**12).cast("decimal(13,0)") + F.col("l_partkey").cast("decimal(18,0)")
+# Prices must stay below 2**20 cents; order numbers then have 40 bits left in one BIGINT.
+PRICE_BITS = 20
+
+
+def _packed(price):
+    """(order, line, price) as one ordered BIGINT: its least and greatest value per group hold the first and
+    last price, and plain min/max stay in hash aggregation."""
+    cents = F.round(price * 100).cast("bigint")
+    seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    fits = cents.between(0, 2**PRICE_BITS - 1)
+    return F.when(fits, seq * 2**PRICE_BITS + cents).otherwise(F.raise_error(F.lit("price out of range")).cast("bigint"))
+
+
+def _price(packed):
+    return packed.bitwiseAND(F.lit(2**PRICE_BITS - 1)) / 100.0
 
 
 def _holiday(d):
