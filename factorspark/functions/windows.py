@@ -81,6 +81,18 @@ def zscore(v: Column, by_cols: Sequence[str]) -> Column:
     return F.when(v.isNotNull(), F.when(sd > 1e-12, (v - F.avg(v).over(x)) / sd).otherwise(F.lit(0.0)))
 
 
+def zscore_columns(df: DataFrame, specs: dict[str, str], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
+    """Population z-scores: specs maps the new column to its input. The wide form joins one row of means and
+    spreads per cross-section instead of passing the cross-section through one task."""
+    if not wide:
+        return df.withColumns({o: zscore(F.col(v), by_cols) for o, v in specs.items()})
+    stats = [f(v).alias(f"__{n}_{v}") for v in dict.fromkeys(specs.values()) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+    out = df.join(df.groupBy(*by_cols).agg(*stats), list(by_cols), "left")
+    z = {o: F.when(F.col(v).isNotNull(), F.when(F.col(f"__s_{v}") > 1e-12, (F.col(v) - F.col(f"__m_{v}")) / F.col(f"__s_{v}")).otherwise(F.lit(0.0)))
+         for o, v in specs.items()}
+    return out.withColumns(z).select(*df.columns, *specs)
+
+
 def rolling_share_le(v: Column, n: int, w: WindowSpec) -> Column:
     """Share of the last n values that are <= the current one; needs n non-null values."""
     frame = last_rows(w, n)

@@ -74,11 +74,26 @@ def pool_summary(daily: DataFrame, broken: DataFrame) -> DataFrame:
         F.coalesce("max_lb", F.lit(0)).alias("max_lb"), F.to_json("lb_dist").alias("lb_dist"))
 
 
-def rank_seats(seats: DataFrame) -> DataFrame:
-    """Rank per (date, code, trade, side) by the amount of that side."""
+SEAT_GROUP = ("date", "code", "trade_id", "side")
+
+
+def rank_seats(seats: DataFrame, wide: bool = False) -> DataFrame:
+    """Rank per (date, code, trade, side) by the amount of that side, equal amounts by seat code.
+
+    The wide form is for groups too large for one task: positions come from the distinct amounts, which
+    spread over many tasks, and only seats of one and the same amount are numbered together.
+    """
     amount = F.when(c("side") == "buy", F.coalesce("buy", F.lit(0.0))).otherwise(F.coalesce("sell", F.lit(0.0)))
-    w = Window.partitionBy("date", "code", "trade_id", "side").orderBy(amount.desc(), "seat_code")
-    return seats.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    if not wide:
+        w = Window.partitionBy(*SEAT_GROUP).orderBy(amount.desc(), "seat_code")
+        return seats.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    d = seats.withColumn("__amt", amount)
+    pos = W.value_positions(d, "__amt", SEAT_GROUP)
+    n = d.groupBy(*SEAT_GROUP).agg(F.count("*").alias("__n"))
+    same = Window.partitionBy(*SEAT_GROUP, "__amt").orderBy("seat_code")
+    d = d.join(pos, [*SEAT_GROUP, "__amt"]).join(n, list(SEAT_GROUP))
+    rank = c("__n") - 1 - c("__last") + F.row_number().over(same)
+    return d.withColumn("rank", rank.cast("bigint")).select(*seats.columns, "rank")
 
 
 def seat_net(seats: DataFrame) -> DataFrame:

@@ -77,6 +77,12 @@ def w20(t):
     return L.rank_seats(t.seats).select("date", "code", "trade_id", "side", "seat_code", "rank")
 
 
+@query("w20b_rank_seats_wide", """SELECT date, code, trade_id, side, seat_code, row_number() OVER (PARTITION BY date, code, trade_id, side
+    ORDER BY CASE WHEN side = 'buy' THEN buy ELSE sell END DESC, seat_code) AS rank FROM f_seats""")
+def w20b(t):
+    return L.rank_seats(t.seats, wide=True).select("date", "code", "trade_id", "side", "seat_code", "rank")
+
+
 @query("a15_seat_net", """SELECT seat_code, round(sum(buy) - sum(sell), 2) AS net, count(DISTINCT code) AS codes, count(*) AS "rows" FROM f_seats GROUP BY seat_code""")
 def a15(t):
     return L.seat_net(t.seats)

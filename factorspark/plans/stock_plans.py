@@ -137,7 +137,7 @@ def w5(t):
 @query("w12_xs_pct_rank", f"SELECT code, date, {R(sql_pct('ret'), 9)} AS p FROM f_ind1")
 def w12(t):
     df = t.bars_hfq.withColumn("ret", W.ret(c("close"), 1, W.by()))
-    return rounded(df.select("code", "date", W.pct_rank(c("ret"), ["date"]).alias("p")), p=9)
+    return rounded(W.share_columns(df.select("code", "date", "ret"), {"p": ("ret", True)}, ["date"], t.wide).drop("ret"), p=9)
 
 
 @query("w12b_xs_rank_bucketed", f"""SELECT code, date, {R(sql_rank('volume'), 1)} AS r FROM f_ubars""")
@@ -160,15 +160,15 @@ def w22c(t):
 @query("w13_xs_rank", f"""SELECT code, date, {R(sql_rank('volume'), 1)} AS r_up, {R(sql_rank('volume', direction='DESC'), 1)} AS r_down
     FROM f_bars""")
 def w13(t):
-    return t.bars.select("code", "date", W.avg_rank(c("volume"), ["date"]).alias("r_up"),
-                         W.avg_rank(c("volume"), ["date"], ascending=False).alias("r_down"))
+    b = t.bars.select("code", "date", "volume")
+    return W.rank_columns(b, {"r_up": ("volume", True), "r_down": ("volume", False)}, ["date"], t.wide).drop("volume")
 
 
 @query("w14_xs_zscore", f"""SELECT code, date, {R('''CASE WHEN ret IS NOT NULL THEN CASE WHEN stddev_pop(ret) OVER (PARTITION BY date) > 1e-12
     THEN (ret - avg(ret) OVER (PARTITION BY date)) / stddev_pop(ret) OVER (PARTITION BY date) ELSE 0 END END''', 9)} AS z FROM f_ind1""")
 def w14(t):
     df = t.bars_hfq.withColumn("ret", W.ret(c("close"), 1, W.by()))
-    return rounded(df.select("code", "date", W.zscore(c("ret"), ["date"]).alias("z")), z=9)
+    return rounded(W.zscore_columns(df.select("code", "date", "ret"), {"z": "ret"}, ["date"], t.wide).drop("ret"), z=9)
 
 
 @query("w8_cumprod", f"""SELECT code, date, {R('exp(sum(ln(1 + coalesce(ret, 0))) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING))', 9)} AS nav

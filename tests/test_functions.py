@@ -101,6 +101,25 @@ def test_cross_section_ranks_match_pandas(spark, panel, wide):
     same(out["p"], g["x"].rank(pct=True))
 
 
+def test_zscores_of_both_forms_agree(spark, panel):
+    df = pdf_to_spark(spark, panel)
+    a = collect(W.zscore_columns(df, {"z": "x"}, ["date"]), "z")
+    b = collect(W.zscore_columns(df, {"z": "x"}, ["date"], wide=True), "z")
+    same(a["z"], b["z"])
+
+
+def test_seat_ranks_of_one_hot_group(spark):
+    """One group holds most seats, many with the same amount."""
+    from factorspark.operators.limits import rank_seats
+    rows = [("2025-01-02", "600000", 1, "buy", f"s{i:04d}", float(i % 37), 0.0) for i in range(900)] + [("2025-01-02", "600001", 2, "sell", "s1", 0.0, None)]
+    df = spark.createDataFrame(rows, "date string, code string, trade_id long, side string, seat_code string, buy double, sell double")
+    key = lambda d: sorted((r.code, r.seat_code, r["rank"]) for r in d.collect())
+    want = sorted(rows[:900], key=lambda r: (-r[5], r[4]))
+    got = key(rank_seats(df, wide=True))
+    assert got == key(rank_seats(df))
+    assert {(s, r) for k, s, r in got if k == "600000"} == {(r[4], i + 1) for i, r in enumerate(want)}
+
+
 def test_bucketed_rank_with_one_hot_value(spark):
     """Two thirds of one group share a value; the ranks stay exact and no row is lost."""
     vals = [7.0] * 400 + [float(i) for i in range(200)]
