@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
-from factorspark.functions import windows as W
 from factorspark.operators import bars as B
 from factorspark.operators import calendar as cal
 from factorspark.operators import joins as J
@@ -428,10 +427,11 @@ def t5(t):
     return head.unionByName(tail)
 
 
-@query("t6_best_per_key", "SELECT code, CAST(date_trunc('year', date) AS DATE) AS year, max(amount) AS amount, arg_max(date, amount) AS date FROM f_bars GROUP BY 1, 2")
+@query("t6_best_per_key", """SELECT code, year, amount, date FROM (SELECT *, row_number() OVER (PARTITION BY code, year ORDER BY amount DESC, date DESC) AS rn FROM (
+    SELECT code, CAST(date_trunc('year', date) AS DATE) AS year, amount, date FROM f_bars)) WHERE rn = 1""")
 def t6(t):
     df = t.bars.select("code", F.trunc("date", "year").alias("year"), "amount", "date")
-    return B.best_per_key(df, ["code", "year"], ["amount"]).select("code", "year", "amount", "date")
+    return B.best_per_key(df, ["code", "year"], ["amount", "date"]).select("code", "year", "amount", "date")
 
 
 # ---- gates and audits --------------------------------------------------------------------------

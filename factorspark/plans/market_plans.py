@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factorspark.functions import windows as W
-from factorspark.operators import bars as B
 from factorspark.operators import indices as I
 from factorspark.operators import limits as L
 from factorspark.operators import sectors as S

@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from factorspark.functions import windows as W
 from factorspark.operators import reconcile as RC
 from factorspark.operators import research as E
-from factorspark.operators import sectors as S
 from factorspark.operators import stocks as K
 from factorspark.plans.ctes import cte
-from factorspark.plans.data_plans import day
 from factorspark.plans.market_plans import sector_table, sector_targets
 from factorspark.plans.registry import R, query, rounded
-from factorspark.plans.stock_plans import signal_table, sql_pct, sql_roll
+from factorspark.plans.stock_plans import signal_table
 from factorspark.session import materialize
 from factorspark.sources.tables import brand_number
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
-from factorspark.operators import bars as B
 from factorspark.operators import limits as L
 from factorspark.plans.ctes import cte
-from factorspark.plans.data_plans import MARKET_SQL, PREFIX_SQL, day, shards
+from factorspark.plans.data_plans import PREFIX_SQL, day, shards
 from factorspark.plans.registry import R, query, rounded
 from factorspark.schema import BAR
 from factorspark.session import shared_dir

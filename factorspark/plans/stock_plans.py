@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factorspark.functions import columns as C
 from factorspark.functions import windows as W
 from factorspark.operators import stocks as K
 from factorspark.plans.ctes import cte

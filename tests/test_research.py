@@ -1,8 +1,5 @@
-import datetime as dt
-
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from factorspark.operators import joins as J
@@ -152,7 +149,6 @@ def test_stream_append_once_survives_a_rerun(spark, tmp_path):
 
 
 def test_walk_forward_scores_only_new_dates(spark):
-    from factorspark.plans.registry import QUERIES  # noqa: F401
     rng = np.random.default_rng(8)
     d = days(120)
     cal = spark.createDataFrame([(x, i + 1) for i, x in enumerate(d)], "date date, td_idx long")
