@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import bpe, langid, packing, simhash, toxicity
+from factorspark.llm import bpe, html_text, langid, packing, quality, simhash, topk, toxicity, urls, vectors
 from factorspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,16 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
@@ -31,6 +41,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+URL_RULES = [urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+             urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/")]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.verdicts(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -45,8 +65,45 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.train(docs, held=(4, 2)))
     return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels"), held=(5, 0)))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+ORACLES["op1_vectors"] = """
+with recursive rows as (select vec_id, label, list_transform(embedding, lambda x: x::double) v from embeddings
+    where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id a, b.vec_id b from rows a join rows b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.93),
+reached as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a)
+select e.vec_id, coalesce(n.n, 0)::bigint n_links, least(e.vec_id, coalesce(r.low, e.vec_id)) component_id,
+    least(e.vec_id, coalesce(r.low, e.vec_id)) = e.vec_id kept
+from (select distinct vec_id from embeddings) e left join (select a, count(*) n from links group by a) n on n.a = e.vec_id
+left join (select a, min(b) low from reached group by a) r on r.a = e.vec_id
+"""
+
+ORACLES["op8_top_k"] = """
+with rows as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) v from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scores as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint score
+    from rows q join rows c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+ranked as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer rank, vec_id, score from scores)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
