@@ -52,9 +52,19 @@ def corr(x: Column, y: Column, frame: WindowSpec | None = None) -> Column:
     return F.try_divide(over(F.covar_pop(x, y)), over(F.stddev_pop(x)) * over(F.stddev_pop(y)))
 
 
+def product_of(x: Column, over: Callable[[Column], Column] = lambda a: a) -> Column:
+    """Product of the values of an aggregate or window: zeros and signs are counted beside the sum of logarithms. Null
+    where no value is there; null values are skipped."""
+    zeros = over(F.count_if(x == 0))
+    negative = over(F.count_if(x < 0))
+    size = F.exp(F.coalesce(over(F.sum(F.when(x != 0, F.ln(F.abs(x))))), F.lit(0.0)))
+    signed = F.when(negative % 2 == 1, -size).otherwise(size)
+    return F.when(over(F.count(x)) > 0, F.when(zeros > 0, F.lit(0.0)).otherwise(signed))
+
+
 def cumprod(r: Column, w: WindowSpec) -> Column:
-    """Running product of 1 + r, where a null return counts as zero and 1 + r must be positive."""
-    return F.exp(F.sum(F.ln(1 + F.coalesce(r, F.lit(0.0)))).over(running(w)))
+    """Running product of 1 + r, where a null return counts as zero; a total loss keeps the product at zero."""
+    return product_of(1 + F.coalesce(r, F.lit(0.0)), lambda a: a.over(running(w)))
 
 
 def drawdown(nav: Column, w: WindowSpec) -> Column:

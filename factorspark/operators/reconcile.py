@@ -17,22 +17,43 @@ SEVERITY = ("PROMOTE-READY", "NOT-STARTED", "MISSING", "BLOCKED")
 MAP = "map<string,string>"
 
 
-def flatten_payload(df: DataFrame, depth: int = 4) -> DataFrame:
+#: A key that changes on every run with its value: a scalar, or an object or list of scalars.
+_VOLATILE_PAIR = (r'(?<!\\)"(?:' + "|".join(VOLATILE) + r')":(?:"(?:[^"\\]|\\.)*"|[-+.0-9eE]+|true|false|null|\{[^{}]*\}|\[[^\[\]]*\])')
+
+
+def strip_volatile(payload: Column) -> Column:
+    """The payload as canonical JSON without the keys that change on every run, at every depth and inside lists."""
+    text = F.to_json(F.try_parse_json(payload))
+    text = F.regexp_replace(text, _VOLATILE_PAIR + ",", "")
+    return F.regexp_replace(text, "(?:,)?" + _VOLATILE_PAIR, "")
+
+
+def nesting(payload: Column) -> Column:
+    """Levels of objects and lists in a JSON text."""
+    marks = F.split(F.regexp_replace(F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", ""), "")
+    step = lambda a, x: F.struct((a["d"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("d"),
+                                 F.greatest(a["m"], a["d"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("m"))
+    return F.aggregate(marks, F.struct(F.lit(0).alias("d"), F.lit(0).alias("m")), step)["m"]
+
+
+def flatten_payload(df: DataFrame, depth: int | None = None) -> DataFrame:
     """JSON payloads to rows (domain, variant, path, value); nested objects become dotted paths, lists and
-    scalars stay text. Volatile keys are left out at every level."""
-    base = df.select("domain", "variant", F.explode(F.from_json("payload", MAP)).alias("path", "value"))
-    base = base.filter(~c("path").isin(*VOLATILE))
-    done = None
-    for level in range(depth):
-        is_obj = F.startswith(F.ltrim("value"), F.lit("{")) & F.lit(level < depth - 1)
-        leaf = base.filter(~F.coalesce(is_obj, F.lit(False)))
-        done = leaf if done is None else done.unionByName(leaf)
-        if level == depth - 1:
-            break
-        nested = base.filter(is_obj)
-        base = nested.select("domain", "variant", "path", F.explode(F.from_json("value", MAP)).alias("k", "value")).filter(
-            ~c("k").isin(*VOLATILE)).select("domain", "variant", F.concat_ws(".", "path", "k").alias("path"), "value")
-    return done
+    scalars stay text. Volatile keys are left out at every level. Without ``depth`` objects are opened down to the deepest
+    one there is."""
+    # Texts that look like numbers are marked, so that only numbers count as KPIs.
+    marked = F.regexp_replace(strip_volatile(c("payload")), r'(?<!\\)":"(?=[-+.0-9]|NaN|[Ii]nf)', '":"#')
+    base = df.select("domain", "variant", marked.alias("payload"))
+    if depth is None:
+        depth = base.agg(F.max(nesting(c("payload")))).first()[0] or 1
+    base = base.select("domain", "variant", F.explode(F.from_json("payload", MAP)).alias("path", "value"))
+    for _ in range(depth - 1):
+        # One pass over the rows for each level: an object gives way to its members, all else stays as it is.
+        inner = F.transform(F.map_entries(F.from_json("value", MAP)), lambda e: F.struct(
+            F.concat_ws(".", c("path"), e["key"]).alias("path"), e["value"].alias("value")))
+        is_object = F.coalesce(F.startswith(F.ltrim("value"), F.lit("{")), F.lit(False))
+        own = F.array(F.struct("path", "value"))
+        base = base.select("domain", "variant", F.explode(F.when(is_object, inner).otherwise(own)).alias("r")).select("domain", "variant", "r.*")
+    return base
 
 
 def is_kpi(path: Column, value: Column) -> Column:

@@ -155,7 +155,7 @@ def nav_from_targets(series: DataFrame, initial: float = 100_000.0, fee: float =
     # On the day of a change the closing segment still grows at its old weight.
     df = df.withColumn("seg_close", start)
     df = df.withColumn("step", F.when(c("change") & c("w0").isNotNull(), c("w0") * c("close") / F.lag("seg_close").over(w) + 1 - c("w0")).otherwise(F.lit(1.0)))
-    df = df.withColumn("base", F.exp(F.sum(F.ln("step")).over(W.running(w))))
+    df = df.withColumn("base", W.product_of(c("step"), lambda a: a.over(W.running(w))))
     df = df.withColumn("gross", c("base") * c("growth") * initial)
     # What is held before the trade: the old weight, grown since its segment began.
     held = F.coalesce(F.lag("base").over(w) * c("w0") * c("close") / F.lag("seg_close").over(w) * initial, F.lit(0.0))

@@ -144,7 +144,9 @@ def trailing_excess(portfolio: DataFrame, index: DataFrame, n: int = 20, look: i
     """Compounded return over n rows of portfolio and index, their difference and its rolling maximum."""
     w = W.by("key")
     df = portfolio.join(index.select("date", c("ret").alias("iret")), "date")
-    prod = lambda x: F.exp(W.roll(F.ln(1 + F.coalesce(c(x), F.lit(0.0))), n, F.sum, w)) - 1
+    frame = W.last_rows(w, n)
+    prod = lambda x: F.when(F.count("*").over(frame) == n, W.product_of(
+        1 + F.coalesce(c(x), F.lit(0.0)), lambda a: a.over(frame))) - 1
     df = df.withColumns({"p20": prod("ret"), "i20": prod("iret")})
     df = df.withColumn("excess", c("p20") - c("i20"))
     return df.withColumn("excess_max", F.max("excess").over(W.last_rows(w, look)))

@@ -10,7 +10,7 @@ from factorspark.plans.ctes import cte
 from factorspark.plans.data_plans import PREFIX_SQL, day, shards
 from factorspark.plans.registry import R, query, rounded
 from factorspark.schema import BAR
-from factorspark.session import shared_dir
+from factorspark.session import materialize, shared_dir
 from factorspark.sources import ingest as G
 from factorspark.sources.store import (BarStore, EventStore, envelopes, export_layout, gap_backfill, load_meta, retention_plan, seed_meta,
                                        split_variants, trim_rolling, write_reports)
@@ -43,11 +43,10 @@ def s2(t):
     return st.load(start="1998-01-01", end="1998-12-31").select(*COLS)
 
 
-@query("s3_incremental_scan", f"SELECT {BARS} FROM f_ubars WHERE date >= DATE '2024-01-27'")
+@query("s3_incremental_scan", f"SELECT {BARS} FROM f_ubars")
 def s3(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"))
-    for d in ("2024-01-27", "2024-01-28", "2024-01-29", "2024-01-30"):
-        st.append_day(t.ubars, d)
+    st.append_days(t.ubars)
     return st.increments().select(*COLS)
 
 
@@ -76,44 +75,96 @@ def s9(t):
     return load_meta(t.spark, root, "universe")
 
 
-@query("s23_append_day", f"SELECT {BARS} FROM f_ubars WHERE date IN (DATE '2024-01-10', DATE '2024-01-11')")
+@query("s23_append_day", f"SELECT {BARS} FROM f_ubars")
 def s23(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"))
-    for d in ("2024-01-10", "2024-01-11", "2024-01-10"):
-        st.append_day(t.ubars, d)
+    b = materialize(t.ubars.select(*COLS), "bars")
+    st.append_day(b, "2024-01-10")
+    st.append_days(b)
+    st.append_day(b, "2024-01-11")
     return st.load().select(*COLS)
 
 
-@query("s24_event_upsert", """SELECT date, code, trade_id, side, seat_code, CASE WHEN code = 'Brand#2' AND date >= DATE '1997-01-01' THEN buy + 1 ELSE buy END AS buy, sell FROM f_seats
-    WHERE date < DATE '1998-01-01'""")
+@query("s23b_append_states", """SELECT date, count(*) AS n, CASE WHEN date < DATE '2024-01-11' THEN 'skipped' WHEN date < DATE '2024-01-21' THEN 'differs' ELSE 'written' END AS state
+    FROM f_ubars GROUP BY date""")
+def s23b(t):
+    st = BarStore(t.spark, shared_dir(t.spark, "store"))
+    b = materialize(t.ubars.select(*COLS), "bars")
+    st.append_days(b.filter(c("date") < day("2024-01-21")))
+    return st.append_days(b.withColumn("close", F.when(c("date") < day("2024-01-11"), c("close")).otherwise(c("close") + 1)))
+
+
+@query("s24_event_upsert", """SELECT date, code, trade_id, side, seat_code, CASE WHEN code = 'Brand#2' AND date >= DATE '1997-01-01' THEN buy + 1 ELSE buy END AS buy, sell FROM f_seats""")
 def s24(t):
     st = EventStore(t.spark, shared_dir(t.spark, "events"), "lhb_seat")
-    s = t.seats.filter(c("date") < day("1998-01-01"))
+    s = materialize(t.seats, "seats")
     st.write_month(s)
     st.upsert(s.filter((c("code") == "Brand#2") & (c("date") >= day("1997-01-01"))).withColumn("buy", c("buy") + 1))
     return st.load().select("date", "code", "trade_id", "side", "seat_code", "buy", "sell")
 
 
-@query("s25_seal_month", f"SELECT {BARS} FROM f_ubars WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-08'")
+@query("s24b_event_month", """SELECT date, code, trade_id, side, seat_code, CASE WHEN strftime(date, '%Y-%m') = '1997-03' THEN buy + 2 ELSE buy END AS buy, sell FROM f_seats
+    WHERE strftime(date, '%Y-%m') <> '1997-03' OR code <> 'Brand#11'""")
+def s24b(t):
+    st = EventStore(t.spark, shared_dir(t.spark, "events"), "lhb_seat")
+    s = materialize(t.seats, "seats")
+    st.write_month(s)
+    month = s.filter((C.month_key(c("date")) == "1997-03") & (c("code") != "Brand#11"))
+    # The month comes anew without one code, with every key twice; the greater amount counts.
+    st.write_month(month.withColumn("buy", c("buy") + 1).unionByName(month.withColumn("buy", c("buy") + 2)))
+    return st.load().select("date", "code", "trade_id", "side", "seat_code", "buy", "sell")
+
+
+@query("s25_seal_month", f"SELECT {BARS} FROM f_ubars")
 def s25(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"))
-    for d in ("2024-01-05", "2024-01-06", "2024-01-07", "2024-01-08"):
-        st.append_day(t.ubars, d)
+    st.append_days(t.ubars)
     st.seal("2024-01", codes_per_file=50)
     return st.load().select(*COLS)
 
 
-@query("s26_rebuild_months", """SELECT code, date, CASE WHEN code = '600003' AND date BETWEEN DATE '1999-03-10' AND DATE '1999-04-15' THEN close + 1 ELSE close END AS close FROM f_sbars
-    WHERE date >= DATE '1999-01-01' AND date < DATE '1999-07-01'""")
+STEPS = """SELECT 'before' AS step, code, date, close FROM f_ubars WHERE date < DATE '2024-01-16' UNION ALL
+    SELECT 'sealed', code, date, CASE WHEN date < DATE '2024-01-11' THEN close - 1 ELSE close END FROM f_ubars"""
+
+
+@query("s25b_seal_overlap", STEPS)
+def s25b(t):
+    """Sealed rows are corrected by increments of lower prices: loading before and after the seal gives the corrections."""
+    st = BarStore(t.spark, shared_dir(t.spark, "store"))
+    b = materialize(t.ubars.select(*COLS), "bars")
+    st.append_days(b.filter(c("date") < day("2024-01-16")))
+    st.seal("2024-01", codes_per_file=50)
+    before = materialize(st.load().select(F.lit("before").alias("step"), "code", "date", "close"), "step")
+    lower = b.filter(c("date") < day("2024-01-11")).withColumn("close", c("close") - 1)
+    st.append_days(lower.unionByName(b.filter(c("date") >= day("2024-01-16"))))
+    loaded = materialize(st.load().select(F.lit("sealed").alias("step"), "code", "date", "close"), "step")
+    st.seal("2024-01", codes_per_file=50)
+    sealed = st.sealed().select(F.lit("sealed").alias("step"), "code", "date", "close")
+    # Both readings of the second state must be one and the same, row by row.
+    return before.unionByName(sealed.join(loaded, ["step", "code", "date", "close"], "left_semi"))
+
+
+@query("s26_rebuild_months", """SELECT code, date, CASE WHEN code = '600003' AND date BETWEEN DATE '1999-03-10' AND DATE '1999-04-15' THEN close + 1 ELSE close END AS close FROM f_sbars""")
 def s26(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"))
-    b = sbars(t).filter((c("date") >= day("1999-01-01")) & (c("date") < day("1999-07-01")))
+    b = materialize(sbars(t).select(*COLS), "bars")
     st.write_sealed(b)
     new = b.filter((c("code") == "600003") & c("date").between(day("1999-03-10"), day("1999-04-15")))
     st.rebuild_months(new.withColumns({"code": F.concat(F.lit("sh."), c("code")), "close": c("close") + 1}))
     return st.load().select("code", "date", "close")
 
 
+@query("s26b_rebuild_over_increments", """SELECT code, date, CASE WHEN date < DATE '2024-01-06' THEN close + 2 WHEN date < DATE '2024-01-16' THEN close + 1 ELSE close END AS close FROM f_ubars""")
+def s26b(t):
+    """Sealed rows, increments over half of them and a rebuild over a third: each wins over those before."""
+    st = BarStore(t.spark, shared_dir(t.spark, "store"))
+    b = materialize(t.ubars.select(*COLS), "bars")
+    st.write_sealed(b)
+    st.append_days(b.filter(c("date") < day("2024-01-16")).withColumn("close", c("close") + 1))
+    st.rebuild_months(b.filter(c("date") < day("2024-01-06")).withColumn("close", c("close") + 2))
+    return st.load().select("code", "date", "close")
+
+
 @query("s27_retention_plan", """SELECT ym, last_day FROM (SELECT DISTINCT strftime(date, '%Y-%m') AS ym, CAST(last_day(date) AS DATE) AS last_day FROM f_bars)
     WHERE last_day < (SELECT min(date) FROM (SELECT date FROM f_cal WHERE date <= DATE '2001-10-26' ORDER BY date DESC LIMIT 1251))""")
 def s27(t):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,11 +34,14 @@ def local_session(cpus: int = 8, app: str = "factorspark", memory: str = "20g")
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor of a cluster reaches. Only where
-    that is unset (local tests) a temporary folder of this machine is used.
+    It lies under ``spark.checkpoint.dir``, which every executor of a cluster reaches. Without that setting
+    a temporary folder is used where master and executors are one process, and anything else is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master or 'a cluster'}")
         base = tempfile.mkdtemp(prefix="factorspark-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}") if "://" not in base else (
         f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")

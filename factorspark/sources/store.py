@@ -1,8 +1,7 @@
 """The bar and event store: partitioned parquet tables, readers and writers.
 
 Layout: <root>/<table>/ym=YYYY-MM/ for sealed bars, <root>/<table>/incr/ym=…/ for daily increments and
-<root>/<table>/fixup/ for repairs. Spark hides paths that start with an underscore, so none does; a
-legacy layout with such folders is read by an explicit glob.
+<root>/<table>/fixup/ for repairs. Spark hides paths that start with an underscore, so none does.
 """
 
 from __future__ import annotations
@@ -22,6 +21,13 @@ from factorspark.schema import (ASSETS, BAR, BASES, EVENTS, FREQS, OPTIONAL, PRI
 c = F.col
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(hadoop):
+        fs.delete(hadoop, True)
+
+
 class BarStore:
     """Bars of one asset and price base under a root folder."""
 
@@ -127,60 +133,86 @@ class BarStore:
         self._with_month(new).repartitionByRange("code").write.mode("append").partitionBy("ym").parquet(self.incr_path)
         return "written"
 
+    def append_days(self, df: DataFrame) -> DataFrame:
+        """Idempotent append of all days of df at once: ``date, n, state`` with the state written, skipped (the same rows are
+        there) or differs (other rows are there; nothing is written for that day). One count and one fingerprint per
+        day decide, then all new days go out in one write."""
+        new = B.coerce(df, BAR)
+        mark = F.sum(F.xxhash64(*BAR.fieldNames()).cast("decimal(20,0)"))
+        days = new.groupBy("date").agg(F.count("*").alias("n"), mark.alias("mark"))
+        old = self.increments()
+        if old is None:
+            plan = days.select("date", "n", F.lit("written").alias("state"))
+        else:
+            months = [r.ym for r in days.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
+            held = old.filter(c("ym").isin(months)).groupBy("date").agg(F.count("*").alias("n_old"), mark.alias("mark_old"))
+            same = (c("n") == c("n_old")) & (c("mark") == c("mark_old"))
+            plan = days.join(held, "date", "left").select(
+                "date", "n", F.when(c("n_old").isNull(), "written").when(same, "skipped").otherwise("differs").alias("state"))
+        rows = plan.collect()  # one row per day
+        plan = self.spark.createDataFrame(rows, "date date, n long, state string")
+        todo = [r["date"] for r in rows if r["state"] == "written"]
+        if todo:
+            self._spread(self._with_month(new.filter(c("date").isin(todo)))).write.mode("append").partitionBy("ym").parquet(self.incr_path)
+        return plan
+
     def append_frozen(self, df: DataFrame) -> None:
         """Append rows with new keys; a key that is already there would change frozen history."""
         new = B.coerce(df, BAR)
         old = self.increments()
+        if old is not None:
+            months = [r.ym for r in new.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
+            old = old.filter(c("ym").isin(months))
         if old is not None and new.join(old.select("code", "date"), ["code", "date"], "left_semi").limit(1).count():
             raise ContractError("rows of frozen keys")
         self._with_month(new).write.mode("append").partitionBy("ym").parquet(self.incr_path)
 
-    def _replace(self, df: DataFrame, path: str) -> None:
-        # A partition cannot be overwritten while it is read, so the new rows are staged beside it.
+    def _replace(self, df: DataFrame, path: str, files: int | None = None) -> None:
+        """Overwrite the months of df, which may be read from them: the rows are staged beside the table and the stage
+        is removed afterwards."""
         stage = f"{self.base}/stage-{uuid.uuid4().hex}"
-        self._with_month(df).write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        self._spread(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+        try:
+            self._with_month(df).write.mode("overwrite").parquet(stage)
+            staged = self.spark.read.parquet(stage)
+            out = self._spread(staged) if files is None else staged.repartitionByRange(files, "code").sortWithinPartitions("code", "date")
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("ym").parquet(path)
+        finally:
+            self._remove(stage)
 
     def rebuild_months(self, df: DataFrame) -> None:
-        """Merge rows into their months: existing and new rows, the new ones win, no other code is lost."""
+        """Merge rows into their months: sealed, incremental and new rows, each winning over those before, no other code
+        is lost. The months' increments are part of the result and are cleared."""
         new = B.coerce(df, BAR)
-        months = new.select(C.month_key(c("date")).alias("ym")).distinct()
-        old = self.sealed()
-        if old is None:
-            self.write_sealed(B.load_bars([new]))
-            return
-        touched = old.join(F.broadcast(months), "ym", "left_semi").select(*BAR.fieldNames())
-        self._replace(B.load_bars([touched, new]).select(*BAR.fieldNames()), self.sealed_path)
+        months = [r.ym for r in new.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
+        old = [p.filter(c("ym").isin(months)).select(*BAR.fieldNames()) for p in (self.sealed(), self.increments()) if p is not None]
+        self._replace(B.load_bars([*old, new]).select(*BAR.fieldNames()), self.sealed_path)
+        for ym in months:
+            self._clear(self.incr_path, ym)
 
     def seal(self, ym: str, codes_per_file: int = 200, dry_run: bool = False) -> int:
-        """Compact the increments of one month into sorted files; rows in must equal rows out."""
-        inc = self.increments().filter(c("ym") == ym).drop("ym").select(*BAR.fieldNames())
-        stats = inc.agg(F.count("*").alias("n"), F.approx_count_distinct("code").alias("k")).first()
-        if dry_run or stats.n == 0:
-            return stats.n
-        files = max(1, -(-stats.k // codes_per_file))
+        """Compact the increments of one month into sorted files of ``codes_per_file`` codes. A key that is sealed
+        already takes its incremental row; as many keys must come out as went in."""
+        inc = self.increments().filter(c("ym") == ym).select(*BAR.fieldNames())
+        n = inc.count()
+        if dry_run or n == 0:
+            return n
+        parts = [inc]
         old = self.sealed()
-        rows = inc
         if old is not None:
-            rows = old.filter(c("ym") == ym).select(*BAR.fieldNames()).unionByName(inc)
-        stage = f"{self.base}/seal-{uuid.uuid4().hex}"
-        out = rows.repartitionByRange(files, "code").sortWithinPartitions("code", "date").withColumn("ym", F.lit(ym))
-        expected = rows.count()
-        out.write.mode("overwrite").option("compression", "zstd").parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        if staged.count() != expected:
+            parts.insert(0, old.filter(c("ym") == ym).select(*BAR.fieldNames()))
+        rows = B.load_bars(parts).select(*BAR.fieldNames())
+        stats = rows.agg(F.count("*").alias("n"), F.approx_count_distinct("code").alias("k")).first()
+        self._replace(rows, self.sealed_path, max(1, -(-stats.k // codes_per_file)))
+        if self.sealed().filter(c("ym") == ym).count() != stats.n:
             raise ContractError(f"sealing {ym} lost rows")
-        staged.sortWithinPartitions("code", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-            "compression", "zstd").partitionBy("ym").parquet(self.sealed_path)
         self._clear(self.incr_path, ym)
-        return expected
+        return stats.n
 
     def _clear(self, path: str, ym: str) -> None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ym={ym}")
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if fs.exists(hadoop):
-            fs.delete(hadoop, True)
+        self._remove(f"{path}/ym={ym}")
+
+    def _remove(self, path: str) -> None:
+        remove_folder(self.spark, path)
 
     def expire(self, calendar: DataFrame, today: str, keep: int | None) -> DataFrame:
         """Months this asset no longer has to keep."""
@@ -264,11 +296,18 @@ class EventStore:
                 return None
             raise
 
-    def load(self, **filters) -> DataFrame:
+    def load(self, dates: Sequence[str] | None = None, start: str | None = None, end: str | None = None, **filters) -> DataFrame:
+        """Rows of the asked days; bounds also prune the day partitions."""
         df = self._read()
         if df is None:
             raise ContractError(f"no events under {self.path}")
-        return B.query_events(df.drop("day"), **filters)
+        if dates:
+            df = df.filter(c("day").isin(list(dates)))
+        if start is not None:
+            df = df.filter(c("day") >= start)
+        if end is not None:
+            df = df.filter(c("day") <= end)
+        return B.query_events(df.drop("day"), dates=dates, start=start, end=end, **filters)
 
     def upsert(self, df: DataFrame) -> None:
         """Merge rows by key; only the days they touch are rewritten."""
@@ -284,14 +323,31 @@ class EventStore:
         self._overwrite(merged)
 
     def write_month(self, df: DataFrame) -> None:
-        """Full rebuild of the days in df."""
-        self._overwrite(B.coerce(df, self.schema).withColumn("day", c("date").cast("string")))
+        """Full rebuild of the months in df: one row per key, and days that df no longer has go. Of rows with one key the
+        greatest counts."""
+        new = B.coerce(df, self.schema)
+        rest = [x for x in self.schema.fieldNames() if x not in self.keys]
+        new = (B.keep_last(new, self.keys, rest) if rest else new.dropDuplicates(self.keys)).withColumn("day", c("date").cast("string"))
+        months = [r.ym for r in new.select(F.substring("day", 1, 7).alias("ym")).distinct().collect()]  # bounded by the calendar
+        old = self._read()
+        gone = []
+        if old is not None:
+            held = old.filter(F.substring("day", 1, 7).isin(months)).select("day").distinct()
+            gone = [r.day for r in held.join(new.select("day").distinct(), "day", "left_anti").collect()]
+        self._write(new)
+        for day in gone:
+            remove_folder(self.spark, f"{self.path}/day={day}")
+
+    def _write(self, df: DataFrame) -> None:
+        df.repartitionByRange("day", self.keys[1]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(self.path)
 
     def _overwrite(self, df: DataFrame) -> None:
         stage = f"{self.stage_root}/{self.name}-{uuid.uuid4().hex}"
-        df.write.parquet(stage)
-        self.spark.read.schema(df.schema).parquet(stage).repartitionByRange("day", self.keys[1]).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("day").parquet(self.path)
+        try:
+            df.write.parquet(stage)
+            self._write(self.spark.read.schema(df.schema).parquet(stage))
+        finally:
+            remove_folder(self.spark, stage)
 
 
 def write_reports(df: DataFrame, path: str) -> None:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -32,50 +33,57 @@ def finish(q: StreamingQuery) -> None:
         raise q.exception()
 
 
-def append_once(source: DataFrame, sink: str, checkpoint: str, keys: Sequence[str] = ("code", "date"), time: str = "date",
-                delay: str = "2 days") -> StreamingQuery:
-    """Append each key once; later copies of a key are ignored, also after the watermark has passed it.
+def append_once(source: DataFrame, sink: str, checkpoint: str, keys: Sequence[str] = ("code", "date"), time: str = "date") -> StreamingQuery:
+    """Append each key once, however late it comes; later copies of a key are ignored.
 
-    Copies inside the watermark are dropped by state; the anti join against the sink covers older ones
-    and makes a replayed batch harmless.
+    The sink is partitioned by month and is itself the memory: a batch is reduced to one row per key and joined against
+    the keys of its own months only. A replayed batch finds its rows there already.
     """
     k = list(keys)
-    s = source.withColumn("__ts", c(time).cast("timestamp")).withWatermark("__ts", delay)
-    # Keys of one batch may still meet twice when their times differ, so the batch is reduced as well.
-    s = s.dropDuplicatesWithinWatermark(k)
 
     def write(batch: DataFrame, _: int) -> None:
-        new = batch.drop("__ts").dropDuplicates(k)
+        new = batch.dropDuplicates(k).withColumn("ym", C.month_key(c(time)))
+        months = [r.ym for r in new.select("ym").distinct().collect()]  # bounded by the calendar
         try:
-            old = batch.sparkSession.read.schema(new.schema).parquet(sink).select(*k)
+            old = batch.sparkSession.read.schema(new.schema).parquet(sink).filter(c("ym").isin(months)).select(*k)
             new = new.join(old, k, "left_anti").select(*new.columns)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        new.write.mode("append").parquet(sink)
+        new.write.mode("append").partitionBy("ym").parquet(sink)
 
-    return s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _bars(ticks: DataFrame, span: str, start: str | None, delay: str) -> DataFrame:
-    """Bars per code and window from (code, ts, seq, value); a window is emitted once it is closed."""
-    t = ticks.withColumn("ts", c("ts").cast("timestamp")).withWatermark("ts", delay)
-    win = F.window("ts", span, startTime=start) if start else F.window("ts", span)
-    order, v = C.tick_order(c("ts"), c("seq")), c("value")
-    g = t.groupBy(win.alias("w"), "code").agg(
-        F.min_by(v, order).alias("open"), F.max(v).alias("high"), F.min(v).alias("low"), F.max_by(v, order).alias("close"),
-        F.count("*").alias("volume"), F.sum(v).alias("amount"))
-    return g.select("code", c("w.start").cast("date").alias("date"), "open", "high", "low", "close", "volume", "amount")
+def _period(ts: Column, span: str) -> Column:
+    if span not in ("day", "week"):
+        raise ValueError(f"unknown span {span!r}")
+    return F.date_trunc(span, ts).cast("date")
 
 
-def daily_bars(ticks: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Day bars of the days that are over."""
-    return _bars(ticks, "1 day", None, delay)
+def partial_bars(ticks: DataFrame, sink: str, checkpoint: str, span: str) -> StreamingQuery:
+    """Keep the bars of a stream of (code, ts, seq, value) ticks as parts, one folder per batch.
+
+    No tick is lost to a watermark: a late one becomes a further part of its period, and reading combines the parts. A
+    replayed batch overwrites its own folder.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        order, v = C.tick_order(c("ts"), c("seq")), c("value")
+        g = batch.groupBy("code", _period(c("ts"), span).alias("date")).agg(
+            F.min_by(v, order).alias("open"), F.min(order).alias("first"), F.max(v).alias("high"), F.min(v).alias("low"),
+            F.max_by(v, order).alias("close"), F.max(order).alias("last"), F.count("*").alias("volume"), F.sum(v).alias("amount"))
+        g.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    return ticks.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def closed_bars(ticks: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Week bars (Monday to Sunday) of complete weeks only; the epoch was a Thursday, hence the offset."""
-    return _bars(ticks, "7 days", "4 days", delay)
+def read_bars(spark: SparkSession, sink: str, closed: bool = True) -> DataFrame:
+    """Bars out of the parts; ``closed`` withholds the latest period, which may still grow."""
+    parts = spark.read.parquet(sink).drop("batch")
+    bars = parts.groupBy("code", "date").agg(
+        F.min_by("open", "first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "last").alias("close"),
+        F.sum("volume").alias("volume"), F.sum("amount").alias("amount"))
+    return bars.filter(c("date") < parts.agg(F.max("date")).scalar()) if closed else bars
 
 
 STREAK_OUT = "code string, date date, close double, limit_up long, limit_count long, m3 long, m5 long, m10 long"
@@ -89,21 +97,25 @@ def limit_streak(bars: DataFrame) -> DataFrame:
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last_date, last_close, streak, flags = state.get if state.exists else (None, None, 0, [])
-        flags = list(flags)
-        out = []
-        for r in pd.concat(list(frames)).sort_values("date").itertuples(index=False):
-            if last_date is not None and str(r.date) <= last_date:
-                continue
-            up = 0
-            if last_close is not None:
-                limit = round((last_close * (1 + r.threshold / 100) + 1e-9) * 100) / 100
-                up = int(r.close >= limit - 0.001)
-            streak = streak + 1 if up else 0
-            flags = (flags + [up])[-10:]
-            out.append((key[0], r.date, r.close, up, streak, sum(flags[-3:]), sum(flags[-5:]), sum(flags)))
-            last_date, last_close = str(r.date), float(r.close)
-        state.update((last_date, last_close, streak, flags))
-        yield pd.DataFrame(out, columns=["code", "date", "close", "limit_up", "limit_count", "m3", "m5", "m10"])
+        rows = pd.concat(list(frames)).sort_values("date").drop_duplicates("date")
+        if last_date is not None:
+            rows = rows[rows["date"].astype(str) > last_date]
+        if rows.empty:
+            return
+        close = rows["close"].to_numpy(float)
+        before = np.concatenate([[np.nan if last_close is None else last_close], close[:-1]])
+        limit = np.round((before * (1 + rows["threshold"].to_numpy(float) / 100) + 1e-9) * 100) / 100
+        up = (close >= limit - 0.001).astype(int)  # false against the missing first close
+        at = np.arange(len(up))
+        opened = np.maximum.accumulate(np.where(up == 0, at, -1))  # the last row without the flag; -1: the run came in
+        run = np.where(opened < 0, streak + at + 1, at - opened)
+        known = np.concatenate([flags, up]).astype(int)
+        total = np.concatenate([[0], known.cumsum()])
+        end = len(flags) + at + 1
+        count = {n: total[end] - total[np.maximum(end - n, 0)] for n in (3, 5, 10)}
+        state.update((str(rows["date"].iloc[-1]), float(close[-1]), int(run[-1]), known[-10:].tolist()))
+        yield pd.DataFrame({"code": key[0], "date": rows["date"], "close": close, "limit_up": up, "limit_count": run, "m3": count[3],
+                            "m5": count[5], "m10": count[10]})
 
     return b.groupBy("code").applyInPandasWithState(step, STREAK_OUT, STREAK_STATE, "append", GroupStateTimeout.NoTimeout)
 

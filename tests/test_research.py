@@ -1,7 +1,11 @@
+import datetime as dt
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from factorspark.functions import windows as W
 from factorspark.operators import joins as J
 from factorspark.operators import reconcile as RC
 from factorspark.operators import research as E
@@ -146,6 +150,43 @@ def test_stream_append_once_survives_a_rerun(spark, tmp_path):
     run("other")  # a new checkpoint replays everything
     out = spark.read.parquet(sink)
     assert out.count() == 3 and {r.close for r in out.collect()} == {1.0}
+    # A new key of a day long past still arrives.
+    spark.createDataFrame([("b", dt.date(2020, 1, 5), 4.0)], rows(1).schema).coalesce(1).write.mode("append").parquet(src)
+    run("ck")
+    assert spark.read.parquet(sink).count() == 4
+
+
+@pytest.mark.parametrize("span", ["day", "week"])
+def test_stream_bars_lose_no_late_tick(spark, tmp_path, span):
+    stamp = dt.datetime(2025, 1, 1)
+    ticks = [("a", stamp + dt.timedelta(hours=7 * i), i, float(i * 37 % 11)) for i in range(60)]
+    schema = "code string, ts timestamp, seq long, value double"
+    src = f"{tmp_path}/src"
+    for k in (2, 0, 1):  # files out of order
+        spark.createDataFrame([t for i, t in enumerate(ticks) if i % 3 == k], schema).coalesce(1).write.mode("append").parquet(src)
+    S.finish(S.partial_bars(S.file_stream(spark, src, spark.createDataFrame([], schema).schema), f"{tmp_path}/sink", f"{tmp_path}/ck", span))
+    got = {r.date: (r.open, r.high, r.low, r.close, r.volume, r.amount) for r in S.read_bars(spark, f"{tmp_path}/sink", closed=False).collect()}
+    want: dict = {}
+    for _, ts, _, v in ticks:
+        day = ts.date() - dt.timedelta(days=ts.weekday() if span == "week" else 0)
+        want.setdefault(day, []).append(v)
+    assert got == {k: (v[0], max(v), min(v), v[-1], len(v), sum(v)) for k, v in want.items()}
+    assert S.read_bars(spark, f"{tmp_path}/sink").count() == len(want) - 1
+
+
+def test_reconcile_strips_volatile_keys_everywhere(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"run_id":"%s","x":1}}}}},"list":[{"generated_at":"%s","y":2},3],"label":"%s","nav":%s}'
+    rows = lambda run, label, nav: [("d", v, days(1)[0], deep % (run, run, lb, n)) for v, lb, n in (("same", "1.5", "1.0"), ("text", label, "1.0"), ("kpi", "1.5", nav))]
+    schema = "domain string, variant string, data_date date, payload string"
+    out = RC.reconcile(spark.createDataFrame(rows("r1", "1.5", "1.0"), schema), spark.createDataFrame(rows("r2", "2.5", "1.25"), schema)).collect()
+    got = {r.variant: (r.verdict, r.max_kpi_delta) for r in out}
+    assert got == {"same": ("PROMOTE-READY", 0.0), "text": ("BLOCKED", 0.0), "kpi": ("BLOCKED", 0.25)}
+
+
+def test_product_keeps_zero_and_sign(spark):
+    df = spark.createDataFrame([("a", i, r) for i, r in enumerate([0.1, -1.5, 0.2, -1.0, 0.3])], "code string, date int, r double")
+    got = [round(x.p, 9) for x in df.withColumn("p", W.cumprod(F.col("r"), W.by())).orderBy("date").collect()]
+    assert got == [1.1, -0.55, -0.66, 0.0, 0.0]
 
 
 def test_walk_forward_scores_only_new_dates(spark):

@@ -93,3 +93,51 @@ def test_calendar_headers(spark):
     assert [(str(r.date), r.is_trading_day) for r in b] == [("2025-01-02", True)]
     with pytest.raises(ValueError):
         G.parse_calendar(spark.createDataFrame([("x",)], "foo string"))
+
+
+def test_seal_and_rebuild_keep_the_newest_row(spark, tmp_path):
+    st = BarStore(spark, str(tmp_path))
+    day = "2025-01-02"
+    st.append_day(day_frame(spark, day, close=10.0), day)
+    st.seal("2025-01")
+    st.append_day(day_frame(spark, day, close=9.0), day)
+    assert {r.close for r in st.load().collect()} == {9.0}
+    assert st.seal("2025-01") == 3
+    assert {r.close for r in st.sealed().collect()} == {9.0} == {r.close for r in st.load().collect()}
+    st.append_day(day_frame(spark, day, close=8.0), day)
+    st.rebuild_months(day_frame(spark, day, ("600000",), 20.0))
+    assert {r.code: r.close for r in st.load().collect()} == {"600000": 20.0, "000001": 8.0, "300750": 8.0}
+    assert not [p for p in (tmp_path / "market/stock/raw").iterdir() if p.name.startswith("stage")]
+
+
+def test_append_days_tells_changed_days(spark, tmp_path):
+    st = BarStore(spark, str(tmp_path))
+    two = day_frame(spark, "2025-01-02").unionByName(day_frame(spark, "2025-01-03"))
+    assert {r.state for r in st.append_days(two).collect()} == {"written"}
+    more = day_frame(spark, "2025-01-02").unionByName(day_frame(spark, "2025-01-03", close=7.0)).unionByName(day_frame(spark, "2025-01-06"))
+    assert {str(r.date): r.state for r in st.append_days(more).collect()} == {"2025-01-02": "skipped", "2025-01-03": "differs", "2025-01-06": "written"}
+    assert st.load().count() == 9
+
+
+def test_event_month_is_replaced_whole(spark, tmp_path):
+    st = EventStore(spark, str(tmp_path), "zt_ladder")
+    frame = lambda *r: spark.createDataFrame([(d(x), 1, n, 0, None) for x, n in r], st.schema)
+    st.write_month(frame(("2025-01-02", 5), ("2025-01-03", 5), ("2025-02-03", 5)))
+    st.write_month(frame(("2025-01-03", 7), ("2025-01-03", 8)))
+    assert {str(r.date): r["count"] for r in st.load().collect()} == {"2025-01-03": 8, "2025-02-03": 5}
+    assert st.load(start="2025-02-01").count() == 1
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster(monkeypatch):
+    from factorspark import session
+
+    class Conf(dict):
+        get = dict.get
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session(), "x")
+    Session.conf = Conf({"spark.master": "spark://host:7077", "spark.checkpoint.dir": "hdfs://n/ck"})
+    assert session.shared_dir(Session(), "x").startswith("hdfs://n/ck/x-")
