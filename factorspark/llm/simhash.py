@@ -14,7 +14,7 @@ from factorspark.session import materialize
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-ODD = 0x5555555555555555  # the low bit of each two-bit segment
+SEGMENTS = 0x55555555  # the low bit of each two-bit segment of a half
 
 
 def fingerprint(text: str | None, words: int = 4, block: int = 1 << 16) -> int:
@@ -46,72 +46,74 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return common.map_batches(docs.select(key, text), run, f"{key} {docs.schema[key].dataType.simpleString()}, fp long")
 
 
-def popcount_code(fp: Column) -> Column:
-    """Counts of set bits of the 32 two-bit segments, each count in unary (00, 01, 11).
+def _shift_left(x: Column | int, by: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(x).cast("long") if isinstance(x, int) else x, by.cast("int"))
 
-    Between two such codes the number of differing bits is the Manhattan distance of the count vectors, and this never
-    exceeds the number of bits in which the fingerprints differ.
+
+def halves(fp: Column) -> tuple[Column, Column]:
+    return fp.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(fp, 32)
+
+
+def embedding(half: Column) -> Column:
+    """The bit counts of 32 overlapping segments of a half (32 bits): each bit with the next one, the last with the first.
+
+    Counts are kept in unary (00, 01, 11), so that the Manhattan distance of two count vectors is the number of differing
+    bits of their codes. A bit lies in two segments: the distance is at most twice the number of differing bits.
     """
-    some = fp.bitwiseOR(F.shiftrightunsigned(fp, 1)).bitwiseAND(F.lit(ODD))
-    both = fp.bitwiseAND(F.shiftrightunsigned(fp, 1)).bitwiseAND(F.lit(ODD))
-    return some.bitwiseOR(F.shiftleft(both, 1))
+    def counts(x: Column) -> Column:
+        some = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(SEGMENTS))
+        both = x.bitwiseAND(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(SEGMENTS))
+        return some.bitwiseOR(F.shiftleft(both, 1))
 
+    turned = F.shiftrightunsigned(half, 1).bitwiseOR(F.shiftleft(half.bitwiseAND(F.lit(1)), 31))
+    return counts(half).bitwiseOR(F.shiftleft(counts(turned), 32))
 
-def _cells(half: Column) -> Column:
-    """The grid cells within Manhattan distance 1 of 16 counts (unary, 32 bits): the own one and one step in each axis."""
-    def steps(i: Column) -> Column:
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), (i * 2).cast("int"))
-        high = F.call_function("shiftleft", F.lit(2).cast("long"), (i * 2).cast("int"))
-        one, two = half.bitwiseAND(low) != 0, half.bitwiseAND(high) != 0
-        # 0 -> 1 and 1 -> 0 flip the low bit, 1 -> 2 and 2 -> 1 the high bit
-        return F.array(F.when(~two, half.bitwiseXOR(low)), F.when(one, half.bitwiseXOR(high)))
 
-    around = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(15)), steps))
-    return F.filter(F.concat(F.array(half), around), lambda x: x.isNotNull())
+def manhattan(a: Column, b: Column) -> Column:
+    """Distance of the count vectors of two fingerprints."""
+    return sum((F.bit_count(embedding(x).bitwiseXOR(embedding(y))) for x, y in zip(halves(a), halves(b), strict=True)), F.lit(0))
 
 
 def links(fps: DataFrame, distance: int = 4, crowd: int = 64) -> DataFrame:
-    """Edges ``a, b`` between distinct ``fp`` that connect exactly those at most ``distance`` (up to 4) bits apart.
+    """Edges ``a, b`` between distinct ``fp`` that connect exactly those at most ``distance`` (4 or less) bits apart.
 
-    The popcount vectors of two linked fingerprints are at most 4 apart, so one of their halves is at most 2 apart, and
-    then some grid cell lies within 1 of both: each fingerprint enters the cells around both its halves and
-    fingerprints that share a cell are candidates. Their Manhattan distance is tested first, then the bits.
+    A range join on a grid: two such fingerprints differ in at most two bits of one half, so their count vectors for that
+    half are at most two steps apart, a step being what one bit changes, and some cell lies within one step of both. Each
+    fingerprint enters the 33 cells within one step for each half; those that share a cell are candidates. Half their
+    Manhattan distance is a lower bound that is tested first, then the bits themselves.
 
-    A cell with more than ``crowd`` members isn't paired off. Its members are linked through all values at most two
-    bits from each: two fingerprints have one in common if and only if they are at most four bits apart. Each such
-    value ties its members to the smallest, so a crowd of n costs 2081 n rows, not n squared, and loses no link
-    between components.
+    A cell with more than ``crowd`` members isn't paired off. Its members are linked through the values around them that
+    together prove the distance: for an even distance of 2 r two fingerprints have a value within r bits of both if and only
+    if they are at most 2 r bits apart. Each such value ties its members to the smallest, so a crowd of n costs 2081 n
+    rows (for r = 2), not n squared, and no link between components is lost.
     """
-    if distance > 4:
-        raise ValueError("the halves of the grid prove distances up to 4")
-    code = popcount_code(F.col("fp"))
-    low, high = code.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(code, 32)
-    at = fps.select("fp", F.explode(F.concat(
-        F.transform(_cells(low), lambda x: x), F.transform(_cells(high), lambda x: x.bitwiseOR(F.lit(1 << 32))))).alias("cell"))
-    shared = at.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(at.join(shared, "cell"), "cells")
+    if distance not in (0, 2, 4):
+        raise ValueError("the grid and the crowds prove distances 0, 2 and 4")
+    parts = max(1, fps.count() // 16384)
+    at = fps.repartition(parts, "fp").select("fp", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    at = at.select("fp", "side", F.explode(F.sequence(F.lit(-1), F.lit(31))).alias("i"))
+    low, high = halves(F.col("fp"))
+    half = F.when(F.col("side") == 0, low).otherwise(high)
+    step = F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(_shift_left(1, F.greatest("i", F.lit(0))))
+    # Cells of both halves share one number; where two fall together the tests below tell them apart.
+    cell = embedding(half.bitwiseXOR(step)).bitwiseXOR(F.col("side") * F.lit(0x5851F42D4C957F2D))
+    at = at.select("fp", cell.alias("cell"))
+    shared = materialize(at.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b"), "cells")
+    met = materialize(at.join(shared.where("n > 2").select("cell", "n").hint("merge"), "cell"), "met")
     few = met.where(F.col("n") <= crowd)
-    code_a, code_b = popcount_code(F.col("a")), popcount_code(F.col("b"))
-    pairs = few.select("cell", F.col("fp").alias("a")).join(few.select("cell", F.col("fp").alias("b")), "cell")
-    pairs = pairs.where((F.col("a") < F.col("b")) & (F.bit_count(code_a.bitwiseXOR(code_b)) <= distance)
-                        & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)).select("a", "b")
+    pairs = few.select("cell", F.col("fp").alias("a")).join(few.select("cell", F.col("fp").alias("b")).hint("merge"), "cell").where("a < b")
+    pairs = pairs.select("a", "b").union(shared.where("n = 2").select("a", "b"))
+    pairs = pairs.where((manhattan(F.col("a"), F.col("b")) <= 2 * distance) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
     many = met.where(F.col("n") > crowd).select("fp").distinct()
-    if distance < 4:
-        near = distance // 2
-        if distance % 2:
-            raise ValueError("crowds need an even distance")
-    else:
-        near = 2
-    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))
-    first = many.select("fp", F.explode(F.sequence(F.lit(-1), F.lit(63 if near else -1))).alias("i"))
-    second = first.select("fp", "i", F.explode(F.when(F.col("i") < 0, F.array(F.lit(-1))).otherwise(
-        F.concat(F.array(F.lit(-1)), F.when(F.col("i") < F.lit(63 if near > 1 else -1), F.sequence(F.col("i") + 1, F.lit(63)))
-                 .otherwise(F.array().cast("array<int>"))))).alias("j"))
-    mask = F.when(F.col("i") < 0, F.lit(0).cast("long")).otherwise(bit(F.col("i"))).bitwiseXOR(
-        F.when(F.col("j") < 0, F.lit(0).cast("long")).otherwise(bit(F.col("j"))))
-    ball = second.select("fp", F.col("fp").bitwiseXOR(mask).alias("point"))
+    last = F.lit(63 if distance else -1)
+    first = many.select("fp", F.explode(F.sequence(F.lit(-1), last)).alias("i"))
+    second = first.select("fp", "i", F.explode(F.when(
+        (F.col("i") >= 0) & (F.col("i") < 63) & F.lit(distance == 4),
+        F.concat(F.array(F.lit(-1)), F.sequence(F.col("i") + 1, F.lit(63)))).otherwise(F.array(F.lit(-1)))).alias("j"))
+    bit = lambda x: F.when(F.col(x) < 0, F.lit(0).cast("long")).otherwise(_shift_left(1, F.greatest(x, F.lit(0))))
+    ball = second.select("fp", F.col("fp").bitwiseXOR(bit("i").bitwiseXOR(bit("j"))).alias("point"))
     least = ball.groupBy("point").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("top > b").select("point", "b")
-    tied = ball.join(least, "point").where("fp <> b").select(F.col("fp").alias("a"), "b")
+    tied = ball.join(least.hint("merge"), "point").where("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.union(tied).distinct()
 
 
@@ -125,12 +127,12 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     classes = materialize(fps.groupBy("fp").agg(F.min(key).alias("rep")), "classes")
     found = links(classes.select("fp"), distance, crowd)
     rep = classes.where("rep is not null")
-    edges = (found.join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), "a")
-             .join(rep.select(F.col("fp").alias("b"), F.col("rep").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    edges = (found.join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("ra")).hint("merge"), "a")
+             .join(rep.select(F.col("fp").alias("b"), F.col("rep").alias("rb")).hint("merge"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     roots = common.components(edges)
-    named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    named = classes.join(roots.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
     named = materialize(named.select("fp", F.coalesce("root", "rep").alias("component_id")), "named")
-    return fps.join(named, "fp").select(key, "fp", "component_id")
+    return fps.join(named.hint("merge"), "fp").select(key, "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -146,6 +148,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
     of = groups(docs, key, text, **options)
     stay = of.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).agg(F.count("*").alias("_copies"))
     stay = materialize(stay, "stay")
+    stay = stay.hint("merge")
     once = docs.join(stay.where("_copies = 1"), docs[key].eqNullSafe(stay[key]), "left_semi")
     again = docs.join(stay.where("_copies > 1"), docs[key].eqNullSafe(stay[key]), "left_semi").dropDuplicates([key])
     return once.union(again)

@@ -186,7 +186,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     found = materialize(cells.mapInArrow(compared, f"id {kind}, n long, root {kind}"), "links")
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     roots = common.components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    done = rows.select(key).join(counts.withColumnRenamed("id", key), key, "left").join(roots.withColumnRenamed("node", key), key, "left")
+    done = rows.select(key).join(counts.withColumnRenamed("id", key).hint("merge"), key, "left").join(
+        roots.withColumnRenamed("node", key).hint("merge"), key, "left")
     component = F.coalesce("root", key)
     return done.select(key, F.coalesce("n", F.lit(0)).alias("n_links"), component.alias("component_id"),
                        component.eqNullSafe(F.col(key)).alias("kept"))
