@@ -69,7 +69,7 @@ def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
 
 
 def train(docs: DataFrame, held: tuple[int, int], key: str = "doc_id", text: str = "text", label: str = "lang",
-          per_label: int = 1500, max_labels: int = 256) -> Model:
+          per_label: int = 600, max_labels: int = 256) -> Model:
     """Fit on at most ``per_label`` rows of each of the ``max_labels`` most frequent languages."""
     rows, _ = common.labelled_sample(docs, None, label, key, held, text, per_label, max_labels)
     return fit(rows)

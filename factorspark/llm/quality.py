@@ -146,7 +146,7 @@ def score(model: Model, texts: list[str | None], declared: list) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int], label: str = "quality", key: str = "doc_id", text: str = "text",
-          declared: str | None = "n_chars", per_label: int = 2500) -> Model:
+          declared: str | None = "n_chars", per_label: int = 1500) -> Model:
     """Fit on at most ``per_label`` rows of each label; only labels 0 and 1 count. ``declared`` is the metadata column."""
     rows, counts = common.labelled_sample(docs, labels.where(F.col(label).isin(0, 1)), label, key, held, text, per_label,
                                           max_labels=2, extra=declared)

@@ -98,7 +98,7 @@ def fit(rows: list[tuple[int, str]], prior: float, buckets: int = 1 << 14, dims:
     data = []
     for _, parts in textcodes.pieces([r[1] for r in rows], size=1 << 16):
         ids, bounds = word_ids(parts, buckets)
-        data += [ids[:, a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        data += [ids[:, a:b].astype(np.int32) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     params = [model.embed, *model.filters, *model.bias, model.out, np.zeros(1, np.float32)]
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
@@ -179,7 +179,7 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list, default: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int], label: str = "toxic", key: str = "doc_id", text: str = "text",
-          lang: str | None = "lang", per_label: int = 2500) -> Model:
+          lang: str | None = "lang", per_label: int = 1500) -> Model:
     """Fit on at most ``per_label`` rows of each label and calibrate thresholds by language on the last fifth of them, which
     doesn't train the weights. Only labels 0 and 1 count."""
     rows, counts = common.labelled_sample(docs, labels.where(F.col(label).isin(0, 1)), label, key, held, text, per_label,
