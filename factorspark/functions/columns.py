@@ -14,8 +14,8 @@ def div(a, b) -> Column:
 
 
 def gt(a, b) -> Column:
-    """a > b beyond rounding noise, so that averages summed in another order compare alike."""
-    return (a - b) > F.lit(EPS)
+    """a > b by more than a share EPS of the larger one, so that averages summed in another order compare alike."""
+    return (a - b) > F.lit(EPS) * F.greatest(F.abs(a), F.abs(b))
 
 
 def non_zero(c) -> Column:

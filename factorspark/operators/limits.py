@@ -32,13 +32,10 @@ def limit_up_daily(bars: DataFrame, names: DataFrame | None = None) -> DataFrame
     return df.select(*cols) if names is None else df.join(names.select("code", "name"), "code", "left").select(*cols, "name")
 
 
-def limit_up_day(bars: DataFrame, calendar: DataFrame, day: str, lead: int = 15) -> DataFrame:
-    """The facts of one day from the ``lead`` trading days up to it; runs are capped at that length."""
+def limit_up_day(bars: DataFrame, day: str) -> DataFrame:
+    """The facts of one day. A run may be as long as the history, so all bars up to the day count."""
     d = F.lit(day).cast("date")
-    first = calendar.filter(c("date") <= d).orderBy(c("date").desc()).limit(lead + 1).agg(F.min("date")).scalar()
-    window = bars.filter((c("date") <= d) & (c("date") >= first))
-    out = limit_up_daily(window).filter(c("date") == d)
-    return out.withColumn("limit_count", F.least(c("limit_count"), F.lit(lead)).cast("bigint"))
+    return limit_up_daily(bars.filter(c("date") <= d)).filter(c("date") == d)
 
 
 def ladder(daily: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
@@ -62,12 +59,13 @@ def ladder(daily: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     return out.select("date", "lbc", "count", "prev_count", C.div(c("count").cast("double"), c("prev_count").cast("double")).alias("promote_rate"))
 
 
-def pool_summary(daily: DataFrame, broken: DataFrame) -> DataFrame:
-    """Per day: limit-ups, broken limits, longest run and the distribution of runs up to ten."""
+def pool_summary(daily: DataFrame, broken: DataFrame, longest: int | None = None) -> DataFrame:
+    """Per day: limit-ups, broken limits, longest run and the distribution of runs; with ``longest`` of those up to it."""
     dist = daily.filter(c("limit_count") > 0).groupBy("date", "limit_count").agg(F.count("*").alias("n"))
+    counted = F.lit(True) if longest is None else c("limit_count") <= longest
     up = dist.groupBy("date").agg(
         F.sum("n").alias("zt_count"), F.max("limit_count").alias("max_lb"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(c("limit_count") <= 10, F.struct("limit_count", "n"))))).alias("lb_dist"))
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(counted, F.struct("limit_count", "n"))))).alias("lb_dist"))
     zb = broken.groupBy("date").agg(F.count("*").alias("zb_count"))
     return up.join(zb, "date", "full_outer").select(
         "date", F.coalesce("zt_count", F.lit(0)).alias("zt_count"), F.coalesce("zb_count", F.lit(0)).alias("zb_count"),

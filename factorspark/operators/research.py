@@ -358,16 +358,22 @@ def fill_missing_scores(rows: DataFrame, scores: DataFrame) -> DataFrame:
     return rows.join(s, ["code", "date"], "left").withColumns({"score": F.coalesce("__s", F.lit(0.0)), "missing": c("__s").isNull()}).drop("__s")
 
 
+#: Stands for a missing feature.
+MISSING = -1e300
+
+
 def walk_forward_score(features: DataFrame, labels: DataFrame, days: DataFrame, blocks: DataFrame, columns: Sequence[str], seed: int = 42,
                        trees: int = 10, depth: int = 4, scored_until: str | None = None) -> DataFrame:
     """Learned score: one gradient-boosted model per block, fit on the rows before it and applied inside
-    it. With ``scored_until`` only later dates are predicted. Blocks are few (one per 42 days); the loop
-    only submits Spark jobs."""
+    it. The block's valid days don't fit: they stop the boosting where more trees no longer help. Every feature row of
+    a block is scored; a missing value is a value of its own, below all others. With ``scored_until`` only later dates
+    are predicted. Blocks are few (one per 42 days); the loop only submits Spark jobs."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    va = VectorAssembler(inputCols=list(columns), outputCol="x", handleInvalid="skip")
-    data = va.transform(features.select("code", "date", *columns).join(labels.select("code", "date", "label"), ["code", "date"], "left"))
+    known = {x: F.when(c(x).isNull() | F.isnan(c(x).cast("double")), F.lit(MISSING)).otherwise(c(x).cast("double")) for x in columns}
+    va = VectorAssembler(inputCols=list(columns), outputCol="x")
+    data = va.transform(features.select("code", "date", *columns).withColumns(known).join(labels.select("code", "date", "label"), ["code", "date"], "left"))
     data = data.select("code", "date", "x", "label").join(F.broadcast(days.select("date", "td_idx")), "date")
     # Every block reads these rows, so they are computed once.
     data = materialize(data, "walk-forward")
@@ -378,8 +384,9 @@ def walk_forward_score(features: DataFrame, labels: DataFrame, days: DataFrame,
             if not ahead:
                 continue
         train = data.filter((c("td_idx") >= b.t0) & (c("td_idx") < b.train_end) & c("label").isNotNull())
-        model = GBTRegressor(featuresCol="x", labelCol="label", predictionCol="p", maxIter=trees, maxDepth=depth, stepSize=0.05,
-                             seed=seed, subsamplingRate=0.8).fit(train.withColumn("label", c("label").cast("double")))
+        train = train.withColumns({"label": c("label").cast("double"), "valid": c("td_idx") >= b.fit_end})
+        model = GBTRegressor(featuresCol="x", labelCol="label", predictionCol="p", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed,
+                             subsamplingRate=0.8, validationIndicatorCol="valid", validationTol=0.0).fit(train)
         pred = data.filter((c("td_idx") >= b.lo) & (c("td_idx") < b.hi))
         if scored_until is not None:
             pred = pred.filter(c("date") > F.lit(scored_until).cast("date"))
@@ -459,8 +466,7 @@ def noise_neighbourhood(returns: DataFrame, weights: DataFrame, sigmas: Sequence
     u1 = random_score(F.lit(1), "sigma", "seed", "date", "member")
     u2 = random_score(F.lit(2), "sigma", "seed", "date", "member")
     gauss = F.sqrt(-2 * F.ln(F.greatest(u1, F.lit(1e-300)))) * F.cos(2 * F.pi() * u2)
-    # A day cannot lose everything: the noise stops short of −100 %.
-    d = d.withColumns({"key": key, "ret": F.greatest(c("ret") + c("sigma") * gauss, F.lit(-0.99))})
+    d = d.withColumns({"key": key, "ret": c("ret") + c("sigma") * gauss})
     w = weights.withColumn("sigma", F.explode(grid)).withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(seeds)))).withColumn("key", key)
     nav = nav_from_weights(w.select("key", "date", "member", "weight"), d.select("key", "date", "member", "ret"))
     perf = performance(nav, ddof=0).withColumn("sigma", F.split_part("key", F.lit("|"), F.lit(1)).cast("double"))

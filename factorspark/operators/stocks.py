@@ -102,11 +102,12 @@ def kurt_sample(x: Column, w) -> Callable:
     return fn
 
 
+# The names of the features.
 FEATURES = (
-    "ret1 ret3 ret5 ret10 ret20 ret60 vol5 vol20 vol60 dvol20 skew20 kurt20 vol_ratio vma_ratio amt_ratio amp amp20 "
-    "intraday overnight bias20 bias60 rsi14 macd_hist win20 win60 sharpe20 trend_streak kdj_j j_dev illiq20 "
-    "rk_ret5 rk_ret20 rk_vol20 rk_amt20 rk_sharpe20"
-).split()
+    "ret1", "ret3", "ret5", "ret10", "ret20", "ret60", "vol5", "vol20", "vol60", "dvol20", "skew20", "kurt20", "vol_ratio", "vma_ratio",
+    "amt_ratio", "amp", "amp20", "intraday", "overnight", "bias20", "bias60", "rsi14", "macd_hist", "win20", "win60", "sharpe20",
+    "trend_streak", "kdj_j", "j_dev", "illiq20", "rk_ret5", "rk_ret20", "rk_vol20", "rk_amt20", "rk_sharpe20",
+)
 
 
 def features(df: DataFrame, wide: bool = False) -> DataFrame:

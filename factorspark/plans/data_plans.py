@@ -256,7 +256,7 @@ def s32b(t):
 
 # ---- calendar and periods ----------------------------------------------------------------------
 
-@query("w28_calendar_bounds", """WITH d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-02', DATE '2001-10-30', INTERVAL 1 DAY)) AS DATE) AS date)
+@query("w28_calendar_bounds", """WITH d AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM f_cal), (SELECT max(date) FROM f_cal), INTERVAL 1 DAY)) AS DATE) AS date)
     SELECT d.date, EXISTS (SELECT 1 FROM f_cal WHERE f_cal.date = d.date) AS is_trading_day,
     (SELECT max(k.date) FROM f_cal AS k WHERE k.date <= d.date) AS last_day, (SELECT min(k.date) FROM f_cal AS k WHERE k.date > d.date) AS next_day FROM d""")
 def w28(t):
@@ -264,7 +264,7 @@ def w28(t):
 
 
 def all_days(t):
-    return t.calendar.limit(1).select(F.explode(F.sequence(day("1995-01-02"), day("2001-10-30"))).alias("date"))
+    return t.calendar.agg(F.explode(F.sequence(F.min("date"), F.max("date"))).alias("date"))
 
 
 @query("w28b_calendar_shift", """SELECT d.date, (SELECT k.date FROM f_cal AS k WHERE k.td_idx = (SELECT max(x.td_idx) FROM f_cal AS x WHERE x.date <= d.date) - 5) AS back5,

@@ -34,8 +34,7 @@ def w17(t):
 @query("w18_limit_up_day", f"""SELECT date, code, close, {R('change_rate', 6)} AS change_rate, CAST(limit_up AS BIGINT) AS limit_up, limit_count, m3, m5, m10, threshold
     FROM f_zt WHERE date = DATE '2024-01-24'""")
 def w18(t):
-    days = t.ubars.select("date").distinct()
-    return rounded(L.limit_up_day(t.ubars, days, "2024-01-24"), change_rate=6)
+    return rounded(L.limit_up_day(t.ubars, "2024-01-24"), change_rate=6)
 
 
 cte("f_lad", 'SELECT date, limit_count AS lbc, count(*) AS n FROM f_zt WHERE limit_count > 0 GROUP BY 1, 2')
@@ -60,7 +59,7 @@ def a13b(t):
 
 
 @query("a14_pool_summary", """WITH d AS (SELECT date, lbc, n FROM f_lad), u AS (SELECT date, CAST(sum(n) AS BIGINT) AS zt_count, max(lbc) AS max_lb,
-    '{' || string_agg('"' || lbc || '":' || n, ',' ORDER BY lbc) FILTER (WHERE lbc <= 10) || '}' AS lb_dist FROM d GROUP BY date),
+    '{' || string_agg('"' || lbc || '":' || n, ',' ORDER BY lbc) || '}' AS lb_dist FROM d GROUP BY date),
     z AS (SELECT date, count(*) AS zb_count FROM f_zt WHERE limit_up = 0 AND high >= round_even((prev_close * (1 + threshold / 100) + 1e-9) * 100, 0) / 100 - 0.001 GROUP BY date)
     SELECT date, coalesce(zt_count, 0) AS zt_count, coalesce(zb_count, 0) AS zb_count, coalesce(max_lb, 0) AS max_lb, lb_dist FROM u FULL JOIN z USING (date)""")
 def a14(t):

@@ -276,28 +276,31 @@ def e10(t):
 MIX_SQL = "((seed * 7919 + CAST(i AS BIGINT) * 104729 + ascii(industry) * 1299709 + length(industry) * 15485863) * 48271) % 2147483647"
 
 
-@query("e11_random_control", f"""WITH r AS (SELECT industry, date, {MIX_SQL} AS s, seed FROM f_sector SEMI JOIN f_mend USING (date), (SELECT CAST(unnest(generate_series(1, 20)) AS BIGINT) AS seed) WHERE pooled),
+@query("e11_random_control", f"""WITH r AS (SELECT industry, date, {MIX_SQL} AS s, seed FROM f_sector SEMI JOIN f_mend USING (date), (SELECT CAST(unnest(generate_series(1, 150)) AS BIGINT) AS seed) WHERE pooled),
     tp AS (SELECT seed, date, industry, 1.0 / count(*) OVER (PARTITION BY seed, date) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY seed, date ORDER BY s DESC, industry) AS rk FROM r) WHERE rk <= 3),
     d AS (SELECT k.date, max(m.date) AS sd FROM f_pdays AS k JOIN (SELECT DISTINCT date FROM tp) AS m ON m.date < k.date GROUP BY k.date),
     n AS (SELECT tp.seed, d.date, sum(tp.weight * coalesce(x.ret, 0)) AS ret FROM d JOIN tp ON tp.date = d.sd LEFT JOIN f_sector AS x ON x.date = d.date AND x.industry = tp.industry GROUP BY 1, 2),
     v AS (SELECT *, exp(sum(ln(1 + ret)) OVER (PARTITION BY seed ORDER BY date ROWS UNBOUNDED PRECEDING)) AS nav FROM n),
     q AS (SELECT *, nav / lag(nav) OVER (PARTITION BY seed ORDER BY date) - 1 AS rr FROM v),
-    p AS (SELECT seed, avg(rr) / stddev_pop(rr) * sqrt(CAST(252 AS DOUBLE)) AS sharpe FROM q GROUP BY seed)
+    p AS (SELECT seed, avg(rr) / stddev_pop(rr) * sqrt(CAST(252 AS DOUBLE)) AS sharpe FROM q GROUP BY seed),
+    rn AS (SELECT date, ret / 1 AS r0, exp(sum(ln(1 + ret)) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING)) AS nav FROM f_nw),
+    rl AS (SELECT avg(rr) / stddev_pop(rr) * sqrt(CAST(252 AS DOUBLE)) AS target FROM (SELECT nav / lag(nav) OVER (ORDER BY date) - 1 AS rr FROM rn))
     SELECT count(*) AS n, {R('avg(sharpe)', 6)} AS sharpe_mean, {R('quantile_cont(sharpe, 0.5)', 6)} AS sharpe_p50, {R('quantile_cont(sharpe, 0.95)', 6)} AS sharpe_p95, {R('max(sharpe)', 6)} AS sharpe_max,
-    {R('avg(CASE WHEN sharpe < 1.5 THEN 1 ELSE 0 END)', 9)} AS percentile, {R('1 - avg(CASE WHEN sharpe < 1.5 THEN 1 ELSE 0 END)', 9)} AS p_value FROM p""")
+    {R('avg(CASE WHEN sharpe < (SELECT target FROM rl) THEN 1 ELSE 0 END)', 9)} AS percentile, {R('1 - avg(CASE WHEN sharpe < (SELECT target FROM rl) THEN 1 ELSE 0 END)', 9)} AS p_value FROM p""")
 def e11(t):
     f = sector_table(t).select("industry", "date", "i", "ret", "pooled")
     pos = F.col("i").cast("bigint")
     ind = F.ascii("industry").cast("bigint") * 1299709 + F.length("industry").cast("bigint") * 15485863
     mix = ((c("key").cast("bigint") * 7919 + pos * 104729 + ind) * 48271) % 2147483647
-    real = t.calendar.limit(1).select(F.lit(1.5).alias("sharpe"))
-    return rounded(E.random_control(f, 20, 3, real, score=mix), sharpe_mean=6, sharpe_p50=6, sharpe_p95=6, sharpe_max=6, percentile=9, p_value=9)
+    nav = E.nav_from_weights(sector_weights(t, sector_table(t)), f.select("date", c("industry").alias("member"), "ret"))
+    real = E.performance(nav, ddof=0).select("sharpe")
+    return rounded(E.random_control(f, 150, 3, real, score=mix), sharpe_mean=6, sharpe_p50=6, sharpe_p95=6, sharpe_max=6, percentile=9, p_value=9)
 
 
 @query("e12_noise_neighbourhood")
 def e12(t):
     f = sector_table(t)
-    return E.noise_neighbourhood(f.select("date", c("industry").alias("member"), "ret").filter(c("ret").isNotNull()), sector_weights(t, f).drop("key"), [0.005, 0.05], 5)
+    return E.noise_neighbourhood(f.select("date", c("industry").alias("member"), "ret").filter(c("ret").isNotNull()), sector_weights(t, f).drop("key"), [0.005, 0.01, 0.02, 0.05, 0.10, 0.20], 5)
 
 
 @query("a23_latest_factors", """SELECT code, round(c0, 2) AS close, round(c0 / c20 - 1, 4) AS mom_20, round(c0 / c60 - 1, 4) AS mom_60, round(sd * sqrt(CAST(252 AS DOUBLE)), 4) AS vol_20 FROM (
@@ -341,9 +344,9 @@ def j9(t):
 
 @query("e13_walk_forward_score")
 def e13(t):
-    f = K.indicators(t.both_bases).select("code", "date", "close", "ret20", "vol20", "sharpe20", "win60", "illiq20")
+    f = K.features(t.both_bases, t.wide).select("code", "date", *K.FEATURES)
     lab = K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
-    return E.walk_forward_score(f, lab, t.calendar, blocks(t, "2001-07-02"), ["ret20", "vol20", "sharpe20", "win60", "illiq20"], trees=3, depth=3)
+    return E.walk_forward_score(f, lab, t.calendar, blocks(t), K.FEATURES, trees=3, depth=3)
 
 
 @query("e14_fill_missing_scores", f"""SELECT date, code, {R('coalesce(v.score, 0)', 9)} AS score, v.score IS NULL AS missing FROM (SELECT date, code FROM f_signals) LEFT JOIN (

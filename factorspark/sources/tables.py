@@ -46,13 +46,13 @@ class Tables:
         part = self.raw("part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
         li = self.raw("lineitem").withColumn("date", F.col("l_shipdate").cast("date")).filter(F.weekday("date") < 5)
         out = li.join(part, li.l_partkey == part.p_partkey)
-        return out.withColumns({"code": F.col("p_brand"), "packed": _packed(F.col("p_retailprice"))})
+        return out.withColumns({"code": F.col("p_brand"), "seq": line_order()})
 
     def _bars(self, df: DataFrame, *keys: str) -> DataFrame:
         px = F.col("p_retailprice")
         return df.groupBy(*keys).agg(
-            _price(F.min("packed")).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
-            _price(F.max("packed")).alias("close"), F.sum("l_quantity").cast("bigint").alias("volume"),
+            F.min_by(px, "seq").alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
+            F.max_by(px, "seq").alias("close"), F.sum("l_quantity").cast("bigint").alias("volume"),
             F.round(F.sum(px * F.col("l_quantity")), 4).alias("amount"))
 
     @cached_property
@@ -101,8 +101,8 @@ class Tables:
         """Daily bars of industry members (brand within type) with a turnover column."""
         px = F.col("p_retailprice")
         g = self.lines.groupBy("p_type", "p_brand", "date").agg(
-            _price(F.min("packed")).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
-            _price(F.max("packed")).alias("close"), F.sum("l_quantity").alias("q"),
+            F.min_by(px, "seq").alias("open"), F.max(px).alias("high"), F.min(px).alias("low"),
+            F.max_by(px, "seq").alias("close"), F.sum("l_quantity").alias("q"),
             F.round(F.sum(px * F.col("l_quantity")), 4).alias("amount"))
         return g.select(
             F.col("p_type").alias("industry"), F.concat("p_brand", F.lit("/"), "p_type").alias("code"), "date",
@@ -201,21 +201,9 @@ class Tables:
                          F.lit("rows"), F.col("n").cast("string")).alias("stages"))
 
 
-# Prices must stay below 2**20 cents; order numbers then have 40 bits left in one BIGINT.
-PRICE_BITS = 20
-
-
-def _packed(price):
-    """(order, line, price) as one ordered BIGINT: its least and greatest value per group hold the first and
-    last price, and plain min/max stay in hash aggregation."""
-    cents = F.round(price * 100).cast("bigint")
-    seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    fits = cents.between(0, 2**PRICE_BITS - 1)
-    return F.when(fits, seq * 2**PRICE_BITS + cents).otherwise(F.raise_error(F.lit("price out of range")).cast("bigint"))
-
-
-def _price(packed):
-    return packed.bitwiseAND(F.lit(2**PRICE_BITS - 1)) / 100.0
+def line_order():
+    """Order and line as one flat number, so that first/last picks stay in hash aggregation."""
+    return F.col("l_orderkey").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("l_linenumber").cast("decimal(10,0)")
 
 
 def _holiday(d):
