@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -103,22 +104,38 @@ def zscore_columns(df: DataFrame, specs: dict[str, str], by_cols: Sequence[str],
     return out.withColumns(z).select(*df.columns, *specs)
 
 
-def rolling_share_le(v: Column, n: int, w: WindowSpec) -> Column:
-    """Share of the last n values that are <= the current one; needs n non-null values."""
-    frame = last_rows(w, n)
-    vals = F.collect_list(v).over(frame)
-    hits = F.size(F.filter(vals, lambda x: x <= v))
-    return F.when(v.isNotNull() & (F.count(v).over(frame) == n), hits / F.lit(float(n)))
+def with_rolling_ranks(df: DataFrame, specs: dict[str, tuple[str, int, int, float]], key: str = "code", order: str = "date") -> DataFrame:
+    """Where each value stands among the last n of its key, as new columns ``<name>_le`` and ``<name>_pct``.
 
+    specs maps a name to (column, n, min_periods, slack): ``_le`` is the share of the last n values that are at most the
+    current one plus the slack and needs n of them, ``_pct`` the averaged rank as a share of the values present and
+    needs min_periods. Each key's bars (bounded by the calendar) pass once through numpy, which compares a block of
+    windows at a time, so no row carries a list of its window.
+    """
+    outs = [f"{o}_{kind}" for o in specs for kind in ("le", "pct")]
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(o, T.DoubleType()) for o in outs])
+    names = schema.fieldNames()
 
-def rolling_pct_rank(v: Column, n: int, min_periods: int, w: WindowSpec) -> Column:
-    """Averaged rank of the current value among the last n, as a share of the values present."""
-    frame = last_rows(w, n)
-    vals = F.collect_list(v).over(frame)
-    below = F.size(F.filter(vals, lambda x: x < v))
-    equal = F.size(F.filter(vals, lambda x: x == v))
-    cnt = F.count(v).over(frame)
-    return F.when(v.isNotNull() & (cnt >= min_periods), (below + (equal + 1) / F.lit(2.0)) / cnt)
+    def rank(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        for out, (col, n, min_periods, slack) in specs.items():
+            x = pdf[col].to_numpy(dtype=float, na_value=np.nan)
+            windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n - 1, np.nan), x]), n)
+            le, pct = np.full(len(x), np.nan), np.full(len(x), np.nan)
+            step = max(1, (1 << 22) // n)
+            for lo in range(0, len(x), step):
+                w, v = windows[lo:lo + step], x[lo:lo + step, None]
+                there = (~np.isnan(w)).sum(1)
+                here = ~np.isnan(v[:, 0])
+                share = (w <= v + slack).sum(1) / n
+                middle = ((w < v).sum(1) + ((w == v).sum(1) + 1) / 2) / np.maximum(there, 1)
+                le[lo:lo + step] = np.where(here & (there == n), share, np.nan)
+                pct[lo:lo + step] = np.where(here & (there >= min_periods), middle, np.nan)
+            pdf[f"{out}_le"], pdf[f"{out}_pct"] = le, pct
+        return pdf[names]
+
+    ranked = df.groupBy(key).applyInPandas(rank, schema)
+    return ranked.withColumns({o: F.nanvl(c, F.lit(None).cast("double")) for o in outs for c in [F.col(o)]})
 
 
 def with_streak(df: DataFrame, flag: Column, out: str, w: WindowSpec, keys: Sequence[str] = ("code",),

@@ -87,7 +87,9 @@ def timing_indicators(series: DataFrame, calendar: DataFrame, yields: DataFrame,
     df = df.withColumns({k: F.last(k, ignorenulls=True).over(W.running(w)) for k in ("wj", "wrsi", "y10")})
     df = df.withColumn("spread", c("div_proxy") - c("y10"))
     n = int(params.val_years * 252)
-    df = df.withColumn("spread_pct", W.rolling_pct_rank(F.round("spread", 9), n, int(n * 0.8), w))
+    places = df.select(KEY, "date", F.round("spread", 9).alias("__s"))
+    places = W.with_rolling_ranks(places, {"spread": ("__s", n, int(n * 0.8), 0.0)}, key=KEY).select(KEY, "date", c("spread_pct"))
+    df = df.join(places, [KEY, "date"])
     df = df.withColumns({"rsi": F.when(c("rd") == 0, F.when(c("ru") > 0, F.lit(100.0))).otherwise(100 - C.div(F.lit(100.0), 1 + C.div(c("ru"), c("rd")))),
                          "macd_hist": 2 * (c("dif") - c("dea"))})
     return df.withColumns({"hi10rsi": W.prior(c("rsi"), 10, F.max, w), "hi10macd": W.prior(c("macd_hist"), 10, F.max, w),

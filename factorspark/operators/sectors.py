@@ -88,8 +88,9 @@ def factors(p: DataFrame, params: SectorParams = SectorParams()) -> DataFrame:
         "mom_raw": (c("mom20") + c("mom60") + c("mom120")) / 3.0,
         "share_chg": C.div(c("share"), F.lag("share", 60).over(w)) - 1,
     })
-    f = f.withColumn("crowd", 0.5 * W.rolling_share_le(c("to_mean"), params.crowd_window, w)
-                     + 0.5 * W.rolling_share_le(c("share_chg"), params.crowd_window, w))
+    n = params.crowd_window
+    f = W.with_rolling_ranks(f, {"__t": ("to_mean", n, n, 0.0), "__c": ("share_chg", n, n, 0.0)}, key=IND)
+    f = f.withColumn("crowd", 0.5 * c("__t_le") + 0.5 * c("__c_le"))
     pooled = c("avail_days") >= params.min_history
     f = f.withColumn("pooled", pooled)
     f = f.withColumns({k: F.when(pooled, c(k)) for k in ("mom_raw", "vol20", "crowd", "r5")})
@@ -133,10 +134,9 @@ def market_cap_scale(series: DataFrame, params: SectorParams = SectorParams()) -
     df = series.withColumn("r", F.coalesce(C.div(c("close"), F.lag("close").over(w)) - 1, F.lit(0.0)))
     df = df.withColumn("v", W.roll(c("r"), params.market_window, F.stddev_pop, w))
     n = params.market_look - params.market_window + 1
-    frame = W.last_rows(w, n)
     # Equal windows count as <=, so compare beyond rounding noise.
-    share = F.size(F.filter(F.collect_list("v").over(frame), lambda x: x <= c("v") + 1e-15)) / F.lit(float(n))
-    df = df.withColumn("mk_pct", F.when(F.count("v").over(frame) == n, share).otherwise(0.0))
+    df = W.with_rolling_ranks(df, {"__v": ("v", n, n, 1e-15)}, key="series_id")
+    df = df.withColumn("mk_pct", F.coalesce("__v_le", F.lit(0.0))).drop("__v_le", "__v_pct")
     return df.withColumn("mk_scale", F.when(c("mk_pct") > 0.90, 0.50).when(c("mk_pct") > 0.80, 0.70).otherwise(1.0))
 
 

@@ -346,7 +346,8 @@ def j9(t):
 def e13(t):
     f = K.features(t.both_bases, t.wide).select("code", "date", *K.FEATURES)
     lab = K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
-    return E.walk_forward_score(f, lab, t.calendar, blocks(t), K.FEATURES, trees=3, depth=3)
+    half_years = E.walk_forward_blocks(t.calendar, "1995-06-01", "1996-01-01", every=126)
+    return E.walk_forward_score(f, lab, t.calendar, half_years, K.FEATURES, trees=3, depth=3)
 
 
 @query("e14_fill_missing_scores", f"""SELECT date, code, {R('coalesce(v.score, 0)', 9)} AS score, v.score IS NULL AS missing FROM (SELECT date, code FROM f_signals) LEFT JOIN (

@@ -223,9 +223,8 @@ cte("f_bdays", "SELECT date, CAST(row_number() OVER (ORDER BY date) AS DOUBLE) A
       / CAST(2 AS DOUBLE)) / count(*) END AS pr
     FROM f_e0 AS a JOIN f_e0 AS b ON a.code = b.code AND b.rn BETWEEN a.rn - 119 AND a.rn GROUP BY a.code, a.date, a.rn)""")
 def w15(t):
-    w = W.by()
-    return rounded(t.bars.select("code", "date", W.rolling_share_le(c("close"), 120, w).alias("le"),
-                                 W.rolling_pct_rank(c("close"), 120, 96, w).alias("pr")), le=9, pr=9)
+    r = W.with_rolling_ranks(t.bars.select("code", "date", "close"), {"close": ("close", 120, 96, 0.0)})
+    return rounded(r.select("code", "date", c("close_le").alias("le"), c("close_pct").alias("pr")), le=9, pr=9)
 
 
 @query("w16_streak", """SELECT code, date, CAST(CASE WHEN up THEN sum(CAST(up AS INT)) OVER (PARTITION BY code, seg ORDER BY date
