@@ -35,7 +35,7 @@ class Automaton:
     """``target[t]`` is the state behind token t. State s was made by the gadget ``made[s]`` from the states of token
     ``owner[s]``; ``origin[t]`` is the state that t led to when it was born. ``lost[t * size + v]`` numbers the gadget in
     which t's state lost its arc for v. ``born[t]`` numbers t's own gadget (-1 for symbols), ``left[t]`` is its first half,
-    ``label[t]`` its text; ``special`` holds texts that are matched whole."""
+    ``label[t]`` its text; ``special`` holds texts that are matched whole; ``dead`` tokens have no arc."""
 
     target: list[int]
     owner: list[int]
@@ -48,6 +48,7 @@ class Automaton:
     token: dict[str, int]
     suffix: str
     special: dict[str, int]
+    dead: set[int]
 
 
 def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str, special: dict[str, int]) -> Automaton:
@@ -57,16 +58,20 @@ def compile_merges(vocab: dict[str, int], merges: list[tuple[str, str]], suffix:
         label[i] = text
     target, origin, born, left = [0] * size, [0] * size, [-1] * size, [-1] * size
     owner, made = [-1], [-1]  # state 0 has arcs for all tokens
-    lost = {}
+    lost: dict[int, int] = {}
+    built = Automaton(target, owner, made, origin, lost, born, left, label, dict(vocab), suffix, dict(special), set())
     for k, (a, b) in enumerate(merges):
         u, v, w = vocab[a], vocab[b], vocab[a + b]
+        if u in built.dead or arc(built, target[u], v) < 0:  # an earlier merge always takes u or v: w is never made
+            built.dead.add(w)
+            continue
         born[w], left[w] = k, u
         target[w] = origin[w] = target[v]
         owner.append(u)
         made.append(k)
         lost[u * size + v] = k
         target[u] = len(owner) - 1
-    return Automaton(target, owner, made, origin, lost, born, left, label, dict(vocab), suffix, dict(special))
+    return built
 
 
 def arc(a: Automaton, state: int, t: int) -> int:
@@ -75,6 +80,8 @@ def arc(a: Automaton, state: int, t: int) -> int:
     ``t`` inherited its arc from its first half when it was born, that one from its own first half, and so on: the arc is
     missing if the state or one it stems from had lost a token of this chain before the next one in it was born.
     """
+    if t in a.dead:
+        return -1
     size = len(a.target)
     while state > 0:
         at, until = a.owner[state] * size, a.made[state]
@@ -116,7 +123,7 @@ BLANK_RUN = re.compile(f"[{BLANK}]+")
 class Encoder:
     """Encodes and decodes texts as the tokenizer described by a vocabulary file (JSON text) does."""
 
-    def __init__(self, automaton: Automaton, kept: int = 600_000):
+    def __init__(self, automaton: Automaton, kept: int = 250_000):
         self.a = automaton
         self.kept = kept
         self.rows: dict[int, dict[int, int]] = {}

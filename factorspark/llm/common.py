@@ -41,8 +41,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that a task holds few texts as Python strings at once; none is empty."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply ``f`` to each Arrow batch; it returns the columns of ``schema`` as arrays or lists."""
+    """Apply ``f`` to parts of Arrow batches; it returns the columns of ``schema`` as arrays or lists."""
     spark = df.sparkSession
     ship(spark)
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -50,11 +57,10 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str)
     target = to_arrow_schema(spark.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                cols = f(b)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[x.name], type=x.type) if not isinstance(cols[x.name], pa.Array)
-                                                  else cols[x.name].cast(x.type) for x in target], schema=target)
+        for b in slices(batches):
+            cols = f(b)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[x.name], type=x.type) if not isinstance(cols[x.name], pa.Array)
+                                              else cols[x.name].cast(x.type) for x in target], schema=target)
 
     return df.mapInArrow(run, schema)
 

@@ -52,7 +52,7 @@ def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
     total = np.zeros((n, k))
     letters = np.zeros(n, dtype=bool)
     buckets = model.log_prob.shape[1]
-    for rows, parts in textcodes.pieces(texts, size=max(1 << 14, min(1 << 20, (1 << 24) // max(1, k)))):
+    for rows, parts in textcodes.pieces(texts, size=max(1 << 14, min(1 << 18, (1 << 22) // max(1, k)))):
         two, three, bounds = grams(parts, buckets)
         at = np.asarray(rows)
         np.logical_or.at(letters, at, np.diff(bounds) > 0)
@@ -101,10 +101,9 @@ def keep_known(docs: DataFrame, held: tuple[int, int], key: str = "doc_id", text
     place = docs.columns.index(text)
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                names, _ = score(shared.value, b.column(place).to_pylist())
-                yield b.filter(common.pa.array([x != UNKNOWN for x in names]))
+        for b in common.slices(batches):
+            names, _ = score(shared.value, b.column(place).to_pylist())
+            yield b.filter(common.pa.array([x != UNKNOWN for x in names]))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -28,7 +28,7 @@ def kinds(codes: np.ndarray) -> np.ndarray:
     return _kinds()[codes]
 
 
-def pieces(texts: list[str | None], size: int = 1 << 20, overlap: int = 0) -> Iterator[tuple[list[int], list[str]]]:
+def pieces(texts: list[str | None], size: int = 1 << 18, overlap: int = 0) -> Iterator[tuple[list[int], list[str]]]:
     """Groups of about ``size`` characters that together hold every text whole.
 
     A longer text is cut at white space; ``overlap`` words before a cut are repeated after it. Null is empty.

@@ -211,11 +211,10 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text", lang: str | No
     place, tongue = docs.columns.index(text), docs.columns.index(lang) if lang else None
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                s = score(shared.value, b.column(place).to_pylist())
-                names = b.column(tongue).to_pylist() if tongue is not None else [None] * len(s)
-                limit = np.array([shared.value.thresholds.get(str(x), default) for x in names])
-                yield b.filter(common.pa.array(s < limit))
+        for b in common.slices(batches):
+            s = score(shared.value, b.column(place).to_pylist())
+            names = b.column(tongue).to_pylist() if tongue is not None else [None] * len(s)
+            limit = np.array([shared.value.thresholds.get(str(x), default) for x in names])
+            yield b.filter(common.pa.array(s < limit))
 
     return docs.mapInArrow(run, docs.schema)

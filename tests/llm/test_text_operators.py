@@ -286,7 +286,7 @@ def test_quality_learns_structure_and_takes_odd_rows(spark):
         labels.append((i, int(good), 0))
     docs = spark.createDataFrame(rows, SCHEMA)
     model = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), held=(5, 0))
-    s = quality.score(model, ["w1 w2 w3 w4 w5 w6 w7", "w1%%% w2%%% w3%%% w4%%% w5%%% w6%%%", *ODD], [20, 40, *[None] * len(ODD)])
+    s = quality.score(model, [" ".join(words[:60]), "%%% ".join(words[:60]), *ODD], [229, 400, *[None] * len(ODD)])
     assert s[0] > 0.5 > s[1] and ((s >= 0) & (s <= 1)).all()
     assert quality.predict(table(spark, []), model).collect() == []
     got = quality.predict(docs.union(docs.limit(1)), model)
