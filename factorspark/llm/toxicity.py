@@ -102,7 +102,7 @@ def fit(rows: list[tuple[int, str]], prior: float, buckets: int = 1 << 14, dims:
     params = [model.embed, *model.filters, *model.bias, model.out, np.zeros(1, np.float32)]
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, min(30, 400 * batch // len(data)))):  # few rows need more rounds
         order = rng.permutation(len(data))
         for lo in range(0, len(order), batch):
             pick = order[lo:lo + batch]
