@@ -12,7 +12,7 @@ from factorspark.plans.registry import R, query, rounded
 from factorspark.schema import BAR
 from factorspark.session import materialize, shared_dir
 from factorspark.sources import ingest as G
-from factorspark.sources.store import (BarStore, EventStore, envelopes, export_layout, gap_backfill, load_meta, retention_plan, seed_meta,
+from factorspark.sources.store import (BarStore, EventStore, envelopes, export_layout, gap_backfill, load_meta, read_legacy, retention_plan, seed_meta,
                                        split_variants, trim_rolling, write_reports)
 from factorspark.sources.tables import brand_number
 
@@ -60,6 +60,53 @@ def s1b(t):
     return st.load().select(*COLS)
 
 
+@query("s2b_legacy_layout", """SELECT code, date, CASE WHEN date >= DATE '2024-01-21' THEN close + 2 WHEN date >= DATE '2024-01-11' THEN close + 1 ELSE close END AS close FROM f_ubars""")
+def s2b(t):
+    """The older layout: flat sealed files, month folders, increments by day and flat; later parts win."""
+    root = shared_dir(t.spark, "legacy")
+    b = materialize(t.ubars.select(*COLS), "bars")
+    plus = lambda lo, k: b.filter(c("date") >= day(lo)).withColumn("close", c("close") + k)
+    b.write.mode("append").parquet(root)
+    plus("2024-01-11", 1).write.parquet(f"{root}/year=2024/month=01")
+    plus("2024-01-21", 2).write.parquet(f"{root}/_incr/20240130")
+    return read_legacy(t.spark, root).select("code", "date", "close")
+
+
+@query("s5b_stored_weekly", "SELECT code, period_key, date, close FROM f_weekly WHERE NOT is_partial")
+def s5b(t):
+    st = BarStore(t.spark, shared_dir(t.spark, "store"), "index")
+    st.write_sealed(t.bars.withColumn("code", brand_code(c("code"))))
+    st.write_derived("weekly", t.calendar, "2001-10-24")
+    names = t.bars.select(c("code").alias("name"), brand_code(c("code")).alias("code")).distinct()
+    return st.load(freq="weekly").join(names, "code").select(c("name").alias("code"), "period_key", "date", "close")
+
+
+@query("a9b_manifest_states", """SELECT 'sealed' AS kind, ym, CASE WHEN ym = '1999-03' THEN 'changed' WHEN ym = '1999-04' THEN 'gone' WHEN ym = '1999-05' THEN 'unlisted' ELSE 'ok' END AS state
+    FROM (SELECT DISTINCT strftime(date, '%Y-%m') AS ym FROM f_sbars)""")
+def a9b(t):
+    """The writers' notes tell a month changed behind their back, one removed and one added."""
+    st = BarStore(t.spark, shared_dir(t.spark, "store"))
+    b = materialize(sbars(t).select(*COLS), "bars")
+    st.write_sealed(b.filter(C.month_key(c("date")) != "1999-05"))
+    behind = b.filter(C.month_key(c("date")).isin("1999-03", "1999-05")).withColumn("close", c("close") + 1)
+    st._spread(st._with_month(behind)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(st.sealed_path)
+    st._clear(st.sealed_path, "1999-04")
+    return st.verify()
+
+
+@query("s27b_retention_applied", """WITH gone AS (SELECT DISTINCT strftime(date, '%Y-%m') AS ym FROM f_sbars WHERE CAST(last_day(date) AS DATE) <
+      (SELECT min(date) FROM (SELECT date FROM f_cal WHERE date <= DATE '2001-10-26' ORDER BY date DESC LIMIT 1251)))
+    SELECT CASE WHEN strftime(date, '%Y-%m') IN (SELECT ym FROM gone) THEN 'archive' ELSE 'store' END AS place, strftime(date, '%Y-%m') AS ym, count(*) AS n FROM f_sbars GROUP BY 1, 2""")
+def s27b(t):
+    root = shared_dir(t.spark, "store")
+    st = BarStore(t.spark, root, "stock")
+    st.write_sealed(sbars(t).select(*COLS))
+    st.expire(t.calendar, "2001-10-26", 1250, archive=f"{root}/archive", dry_run=False)
+    left = st.manifest().select(F.lit("store").alias("place"), "ym", c("rows").alias("n"))
+    kept = t.spark.read.parquet(f"{root}/archive/stock/raw").groupBy("ym").agg(F.count("*").alias("n"))
+    return left.unionByName(kept.select(F.lit("archive").alias("place"), "ym", "n"))
+
+
 @query("s8_read_month", f"SELECT {BARS} FROM f_sbars WHERE strftime(date, '%Y-%m') = '1999-03'")
 def s8(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"))

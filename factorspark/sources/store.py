@@ -16,10 +16,15 @@ from pyspark.sql import types as T
 
 from factorspark.functions import columns as C
 from factorspark.operators import bars as B
+from factorspark.operators import quality as Q
 from factorspark.schema import (ASSETS, BAR, BASES, EVENTS, FREQS, OPTIONAL, PRIVATE_META, ContractError, check_retention)
 
 c = F.col
 
+MANIFEST = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("ym", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("codes", T.LongType()),
+    T.StructField("date_min", T.DateType()), T.StructField("date_max", T.DateType()), T.StructField("fingerprint", T.LongType())])
+
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -76,10 +81,8 @@ class BarStore:
         the month partitions."""
         if freq not in FREQS:
             raise ContractError(f"unknown frequency {freq!r}")
-        if freq != "daily" and self.asset == "stock":
-            raise ContractError("stock bars are not kept as weekly or monthly tables")
         if freq != "daily":
-            raise ContractError("derived bars are read by load_derived")
+            return B.filter_rows(self.derived(freq), codes, start, end, last_n)
         parts = [p for p in (self.sealed(), self.increments()) if p is not None]
         if not parts:
             raise ContractError(f"no bars under {self.base}")
@@ -94,6 +97,66 @@ class BarStore:
         df = B.load_bars([prune(p) for p in parts], None if fix is None else fix.drop("ym"))
         return B.filter_rows(B.select_columns(df, columns), codes, start, end, last_n)
 
+    def derived(self, freq: str, closed_only: bool = True) -> DataFrame:
+        """The stored weekly or monthly bars, by default without unfinished periods."""
+        if freq not in FREQS or freq == "daily":
+            raise ContractError(f"unknown derived frequency {freq!r}")
+        if self.asset == "stock":
+            raise ContractError("stock bars are not kept as weekly or monthly tables")
+        try:
+            df = self.spark.read.parquet(f"{self.base}/derived/{freq}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                raise ContractError(f"no {freq} bars under {self.base}") from e
+            raise
+        return B.load_derived(df.drop("ym"), closed_only)
+
+    def write_derived(self, freq: str, calendar: DataFrame, asof: str | None = None) -> None:
+        """Aggregate the daily bars and replace the stored weekly or monthly table."""
+        if self.asset == "stock":
+            raise ContractError("stock bars are not kept as weekly or monthly tables")
+        bars = B.aggregate_period(self.load().select(*BAR.fieldNames()), freq, calendar, asof)
+        self._spread(self._with_month(bars)).write.mode("overwrite").partitionBy("ym").parquet(f"{self.base}/derived/{freq}")
+
+    # -- manifest --------------------------------------------------------------------------------
+    def _partitions(self, months: Sequence[str] | None = None) -> DataFrame:
+        """Rows, codes, dates and fingerprint of each stored month of sealed and incremental bars."""
+        parts = []
+        for kind, df in (("sealed", self.sealed()), ("incr", self.increments())):
+            if df is not None:
+                df = df if months is None else df.filter(c("ym").isin(list(months)))
+                parts.append(Q.manifest(df, ["ym"]).withColumn("kind", F.lit(kind)))
+        if not parts:
+            raise ContractError(f"no bars under {self.base}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def manifest(self) -> DataFrame:
+        """What the writers noted of each month: kind, ym, rows, codes, date_min, date_max, fingerprint."""
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.base}/manifest")
+
+    def _note(self, months: Sequence[str]) -> None:
+        """Write the entries of the touched months anew; months that are gone lose theirs."""
+        now = self._partitions(months).select(*[f.name for f in MANIFEST.fields])
+        rows = now.collect()  # two entries a month at most
+        self.spark.createDataFrame(rows, MANIFEST).repartition(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("kind", "ym").parquet(f"{self.base}/manifest")
+        held = {(r.kind, r.ym) for r in rows}
+        for kind in ("sealed", "incr"):
+            for ym in months:
+                if (kind, ym) not in held:
+                    self._remove(f"{self.base}/manifest/kind={kind}/ym={ym}")
+
+    def verify(self) -> DataFrame:
+        """``kind, ym, state`` of each month: ok, changed since it was noted, gone, or unlisted."""
+        note = self.manifest().select("kind", "ym", c("fingerprint").alias("was"), c("rows").alias("n_was"))
+        now = self._partitions().select("kind", "ym", c("fingerprint").alias("is"), c("rows").alias("n_is"))
+        same = (c("was") == c("is")) & (c("n_was") == c("n_is"))
+        state = F.when(c("is").isNull(), "gone").when(c("was").isNull(), "unlisted").when(same, "ok").otherwise("changed")
+        return note.join(now, ["kind", "ym"], "full_outer").select("kind", "ym", state.alias("state"))
+
     def month(self, ym: str) -> DataFrame:
         """Sealed and incremental rows of one month; only its partitions are read."""
         parts = [p.filter(c("ym") == ym).drop("ym") for p in (self.sealed(), self.increments()) if p is not None]
@@ -111,6 +174,11 @@ class BarStore:
 
     def write_sealed(self, df: DataFrame) -> None:
         self._spread(self._with_month(df)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.sealed_path)
+        self._note(self._months(df))
+
+    @staticmethod
+    def _months(df: DataFrame) -> list[str]:
+        return [r.ym for r in df.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
 
     def append_day(self, df: DataFrame, day: str, overwrite: bool = False) -> str:
         """Idempotent append of one day: the same number of rows again is skipped, another number is an
@@ -129,8 +197,10 @@ class BarStore:
         if n_old:
             month = old.filter((c("ym") == day[:7]) & (c("date") != d)).drop("ym").select(*BAR.fieldNames())
             self._replace(month.unionByName(new), self.incr_path)
+            self._note([day[:7]])
             return "overwritten"
         self._with_month(new).repartitionByRange("code").write.mode("append").partitionBy("ym").parquet(self.incr_path)
+        self._note([day[:7]])
         return "written"
 
     def append_days(self, df: DataFrame) -> DataFrame:
@@ -154,18 +224,20 @@ class BarStore:
         todo = [r["date"] for r in rows if r["state"] == "written"]
         if todo:
             self._spread(self._with_month(new.filter(c("date").isin(todo)))).write.mode("append").partitionBy("ym").parquet(self.incr_path)
+            self._note(sorted({d.isoformat()[:7] for d in todo}))
         return plan
 
     def append_frozen(self, df: DataFrame) -> None:
         """Append rows with new keys; a key that is already there would change frozen history."""
         new = B.coerce(df, BAR)
         old = self.increments()
+        months = self._months(new)
         if old is not None:
-            months = [r.ym for r in new.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
             old = old.filter(c("ym").isin(months))
         if old is not None and new.join(old.select("code", "date"), ["code", "date"], "left_semi").limit(1).count():
             raise ContractError("rows of frozen keys")
         self._with_month(new).write.mode("append").partitionBy("ym").parquet(self.incr_path)
+        self._note(months)
 
     def _replace(self, df: DataFrame, path: str, files: int | None = None) -> None:
         """Overwrite the months of df, which may be read from them: the rows are staged beside the table and the stage
@@ -183,11 +255,12 @@ class BarStore:
         """Merge rows into their months: sealed, incremental and new rows, each winning over those before, no other code
         is lost. The months' increments are part of the result and are cleared."""
         new = B.coerce(df, BAR)
-        months = [r.ym for r in new.select(C.month_key(c("date")).alias("ym")).distinct().collect()]  # bounded by the calendar
+        months = self._months(new)
         old = [p.filter(c("ym").isin(months)).select(*BAR.fieldNames()) for p in (self.sealed(), self.increments()) if p is not None]
         self._replace(B.load_bars([*old, new]).select(*BAR.fieldNames()), self.sealed_path)
         for ym in months:
             self._clear(self.incr_path, ym)
+        self._note(months)
 
     def seal(self, ym: str, codes_per_file: int = 200, dry_run: bool = False) -> int:
         """Compact the increments of one month into sorted files of ``codes_per_file`` codes. A key that is sealed
@@ -206,6 +279,7 @@ class BarStore:
         if self.sealed().filter(c("ym") == ym).count() != stats.n:
             raise ContractError(f"sealing {ym} lost rows")
         self._clear(self.incr_path, ym)
+        self._note([ym])
         return stats.n
 
     def _clear(self, path: str, ym: str) -> None:
@@ -214,10 +288,44 @@ class BarStore:
     def _remove(self, path: str) -> None:
         remove_folder(self.spark, path)
 
-    def expire(self, calendar: DataFrame, today: str, keep: int | None) -> DataFrame:
-        """Months this asset no longer has to keep."""
+    def expire(self, calendar: DataFrame, today: str, keep: int | None, archive: str | None = None, dry_run: bool = True) -> DataFrame:
+        """Months this asset no longer has to keep. Unless it is a dry run, their rows go to the folder ``archive`` (if
+        one is given), then their partitions and manifest entries are removed; whole months only, nothing is rewritten."""
         check_retention(self.asset, keep)
-        return retention_plan(self.sealed().select("ym").distinct(), calendar, today, keep)
+        stored = [p.select("ym") for p in (self.sealed(), self.increments()) if p is not None]
+        plan = retention_plan(stored[0].unionByName(stored[-1]).distinct(), calendar, today, keep)
+        if dry_run:
+            return plan
+        rows = plan.collect()  # one row per month
+        months = [r.ym for r in rows]
+        done = self.spark.createDataFrame(rows, plan.schema)
+        if months:
+            if archive is not None:
+                parts = [p.filter(c("ym").isin(months)) for p in (self.sealed(), self.increments()) if p is not None]
+                kept = B.load_bars([p.drop("ym") for p in parts])
+                self._spread(self._with_month(kept)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(
+                    f"{archive.rstrip('/')}/{self.asset}/{self.basis}")
+            for ym in months:
+                self._clear(self.sealed_path, ym)
+                self._clear(self.incr_path, ym)
+            self._note(months)
+        return done
+
+
+def read_legacy(spark: SparkSession, base: str, schema: T.StructType = BAR) -> DataFrame:
+    """Bars of the older layout: flat sealed files and year=/month= folders below ``base``, increments below ``_incr``, as day
+    folders or flat. Sealed rows come first, so increments win."""
+    parts = []
+    for globs in (["*.parquet", "year=*/month=*/*.parquet"], ["_incr/*.parquet", "_incr/*/*.parquet"]):
+        for g in globs:
+            try:
+                parts.append(spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{g}"))
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+    if not parts:
+        raise ContractError(f"no bars under {base}")
+    return B.load_bars([p.select(*schema.fieldNames()) for p in parts])
 
 
 def retention_plan(months: DataFrame, calendar: DataFrame, today: str, keep: int | None) -> DataFrame:
