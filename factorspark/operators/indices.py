@@ -82,7 +82,7 @@ def timing_indicators(series: DataFrame, calendar: DataFrame, yields: DataFrame,
         "upper": c("ma20") + 2 * c("std20"), "lower": c("ma20") - 2 * c("std20"),
         "up63": (C.div(px, c("lo63")) - 1) * 100, "dn63": (C.div(px, c("hi63")) - 1) * 100, "dn10": (C.div(px, c("hi10")) - 1) * 100})
     # Weekly values and the yield hold from the day they are known on.
-    y = yields.select("date", "y10")
+    y = yields.groupBy("date").agg(F.max("y10").alias("y10"))  # one row per day
     df = df.join(weekly_indicators(series, calendar), [KEY, "date"], "left").join(F.broadcast(y), "date", "left")
     df = df.withColumns({k: F.last(k, ignorenulls=True).over(W.running(w)) for k in ("wj", "wrsi", "y10")})
     df = df.withColumn("spread", c("div_proxy") - c("y10"))

@@ -16,7 +16,7 @@ def asof_by_date(left: DataFrame, right: DataFrame, values: Sequence[str]) -> Da
     The fill runs once per distinct date (bounded by the calendar), then an equality join carries it to
     all left rows.
     """
-    fill = right.select("date", F.struct(*values).alias("__v"))
+    fill = right.groupBy("date").agg(F.max(F.struct(*values)).alias("__v"))  # one row per date, of several the greatest
     spine = left.select("date").distinct().join(fill, "date", "full_outer")
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     filled = spine.select("date", F.last("__v", ignorenulls=True).over(w).alias("__v"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
+from factorspark.schema import BAR, OPTIONAL, PARTIAL_FLAG
 
 c = F.col
 
@@ -57,17 +58,20 @@ def freshness(bars: DataFrame, required: DataFrame, last_closed: str) -> DataFra
 
 
 def audit_bars(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Rule -> number of offending rows (off-calendar: dates inside the calendar range)."""
+    """Rule -> number of offending rows (off-calendar: dates inside the calendar range; rows without a key are missing
+    keys, not duplicates; unknown columns are those of no contract table)."""
     per_key = df.groupBy("code", "date").agg(
         F.count("*").alias("n"), F.count_if(~F.coalesce(c("close") > 0, F.lit(False))).alias("bad_close"),
         F.count_if(~((c("low") <= F.least("open", "close")) & (F.greatest("open", "close") <= c("high")))).alias("bad_ohlc"))
-    counts = per_key.agg(F.coalesce(F.sum("bad_close"), F.lit(0)).alias("close_not_positive"), F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("duplicate_key"),
-                         F.coalesce(F.sum("bad_ohlc"), F.lit(0)).alias("ohlc_order"), F.count_if(c("code").isNull() | c("date").isNull()).alias("missing_key"))
+    keyed = c("code").isNotNull() & c("date").isNotNull()
+    counts = per_key.agg(F.coalesce(F.sum("bad_close"), F.lit(0)).alias("close_not_positive"), F.coalesce(F.sum(F.when(keyed, c("n") - 1)), F.lit(0)).alias("duplicate_key"),
+                         F.coalesce(F.sum("bad_ohlc"), F.lit(0)).alias("ohlc_order"), F.coalesce(F.sum(F.when(~keyed, c("n"))), F.lit(0)).alias("missing_key"))
     span = calendar.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     off = df.select("date").distinct().join(F.broadcast(calendar.select("date")), "date", "left_anti")
     off = off.filter(c("date").between(span.select("lo").scalar(), span.select("hi").scalar())).agg(F.count("*")).scalar()
-    counts = counts.withColumn("off_calendar", off)
-    return _rows(counts, ["close_not_positive", "duplicate_key", "ohlc_order", "missing_key", "off_calendar"])
+    known = {*BAR.fieldNames(), *OPTIONAL.fieldNames(), PARTIAL_FLAG}
+    counts = counts.withColumns({"off_calendar": off, "unknown_columns": F.lit(len([x for x in df.columns if x not in known]))})
+    return _rows(counts, ["close_not_positive", "duplicate_key", "ohlc_order", "missing_key", "off_calendar", "unknown_columns"])
 
 
 def audit_events(df: DataFrame, keys: Sequence[str], allowed: Sequence[str]) -> DataFrame:

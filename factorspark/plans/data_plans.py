@@ -470,7 +470,7 @@ def a4(t):
     SELECT 'duplicate_key', count(*) - count(DISTINCT (code, date)) FROM f_bad UNION ALL
     SELECT 'ohlc_order', count(*) FILTER (WHERE NOT (low <= least(open, close) AND greatest(open, close) <= high)) FROM f_bad UNION ALL
     SELECT 'missing_key', count(*) FILTER (WHERE code IS NULL OR date IS NULL) FROM f_bad UNION ALL
-    SELECT 'off_calendar', count(DISTINCT date) FROM f_bad ANTI JOIN f_cal USING (date)""")
+    SELECT 'off_calendar', count(DISTINCT date) FROM f_bad ANTI JOIN f_cal USING (date) UNION ALL SELECT 'unknown_columns', 0""")
 def a6(t):
     return Q.audit_bars(broken(t), t.calendar)
 

@@ -230,13 +230,18 @@ def from_records(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame
     return r.select(*out)
 
 
-POOL_SCHEMA = ("c string, n string, p double, zdp double, amount double, ltsz double, tshare double, hs double, fund double, fbt bigint, lbt bigint, "
-               "zbc bigint, lbc bigint, zttj struct<days: bigint, ct: bigint>, hybk string")
+# The fields of a limit-up pool row.
+POOL_FIELDS = (
+    ("c", "string"), ("n", "string"), ("p", "double"), ("zdp", "double"), ("amount", "double"), ("ltsz", "double"), ("tshare", "double"),
+    ("hs", "double"), ("fund", "double"), ("fbt", "bigint"), ("lbt", "bigint"), ("zbc", "bigint"), ("lbc", "bigint"),
+    ("zttj", "struct<days: bigint, ct: bigint>"), ("hybk", "string"),
+)
 
 
 def pool_from_json(df: DataFrame) -> DataFrame:
     """(date, value): answer with data.pool array to limit-up pool rows; prices come in 1/1000."""
-    body = F.from_json("value", f"rc bigint, data struct<pool: array<struct<{_nested(POOL_SCHEMA)}>>>")
+    row = ", ".join(f"{name}: {kind}" for name, kind in POOL_FIELDS)
+    body = F.from_json("value", f"rc bigint, data struct<pool: array<struct<{row}>>>")
     r = df.select("date", body.alias("j")).filter(c("j.rc") == 0).select("date", F.explode("j.data.pool").alias("p"))
     return r.select(
         "date", F.coalesce("p.c", F.lit("")).alias("code"), c("p.n").alias("name"), F.when(c("p.p") != 0, c("p.p") / 1000.0).alias("price"),
@@ -246,23 +251,6 @@ def pool_from_json(df: DataFrame) -> DataFrame:
         c("p.hybk").alias("industry"))
 
 
-def _nested(ddl: str) -> str:
-    """Column list to the inside of a struct type."""
-    return ", ".join(f.replace(" ", ": ", 1) if "struct<" not in f.split(" ", 1)[0] else f for f in _split_top(ddl))
-
-
-def _split_top(ddl: str) -> list[str]:
-    out, depth, cur = [], 0, ""
-    for ch in ddl:
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            out.append(cur.strip())
-            cur = ""
-        else:
-            cur += ch
-    return [*out, cur.strip()]
-
-
 # ---- special-treatment history and array stores ------------------------------------------------
 
 def merge_st(history: DataFrame, increment: DataFrame) -> DataFrame:
