@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from factorspark.schema import BAR, ContractError
 from factorspark.sources import ingest as G
-from factorspark.sources.store import BarStore, EventStore, load_meta
+from factorspark.sources.store import BarStore, EventStore, load_meta, read_legacy
 
 c = F.col
 
@@ -141,3 +141,35 @@ def test_shared_folder_needs_a_setting_on_a_cluster(monkeypatch):
         session.shared_dir(Session(), "x")
     Session.conf = Conf({"spark.master": "spark://host:7077", "spark.checkpoint.dir": "hdfs://n/ck"})
     assert session.shared_dir(Session(), "x").startswith("hdfs://n/ck/x-")
+
+
+def test_derived_tables_manifest_and_retention(spark, tmp_path):
+    days = [d("2025-01-02") + dt.timedelta(days=i) for i in range(60)]
+    days = [x for x in days if x.weekday() < 5]
+    cal = spark.createDataFrame([(x, i + 1) for i, x in enumerate(days)], "date date, td_idx long")
+    bars = spark.createDataFrame([("000300", x, 9.0, 12.0, 8.0, 10.0 + i, 100, 1000.0) for i, x in enumerate(days)], BAR)
+    st = BarStore(spark, str(tmp_path), "index")
+    with pytest.raises(ContractError):
+        st.load(freq="weekly")
+    st.append_days(bars)
+    st.seal("2025-01")
+    st.write_derived("weekly", cal)
+    weekly = st.load(freq="weekly")
+    assert weekly.count() == len({x.isocalendar()[:2] for x in days}) and not weekly.filter("is_partial").count()
+    assert {r.state for r in st.verify().collect()} == {"ok"}
+    assert {(r.kind, r.ym) for r in st.manifest().collect()} == {("sealed", "2025-01"), ("incr", "2025-02"), ("incr", "2025-03")}
+    st._clear(st.incr_path, "2025-02")
+    assert {(r.ym, r.state) for r in st.verify().collect()} == {("2025-01", "ok"), ("2025-02", "gone"), ("2025-03", "ok")}
+    with pytest.raises(ContractError):
+        st.expire(cal, "2025-02-28", 10)  # indices are kept for ever
+
+
+def test_legacy_layout(spark, tmp_path):
+    base = f"{tmp_path}/old"
+    day_frame(spark, "2025-01-02").write.parquet(base)
+    day_frame(spark, "2025-01-03", close=5.0).write.parquet(f"{base}/year=2025/month=01")
+    day_frame(spark, "2025-01-03", ("600000",), 7.0).write.parquet(f"{base}/_incr/20250103")
+    got = {(r.code, str(r.date)): r.close for r in read_legacy(spark, base).collect()}
+    assert len(got) == 6 and got[("600000", "2025-01-03")] == 7.0 and got[("000001", "2025-01-03")] == 5.0
+    with pytest.raises(ContractError):
+        read_legacy(spark, f"{tmp_path}/nothing")
