@@ -161,9 +161,9 @@ def _gradients(model: Model, params: list, docs: list[np.ndarray], y: np.ndarray
 
 
 def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list, default: float = 0.3, least: int = 20) -> dict:
-    """For each language the threshold between 0.1 and 0.9 with the best F1, the one nearest to ``default`` of equals.
+    """For each language the threshold between 0.2 and 0.7 with the best F1, the one nearest to ``default`` of equals.
     Languages with fewer than ``least`` rows of either label take ``default``."""
-    grid = np.round(np.arange(0.1, 0.901, 0.05), 2)
+    grid = np.round(np.arange(0.2, 0.701, 0.05), 2)
     names = np.array([x if x is not None else "" for x in langs], dtype=object)
     out = {}
     for lang in sorted(set(names.tolist())):
