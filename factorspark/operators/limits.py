@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
 from factorspark.functions import windows as W
+from factorspark.session import materialize
 
 c = F.col
 
@@ -75,17 +76,23 @@ def pool_summary(daily: DataFrame, broken: DataFrame, longest: int | None = None
 SEAT_GROUP = ("date", "code", "trade_id", "side")
 
 
-def rank_seats(seats: DataFrame, wide: bool = False) -> DataFrame:
+def seat_amount() -> Column:
+    return F.when(c("side") == "buy", F.coalesce("buy", F.lit(0.0))).otherwise(F.coalesce("sell", F.lit(0.0)))
+
+
+def top_seats(seats: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` ranks only: each task keeps the best of a group before the shuffle, so no group meets whole."""
+    w = Window.partitionBy(*SEAT_GROUP).orderBy(seat_amount().desc(), "seat_code")
+    return seats.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(c("rank") <= n)
+
+
+def rank_seats(seats: DataFrame) -> DataFrame:
     """Rank per (date, code, trade, side) by the amount of that side, equal amounts by seat code.
 
-    The wide form is for groups too large for one task: positions come from the distinct amounts, which
-    spread over many tasks, and only seats of one and the same amount are numbered together.
+    One plan for groups of any size: positions come from the distinct amounts, which spread over many tasks, and only
+    seats of one and the same amount are numbered together.
     """
-    amount = F.when(c("side") == "buy", F.coalesce("buy", F.lit(0.0))).otherwise(F.coalesce("sell", F.lit(0.0)))
-    if not wide:
-        w = Window.partitionBy(*SEAT_GROUP).orderBy(amount.desc(), "seat_code")
-        return seats.withColumn("rank", F.row_number().over(w).cast("bigint"))
-    d = seats.withColumn("__amt", amount)
+    d = materialize(seats.withColumn("__amt", seat_amount()), "seats")  # read by every branch below
     pos = W.value_positions(d, "__amt", SEAT_GROUP)
     n = d.groupBy(*SEAT_GROUP).agg(F.count("*").alias("__n"))
     same = Window.partitionBy(*SEAT_GROUP, "__amt").orderBy("seat_code")

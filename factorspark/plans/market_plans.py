@@ -78,7 +78,7 @@ def w20(t):
 @query("w20b_rank_seats_wide", """SELECT date, code, trade_id, side, seat_code, row_number() OVER (PARTITION BY date, code, trade_id, side
     ORDER BY CASE WHEN side = 'buy' THEN buy ELSE sell END DESC, seat_code) AS rank FROM f_seats""")
 def w20b(t):
-    return L.rank_seats(t.seats, wide=True).select("date", "code", "trade_id", "side", "seat_code", "rank")
+    return L.rank_seats(t.seats).select("date", "code", "trade_id", "side", "seat_code", "rank")
 
 
 @query("a15_seat_net", """SELECT seat_code, round(sum(buy) - sum(sell), 2) AS net, count(DISTINCT code) AS codes, count(*) AS "rows" FROM f_seats GROUP BY seat_code""")
@@ -89,7 +89,7 @@ def a15(t):
 @query("a15b_top_seats", """SELECT date, code, trade_id, side, seat_code, rank FROM (SELECT date, code, trade_id, side, seat_code, row_number() OVER (PARTITION BY date, code, trade_id, side
     ORDER BY CASE WHEN side = 'buy' THEN buy ELSE sell END DESC, seat_code) AS rank FROM f_seats) WHERE rank <= 5""")
 def a15b(t):
-    return L.rank_seats(t.seats).filter(c("rank") <= 5).select("date", "code", "trade_id", "side", "seat_code", "rank")
+    return L.top_seats(t.seats, 5).select("date", "code", "trade_id", "side", "seat_code", "rank")
 
 
 @query("a15c_institutions", """SELECT date, code, round(sum(buy), 2) AS buy, round(sum(sell), 2) AS sell, round(sum(buy) - sum(sell), 2) AS net FROM f_seats
