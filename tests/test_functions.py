@@ -60,11 +60,12 @@ def test_secid_strict_refuses_index_codes(spark):
 
 def test_rolling_matches_pandas(spark, panel):
     w = W.by()
-    out = collect(pdf_to_spark(spark, panel).withColumns({
+    ranked = W.with_rolling_ranks(pdf_to_spark(spark, panel), {"a": ("close", 30, 30, 0.0), "b": ("x", 30, 24, 0.0)})
+    out = collect(ranked.withColumns({
         "m": W.roll(c("x"), 5, F.avg, w), "s": W.roll(c("close"), 20, F.stddev_samp, w), "lo": W.prior(c("close"), 10, F.min, w),
         "sk": F.when(F.count("close").over(W.last_rows(w, 20)) == 20, K.skew_sample(c("close"), w)(20)),
         "ku": F.when(F.count("close").over(W.last_rows(w, 20)) == 20, K.kurt_sample(c("close"), w)(20)),
-        "le": W.rolling_share_le(c("close"), 30, w), "pr": W.rolling_pct_rank(c("x"), 30, 24, w)}), "m", "s", "lo", "sk", "ku", "le", "pr")
+        "le": c("a_le"), "pr": c("b_pct")}), "m", "s", "lo", "sk", "ku", "le", "pr")
     p = panel.sort_values(["code", "date"]).reset_index(drop=True)
     g = lambda col, fn: p.groupby("code")[col].transform(fn)
     same(out["m"], g("x", lambda s: s.rolling(5, min_periods=5).mean()))

@@ -144,7 +144,7 @@ def test_shared_folder_needs_a_setting_on_a_cluster(monkeypatch):
 
 
 def test_derived_tables_manifest_and_retention(spark, tmp_path):
-    days = [d("2025-01-02") + dt.timedelta(days=i) for i in range(60)]
+    days = [d("2025-01-02") + dt.timedelta(days=i) for i in range(75)]
     days = [x for x in days if x.weekday() < 5]
     cal = spark.createDataFrame([(x, i + 1) for i, x in enumerate(days)], "date date, td_idx long")
     bars = spark.createDataFrame([("000300", x, 9.0, 12.0, 8.0, 10.0 + i, 100, 1000.0) for i, x in enumerate(days)], BAR)
