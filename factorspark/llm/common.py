@@ -114,21 +114,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = edges.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = materialize(e, "star")
-    if e.isEmpty():
+
+    def state(edges: DataFrame) -> tuple:
+        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+    before = state(e)
+    if not before[0]:
         return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    before = None
+    # The least neighbours are written before they are joined: then both sides of each join are plain tables and adaptive
+    # execution can split the rows of a node that a large group hangs on.
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = materialize(both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low.hint("merge"), "u")
         hung = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialize(small.select("u", F.col("m").alias("v")).union(hung).distinct(), "star")
-        state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if state == before:
+        now = state(e)
+        if now == before:
             break
-        before = state
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.groupBy("u").agg(F.min("v").alias("root"))
