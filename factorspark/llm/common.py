@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factorspark.session import materialize
@@ -65,43 +65,48 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str)
     return df.mapInArrow(run, schema)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame | None, label: str, key: str, held: tuple[int, int], text: str = "text",
-                    per_label: int = 3000, max_labels: int = 256, max_chars: int = 16384, extra: str | None = None) -> tuple[list[tuple], dict]:
-    """Training rows ``(label, text, extra)`` and the number of eligible rows of each label.
+def sampled(docs: DataFrame, labels: DataFrame | None, label: str, key: str, held: tuple[int, int], text: str = "text",
+            per_label: int = 3000, max_labels: int = 256, max_chars: int | None = None, extra: str | None = None) -> tuple[DataFrame, dict]:
+    """Training rows ``_y, _t, _x, _k, _o`` (label, text, extra, key, place) and the number of eligible keys of each label.
 
-    Rows that ``held_out`` (modulus, remainder) keeps back don't train. The sample is bounded: for each of the ``max_labels`` most frequent labels the ``per_label`` rows with the
-    smallest key hashes, among rows with texts of at most ``max_chars`` code points. ``labels`` holds key and label
-    (the greatest label counts where a key repeats); None: the label is a column of ``docs``. Null keys, labels and
-    texts don't train. The result doesn't depend on how rows are partitioned.
+    Rows that ``held_out`` (modulus, remainder) keeps back don't train. The sample is bounded: for each of the ``max_labels`` most frequent labels the ``per_label`` keys with the
+    smallest hashes, among rows with texts of at most ``max_chars`` code points (None: of any length). ``labels`` holds key
+    and label (the greatest label counts where a key repeats); None: the label is a column of ``docs``. A key that repeats
+    in ``docs`` gives one row, that with the least text. Null keys, labels and texts don't train. The result doesn't depend
+    on how rows are partitioned.
     """
-    eligible = ~held_out(F.col("_k"), *held)
     order = F.xxhash64(F.col("_k")).bitwiseAND(F.lit((1 << 40) - 1))
-    if labels is None:
-        named = docs.select(F.col(key).alias("_k"), F.col(label).alias("_y"))
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.coalesce((F.col(extra) if extra else F.lit(None)).cast("string"), F.lit("")).alias("_x"),
+                       *([F.col(label).alias("_y")] if labels is None else []))
+    rows = rows.where(F.col("_k").isNotNull() & F.col("_t").isNotNull() & ~held_out(F.col("_k"), *held))
+    if max_chars is not None:
+        rows = rows.where(F.length("_t") <= max_chars)
+    if labels is not None:
+        given = labels.select(F.col(key).alias("_k"), F.col(label).alias("_y")).where("_k is not null and _y is not null")
+        named = rows.select("_k").distinct().join(given.groupBy("_k").agg(F.max("_y").alias("_y")), "_k")
     else:
-        named = labels.select(F.col(key).alias("_k"), F.col(label).alias("_y")).groupBy("_k").agg(F.max("_y").alias("_y"))
-    named = named.where(F.col("_k").isNotNull() & F.col("_y").isNotNull() & eligible)
+        named = rows.where("_y is not null").groupBy("_k").agg(F.max("_y").alias("_y"))
+    # Counted after all filters, on one row for each key: then the limits below always leave per_label keys or all.
+    named = materialize(named, "named")
     counts = {r["_y"]: r["count"] for r in
               named.groupBy("_y").count().orderBy(F.desc("count"), "_y").limit(max_labels).collect()}
-    if not counts:
-        return [], {}
-    # A hash limit for each label keeps little more than per_label rows of it; the exact cut follows.
+    # A hash limit for each label keeps little more than per_label keys of it, so that the exact cut ranks few.
     limit = {y: int((1 << 40) * min(1.0, (1.3 * per_label + 200) / n)) for y, n in counts.items()}
-    share = F.create_map(*[F.lit(x) for y in sorted(limit) for x in (y, limit[y])])
-    chosen = named.where(order < F.element_at(share, F.col("_y")))
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), (F.col(extra) if extra else F.lit(None)).cast("string").alias("_x"), *([F.col(label).alias("_y")] if labels is None else []))
-    rows = rows.where(F.col("_t").isNotNull() & (F.length("_t") <= max_chars))
-    if labels is None:
-        rows = rows.where(F.col("_k").isNotNull() & F.col("_y").isNotNull() & eligible & (order < F.element_at(share, F.col("_y"))))
-    else:
-        rows = rows.join(F.broadcast(chosen), "_k")  # at most a few thousand keys a label
-    got = sorted((r["_o"], r["_k"], r["_t"], r["_y"], r["_x"] or "") for r in rows.select("_k", "_t", "_y", "_x", order.alias("_o")).collect())
-    out, taken = [], dict.fromkeys(counts, 0)
-    for _, _, t, y, x in got:
-        if taken[y] < per_label:
-            taken[y] += 1
-            out.append((y, t, x))
-    return out, counts
+    share = F.create_map(*[F.lit(x) for y in sorted(limit) for x in (y, limit[y])]) if limit else None
+    near = named.where(order < F.element_at(share, F.col("_y"))) if limit else named.where("false")
+    place = F.row_number().over(Window.partitionBy("_y").orderBy(order, "_k"))
+    chosen = near.select("_k", "_y", order.alias("_o"), place.alias("_n")).where(F.col("_n") <= per_label).drop("_n")
+    found = rows.join(F.broadcast(chosen), ["_k", "_y"] if labels is None else "_k")  # at most a few thousand keys a label
+    found = found.groupBy("_k", "_y", "_o").agg(F.min(F.struct("_t", "_x")).alias("_r"))
+    return found.select("_y", F.col("_r._t").alias("_t"), F.col("_r._x").alias("_x"), "_k", "_o"), counts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame | None, label: str, key: str, held: tuple[int, int], text: str = "text",
+                    per_label: int = 3000, max_labels: int = 256, max_chars: int = 16384, extra: str | None = None) -> tuple[list[tuple], dict]:
+    """The rows of ``sampled`` on the driver, in the order of their hashes, as ``(label, text, extra, key)``, and its counts."""
+    found, counts = sampled(docs, labels, label, key, held, text, per_label, max_labels, max_chars, extra)
+    got = sorted((r["_o"], r["_k"], r["_t"], r["_y"], r["_x"]) for r in found.collect()) if counts else []
+    return [(y, t, x, k) for _, k, t, y, x in got], counts
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int], label: str
     rows, counts = common.labelled_sample(docs, labels.where(F.col(label).isin(0, 1)), label, key, held, text, per_label,
                                           max_labels=2, extra=declared)
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    return fit([(y, t, float(x) if x else None) for y, t, x in rows], prior)
+    return fit([(y, t, float(x) if x else None) for y, t, x, _ in rows], prior)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", declared: str | None = "n_chars") -> DataFrame:
