@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from factorspark.llm import common, textcodes
 
@@ -34,20 +35,29 @@ def grams(parts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return two & mask, three & mask, np.searchsorted(at, bounds)
 
 
-def fit(rows: list[tuple], buckets: int = 1 << 15, smoothing: float = 0.5) -> Model:
+def counts_of(texts: list[str], buckets: int) -> np.ndarray:
+    """How often each n-gram occurs in the texts, whole."""
+    out = np.zeros(buckets, dtype=np.int64)
+    for _, parts in textcodes.pieces(texts):
+        two, three, _ = grams(parts, buckets)
+        out += np.bincount(two, minlength=buckets) + np.bincount(three, minlength=buckets)
+    return out
+
+
+def from_counts(classes: list[str], counts: np.ndarray, smoothing: float = 0.5) -> Model:
     """Counts of n-grams by class, smoothed; priors are equal, so a rare language isn't held back."""
-    classes = sorted({r[0] for r in rows})
-    counts = np.zeros((len(classes), buckets))
-    for i, y in enumerate(classes):
-        for _, parts in textcodes.pieces([r[1] for r in rows if r[0] == y]):
-            two, three, _ = grams(parts, buckets)
-            counts[i] += np.bincount(two, minlength=buckets) + np.bincount(three, minlength=buckets)
-    counts += smoothing
+    counts = counts + smoothing
     return Model(classes, np.full(len(classes), -np.log(max(1, len(classes)))), np.log(counts / counts.sum(1, keepdims=True)))
 
 
-def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """The likeliest class of each text and its share of the posterior; ties go to the first class by name."""
+def fit(rows: list[tuple], buckets: int = 1 << 15) -> Model:
+    classes = sorted({r[0] for r in rows})
+    counts = [counts_of([r[1] for r in rows if r[0] == y], buckets) for y in classes]
+    return from_counts(classes, np.array(counts).reshape(len(classes), buckets))
+
+
+def judge(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``score`` and whether each text has a letter."""
     n, k = len(texts), len(model.classes)
     total = np.zeros((n, k))
     letters = np.zeros(n, dtype=bool)
@@ -60,19 +70,48 @@ def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]
             p = model.log_prob[c]
             np.add.at(total[:, c], at, textcodes.segment_sums(p[two] + p[three], bounds))
     if not k:
-        return [UNKNOWN] * n, np.zeros(n)
+        return [UNKNOWN] * n, np.zeros(n), letters
     total += model.log_prior
     best = total.argmax(1)
     share = 1 / np.exp(np.minimum(total - total.max(1, keepdims=True), 0)).sum(1)
     names = [model.classes[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
-    return names, np.where(letters, share, 0.0)
+    return names, np.where(letters, share, 0.0), letters
+
+
+def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """The likeliest class of each text and its share of the posterior; ties go to the first class by name."""
+    return judge(model, texts)[:2]
 
 
 def train(docs: DataFrame, held: tuple[int, int], key: str = "doc_id", text: str = "text", label: str = "lang",
           per_label: int = 600, max_labels: int = 256) -> Model:
-    """Fit on at most ``per_label`` rows of each of the ``max_labels`` most frequent languages."""
-    rows, _ = common.labelled_sample(docs, None, label, key, held, text, per_label, max_labels)
-    return fit(rows)
+    """Fit on the whole texts of at most ``per_label`` keys of each of the ``max_labels`` most frequent languages.
+
+    Tasks count the n-grams, so texts of any length train and none goes to the driver: that gets one number for each
+    language and bucket.
+    """
+    rows, found = common.sampled(docs, None, label, key, held, text, per_label, max_labels)
+    classes, buckets = sorted(found), 1 << 15
+    counts = np.zeros((len(classes), buckets), dtype=np.int64)
+    if classes:
+        place = {y: i for i, y in enumerate(classes)}
+        common.ship(docs.sparkSession)
+
+        def run(batches):
+            total: dict[int, np.ndarray] = {}
+            for b in common.slices(batches, 100):
+                of: dict[int, list[str]] = {}
+                for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    of.setdefault(place[y], []).append(t)
+                for i, texts in of.items():
+                    total[i] = total.get(i, 0) + counts_of(texts, buckets)
+            for i, n in total.items():
+                at = np.flatnonzero(n).astype(np.int32)
+                yield common.pa.RecordBatch.from_arrays([common.pa.array(np.full(len(at), i, np.int32)), common.pa.array(at), common.pa.array(n[at])], ["i", "bucket", "n"])
+
+        summed = rows.select("_y", "_t").mapInArrow(run, "i int, bucket int, n long").groupBy("i", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        counts[summed["i"].to_numpy(), summed["bucket"].to_numpy()] = summed["n"].to_numpy()
+    return from_counts(classes, counts)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -92,7 +131,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 
 def keep_known(docs: DataFrame, held: tuple[int, int], key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is known, with all their columns: rows judged ``und`` go.
+    """The rows of ``docs`` whose language is known, with all their columns: rows judged ``und`` go. Where no language could
+    be learned only null texts and texts without a letter go.
 
     Rows pass through in the same task that scores them, so texts are never shuffled.
     """
@@ -102,8 +142,8 @@ def keep_known(docs: DataFrame, held: tuple[int, int], key: str = "doc_id", text
 
     def run(batches):
         for b in common.slices(batches):
-            names, _ = score(shared.value, b.column(place).to_pylist())
-            yield b.filter(common.pa.array([x != UNKNOWN for x in names]))
+            names, _, letters = judge(shared.value, b.column(place).to_pylist())
+            yield b.filter(common.pa.array([x != UNKNOWN for x in names] if shared.value.classes else letters))
 
     return docs.mapInArrow(run, docs.schema)
 
