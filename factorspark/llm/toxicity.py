@@ -160,36 +160,70 @@ def _gradients(model: Model, params: list, docs: list[np.ndarray], y: np.ndarray
     return [(words, g_embed), *g_filters, *g_bias, active.T @ d + 1e-4 * model.out, np.array([d.sum()], np.float32)]
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list, default: float = 0.3, least: int = 20) -> dict:
-    """For each language the threshold between 0.2 and 0.7 with the best F1, the one nearest to ``default`` of equals.
-    Languages with fewer than ``least`` rows of either label take ``default``."""
-    grid = np.round(np.arange(0.2, 0.701, 0.05), 2)
-    names = np.array([x if x is not None else "" for x in langs], dtype=object)
+#: The thresholds that calibration chooses from.
+GRID = np.round(np.arange(0.2, 0.701, 0.05), 2)
+
+
+def lang_key(lang: object) -> str:
+    """The key of a language's threshold; a null language has the empty one."""
+    return "" if lang is None else str(lang)
+
+
+def threshold(scored: np.ndarray, rows: np.ndarray, default: float = 0.3) -> float:
+    """The threshold of ``GRID`` with the best F1, the one nearest to ``default`` of equals.
+
+    ``scored`` has for labels 0 and 1 the number of scored rows by the thresholds they reach (none, one, ...), ``rows`` the
+    number of all rows of the label: scored rows stand for the others of their label.
+    """
+    weight = rows / scored.sum(1)
+    hit = np.cumsum(scored[:, ::-1], axis=1)[:, ::-1][:, 1:] * weight[:, None]
+    f1 = np.round(2 * hit[1] / (hit.sum(0) + rows[1]), 9)
+    return float(min((-f, abs(g - default), g) for f, g in zip(f1, GRID, strict=True))[2])
+
+
+def calibrate(docs: DataFrame, labels: DataFrame, model: Model, fitted: list, held: tuple[int, int], label: str = "toxic", key: str = "doc_id",
+              text: str = "text", lang: str | None = "lang", least: int = 20) -> dict:
+    """``threshold`` for each language, from all labelled rows that are neither held out nor of the ``fitted`` keys.
+
+    Tasks score the texts, whole, and only counts by language, label and thresholds reached go to the driver. The fitted
+    rows count in the share of each label. Equal scores of a repeated key count once. A null language is one of its own.
+    Languages with fewer than ``least`` scored rows of either label have no threshold.
+    """
+    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
+    shared = spark.sparkContext.broadcast((model, frozenset(fitted)))
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), (F.col(lang) if lang else F.lit(None)).cast("string").alias("_l"))
+    rows = rows.where(F.col("_k").isNotNull() & F.col("_t").isNotNull() & ~common.held_out(F.col("_k"), *held))
+
+    def run(b):
+        m, known = shared.value
+        seen = np.array([k in known for k in b.column(0).to_pylist()], dtype=bool)
+        s = score(m, b.column(1).to_pylist())
+        return {"_k": b.column(0), "_l": [lang_key(x) for x in b.column(2).to_pylist()], "_b": np.where(seen, -1, np.searchsorted(GRID, s, side="right"))}
+
+    scored = common.map_batches(rows, run, f"_k {kind}, _l string, _b int").distinct()
+    given = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("_k"), F.col(label).alias("_y")).where("_k is not null")
+    both = scored.join(given.groupBy("_k").agg(F.max("_y").alias("_y")), "_k")
+    bins = range(-1, len(GRID) + 1)
+    n = both.groupBy("_l").agg(*[F.count_if((F.col("_y") == y) & (F.col("_b") == i)).alias(f"n{y}_{i + 1}") for y in (0, 1) for i in bins])
+    for y in (0, 1):
+        n = n.where(sum((F.col(f"n{y}_{i + 1}") for i in bins if i >= 0), F.lit(0)) >= least)
     out = {}
-    for lang in sorted(set(names.tolist())):
-        at = names == lang
-        s, y = scores[at], labels[at]
-        if min(y.sum(), (1 - y).sum()) < least:
-            continue
-        hit = s[:, None] >= grid
-        right = (hit & (y[:, None] > 0)).sum(0)
-        f1 = 2 * right / np.maximum(hit.sum(0) + y.sum(), 1)
-        out[lang] = float(min((-f, abs(g - default), g) for f, g in zip(f1, grid, strict=True))[2])
+    for r in n.collect():
+        found = np.array([[r[f"n{y}_{i + 1}"] for i in bins] for y in (0, 1)], dtype=float)
+        out[r["_l"]] = threshold(found[:, 1:], found.sum(1))
     return out
 
 
 def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int], label: str = "toxic", key: str = "doc_id", text: str = "text",
           lang: str | None = "lang", per_label: int = 1500) -> Model:
-    """Fit on at most ``per_label`` rows of each label and calibrate thresholds by language on the last fifth of them, which
-    doesn't train the weights. Only labels 0 and 1 count."""
-    rows, counts = common.labelled_sample(docs, labels.where(F.col(label).isin(0, 1)), label, key, held, text, per_label,
-                                          max_labels=2, extra=lang)
+    """Fit on four fifths of a sample of at most ``per_label`` rows of each label and calibrate thresholds by language on all
+    labelled rows that don't train the weights. Only labels 0 and 1 count."""
+    rows, counts = common.labelled_sample(docs, labels.where(F.col(label).isin(0, 1)), label, key, held, text, per_label, max_labels=2)
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    aside = [i % 5 == 4 for i in range(len(rows))]
-    model = fit([r for r, a in zip(rows, aside, strict=True) if not a], prior)
-    check = [r for r, a in zip(rows, aside, strict=True) if a]
-    if check:
-        model.thresholds = calibrate(score(model, [r[1] for r in check]), np.array([r[0] for r in check]), [r[2] for r in check])
+    used = [r for i, r in enumerate(rows) if i % 5 != 4]
+    model = fit(used, prior)
+    if len(counts) == 2:
+        model.thresholds = calibrate(docs, labels, model, [r[3] for r in used], held, label, key, text, lang)
     return model
 
 
@@ -214,7 +248,7 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text", lang: str | No
         for b in common.slices(batches):
             s = score(shared.value, b.column(place).to_pylist())
             names = b.column(tongue).to_pylist() if tongue is not None else [None] * len(s)
-            limit = np.array([shared.value.thresholds.get(str(x), default) for x in names])
+            limit = np.array([shared.value.thresholds.get(lang_key(x), default) for x in names])
             yield b.filter(common.pa.array(s < limit))
 
     return docs.mapInArrow(run, docs.schema)
