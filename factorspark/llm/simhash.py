@@ -38,12 +38,12 @@ def fingerprint(text: str | None, words: int = 4, block: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
-    """``key, fp`` for each row; ``fp`` is the fingerprint as a signed long."""
+    """``key, fp, hash`` for each row: the fingerprint as a signed long, and the XXH64 of the text, which tells rows of a key apart."""
     def run(b):
         out = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], dtype=np.uint64)
-        return {key: b.column(0), "fp": out.view(np.int64)}
+        return {key: b.column(0), "fp": out.view(np.int64), "hash": b.column(2)}
 
-    return common.map_batches(docs.select(key, text), run, f"{key} {docs.schema[key].dataType.simpleString()}, fp long")
+    return common.map_batches(docs.select(key, text, F.xxhash64(text)), run, f"{key} {docs.schema[key].dataType.simpleString()}, fp long, hash long")
 
 
 def _shift_left(x: Column | int, by: Column) -> Column:
@@ -123,7 +123,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     Null text is empty; texts without words have fingerprint zero and are linked like others. Repeated rows give
     repeated results. A null key leads no group; a group of null keys only has a null ``component_id``.
     """
-    fps = materialize(fingerprints(docs, key, text, words), "fingerprints")
+    fps = materialize(fingerprints(docs, key, text, words).drop("hash"), "fingerprints")
     classes = materialize(fps.groupBy("fp").agg(F.min(key).alias("rep")), "classes")
     found = links(classes.select("fp"), distance, crowd)
     rep = classes.where("rep is not null")
@@ -139,16 +139,22 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, distance: int = 4, crowd: int = 64) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates, with all its columns: that of the smallest key.
 
-    Of repeated rows with one key a single one stays; rows with a null key stay only where their group has no other key,
-    as one row.
+    Groups are those of the fingerprints, whatever the keys: rows that share a key, or have none, stay one for each group.
+    A group of null keys only keeps the row with the smallest fingerprint; rows of equal keys are told apart by their
+    fingerprints, then by the hashes of their texts. Of repeated rows with one key and text a single one stays.
     """
-    of = groups(docs, key, text, **options)
-    stay = of.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).agg(F.count("*").alias("_copies"))
-    stay = materialize(stay, "stay")
+    rows = fingerprints(docs, key, text, words).groupBy("fp", key, "hash").agg(F.count("*").alias("copies"))
+    first = F.struct(F.col(key).isNull().alias("bare"), F.col(key).alias("key"), "fp", "hash", "copies")
+    classes = materialize(rows.groupBy("fp").agg(F.min(first).alias("first")), "classes")
+    roots = common.components(links(classes.select("fp"), distance, crowd))
+    named = classes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
+    stay = named.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    stay = materialize(stay.select(F.col("first.key").alias("_key"), F.col("first.hash").alias("_hash"), F.col("first.copies").alias("_copies")), "stay")
     stay = stay.hint("merge")
-    once = docs.join(stay.where("_copies = 1"), docs[key].eqNullSafe(stay[key]), "left_semi")
-    again = docs.join(stay.where("_copies > 1"), docs[key].eqNullSafe(stay[key]), "left_semi").dropDuplicates([key])
+    same = docs[key].eqNullSafe(stay["_key"]) & (F.xxhash64(docs[text]) == stay["_hash"])
+    once = docs.join(stay.where("_copies = 1"), same, "left_semi")
+    again = docs.join(stay.where("_copies > 1"), same, "left_semi").dropDuplicates([key, text])
     return once.union(again)

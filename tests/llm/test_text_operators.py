@@ -94,6 +94,18 @@ def test_groups_and_kept_rows_of_odd_texts(spark):
     assert simhash.groups(empty).collect() == [] and simhash.keep_first(empty).collect() == []
 
 
+def test_rows_without_or_with_one_key_stay_by_text(spark):
+    rng = np.random.default_rng(12)
+    text = [" ".join(rng.choice([f"w{i}" for i in range(500)], 80)) for _ in range(12)]
+    keys = [None] * 5 + [3, 3, 3, 4, 4, 5, 6]
+    rows = [(k, t, "en", "s", i, 0, 1) for i, (k, t) in enumerate(zip(keys, text, strict=True))]
+    rows += [(None, text[0], "en", "s", 100, 0, 1), (None, text[5], "en", "s", 101, 0, 1), (3, text[6], "en", "s", 102, 0, 1), (9, text[6], "en", "s", 103, 0, 1),
+             (4, text[11], "en", "s", 104, 0, 1)]  # the last row leads the group of 6
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()]
+    want = [*zip(keys[:11], text[:11], strict=True), (4, text[11])]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -232,6 +244,19 @@ def test_language_of_odd_rows(spark):
     assert langid.predict(table(spark, []), model).collect() == []
 
 
+def test_long_texts_train_and_unlabelled_ones_stay(spark):
+    rows = [(i, t * 1500, lang, "s", 1, 0, 1) for i, (t, lang) in enumerate([("the cat and the dog ", "en"), ("der hund und die katze ", "de")] * 8)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert min(len(r[1]) for r in rows) > 16384
+    model = langid.train(docs, held=(4, 2))
+    assert model.classes == ["de", "en"] and langid.score(model, ["the dog", "die katze"])[0] == ["en", "de"]
+    train = [(r.lang, r.text) for r in docs.where(~common.held_out(F.col("doc_id"), 4, 2)).collect()]
+    assert np.allclose(model.log_prob, langid.fit(train).log_prob)
+    assert langid.keep_known(docs, held=(4, 2)).count() == len(rows)
+    bare = table(spark, ODD).withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_known(bare, held=(4, 2)).count() == sum(any(c.isalpha() for c in t or "") for t in ODD)
+
+
 def test_toxicity_learns_words_and_takes_odd_rows(spark):
     rng = np.random.default_rng(9)
     words = [f"w{i}" for i in range(300)]
@@ -257,6 +282,31 @@ def test_toxicity_learns_words_and_takes_odd_rows(spark):
     assert toxicity.predict(table(spark, []), model).collect() == []
 
 
+def test_thresholds_count_all_rows_of_a_language(spark):
+    rng = np.random.default_rng(13)
+    words = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(4000):
+        lang = "rare" if i % 40 == 0 else None if i % 40 == 1 else "en"
+        toxic = i % 8 == 3 or i % 80 in (0, 1)
+        rows.append((i, " ".join(rng.choice(words, 12)) + (" vile nasty" if toxic else ""), lang, "s", 1, 0, 1))
+        labels.append((i, 1, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels, held=(4, 2), per_label=60)
+    assert set(model.thresholds) == {"", "en", "rare"}
+    model.thresholds = {"": 0.0, "en": 1.1, "rare": 1.1}
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.where("lang is null").count() == 0 and kept.count() == 3900
+
+
+def test_thresholds_weigh_labels_by_their_rows():
+    scored = np.zeros((2, len(toxicity.GRID) + 1))
+    scored[0, [0, 5]] = 80, 20  # a fifth of clean rows reach the first five thresholds
+    scored[1, [5, 11]] = 20, 80
+    assert toxicity.threshold(scored, np.array([100.0, 100.0])) <= 0.4
+    assert toxicity.threshold(scored, np.array([1600.0, 100.0])) > 0.4
+
+
 def test_factorisation_machine_equals_the_double_sum():
     texts = ["good words in a line", None, "", "BAD!!! BAD!!!", "x" * 400]
     rng = np.random.default_rng(10)
@@ -293,6 +343,18 @@ def test_quality_learns_structure_and_takes_odd_rows(spark):
     assert got.count() == 501
 
 
+def test_a_sample_takes_each_key_once_and_counts_what_can_train(spark):
+    rows = [(7, "copy", "en", "s", 4, 0, 1)] * 400 + [(i, f"text {i}", "en", "s", 6, 0, 1) for i in range(8, 400)]
+    rows += [(i, "x" * 20_000, "en", "s", 20_000, 0, 1) for i in range(400, 4400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, 1) for i in range(60_000)], "doc_id long, toxic int")
+    got, counts = common.labelled_sample(docs, labels, "toxic", "doc_id", (4, 2), per_label=200)
+    n = docs.where((F.col("doc_id") < 400) & ~common.held_out(F.col("doc_id"), 4, 2)).select("doc_id").distinct().count()
+    assert counts == {1: n} and len(got) == 200 and len({r[3] for r in got}) == 200
+    found, _ = common.sampled(docs, labels, "toxic", "doc_id", (4, 2), per_label=200, max_chars=16384)
+    assert found.count() == 200
+
+
 @pytest.mark.parametrize(("name", "label", "column"), [("op6_toxicity", "toxic", "score"), ("op9_language", "lang", "lang_pred"), ("op10_quality", "quality", "score")])
 def test_classifiers_on_held_out_rows(spark, name, label, column):
     sf = "/root/testdata/sf0.1"
