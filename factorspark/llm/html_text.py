@@ -184,22 +184,58 @@ def container_scores(page: Page, fade: float = 0.75) -> list[float]:
     return score
 
 
-def best_paths(page: Page, most: int = 3) -> list[tuple[str, int]]:
-    """The page's best container paths with votes of up to 1000, its share of the best container's score."""
-    by_path: dict[str, float] = {}
-    for p, s in zip(page.paths, container_scores(page), strict=True):
-        by_path[p] = by_path.get(p, 0.0) + s
-    top = sorted(((-s, p) for p, s in by_path.items() if s > 0))[:most]
-    return [(p, round(1000 * s / top[0][0])) for s, p in top]
+def candidates(page: Page, fade: float = 0.75) -> dict[str, float]:
+    """Container paths with the scores they compete with.
 
-
-def text_of(page: Page, path: str | None) -> str:
-    """The blocks within containers of that path; of the page's own best container where it has none."""
+    A path of several containers competes as the innermost container around all of them: what lies in them isn't faded by
+    the levels between, and the headline, lead and text around them belong to it.
+    """
+    score = container_scores(page, fade)
+    depth = [0] * len(page.paths)
+    by_path: dict[str, list[int]] = {}
+    for i, (p, up) in enumerate(zip(page.paths, page.parents, strict=True)):
+        depth[i] = depth[up] + 1 if up >= 0 else 0
+        if score[i] > 0:
+            by_path.setdefault(p, []).append(i)
+    out: dict[str, float] = {}
+    for p, found in by_path.items():
+        top, value = found[0], score[found[0]]
+        for i in found[1:]:
+            while depth[top] > depth[i]:
+                top = page.parents[top]
+            while depth[i] > depth[top]:
+                i = page.parents[i]
+            while top != i:
+                top, i = page.parents[top], page.parents[i]
+        if len(found) > 1:
+            value = score[top] + sum(score[i] * (1 - fade ** (depth[i] - depth[top])) for i in found)
+        out[page.paths[top]] = max(out.get(page.paths[top], 0.0), value)
+    return out
+
+
+def best_paths(page: Page) -> list[tuple[str, int]]:
+    """The page's container paths, best first, with votes of up to 1000, their shares of the best score."""
+    top = sorted((-s, p) for p, s in candidates(page).items())
+    return [(p, n) for s, p in top if (n := round(1000 * s / top[0][0]))]
+
+
+def text_of(page: Page, path: str | None, usual: float = 0.0, share: float = 0.1) -> str:
+    """The blocks within containers of that path; of the page's own best container where it has none.
+
+    Also of its own best one where the path holds less than ``share`` of that one's score and that one no less than ``usual``,
+    the score that the path has on the host's pages: a side list may outweigh a short article, but not a main text elsewhere.
+    """
     if path is None or path not in page.paths:
-        own = best_paths(page, 1)
+        own = best_paths(page)
         if not own:
             return ""
         path = own[0][0]
+    else:
+        found = candidates(page)
+        best = min(((-s, p) for p, s in found.items()), default=(0.0, path))
+        held = sum(s for p, s in zip(page.paths, container_scores(page), strict=True) if p == path)
+        if max(held, found.get(path, 0.0)) < share * -best[0] and -best[0] >= usual:
+            path = best[1]
     inside = [False] * len(page.paths)
     for i, (p, up) in enumerate(zip(page.paths, page.parents, strict=True)):
         inside[i] = p == path or up >= 0 and inside[up]
@@ -212,19 +248,24 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """``host, path``: the container path with the most votes of each host's pages, of equals the first by name."""
+    """``host, path, usual``: the container path with the most votes of each host's pages, of equals the first by name, and
+    its mean score on the pages that vote for it."""
     def vote(b):
-        hosts, paths, votes = [], [], []
+        sums: dict[tuple[str, str], list[int]] = {}
         for h, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for p, v in best_paths(parse(s)):
-                hosts.append(h)
-                paths.append(p)
-                votes.append(v)
-        return {"host": hosts, "path": paths, "votes": votes}
+            page = parse(s)
+            scores = candidates(page)
+            for p, v in best_paths(page):
+                x = sums.setdefault((h, p), [0, 0, 0])
+                x[0] += v
+                x[1] += round(scores[p])
+                x[2] += 1
+        return {"host": [h for h, _ in sums], "path": [p for _, p in sums], **{k: [x[i] for x in sums.values()] for i, k in enumerate(("votes", "score", "n"))}}
 
-    votes = common.map_batches(pages.select(host_of(F.col(url)).alias("host"), source), vote, "host string, path string, votes long")
-    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return summed.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("path"))
+    votes = common.map_batches(pages.select(host_of(F.col(url)).alias("host"), source), vote, "host string, path string, votes long, score long, n long")
+    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), (F.sum("score") / F.sum("n")).alias("usual"))
+    best = summed.groupBy("host").agg(F.min_by(F.struct("path", "usual"), F.struct(-F.col("votes"), F.col("path"))).alias("best"))
+    return best.select("host", "best.path", "best.usual")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -232,17 +273,17 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
 
     Pages are read twice: first each votes, with the scores of its containers, for generalised tag and class paths of its
     host; then the winning path extracts every page of the host. Winners are one row for each host, so the second pass
-    shuffles pages only where that table is too large to send out. A page without the winning path takes its own best
-    container; a null, empty or textless page has an empty text. Repeated rows give repeated results, pages without a
+    shuffles pages only where that table is too large to send out. A page without the winning path, or with its main text
+    elsewhere, takes its own best container; a null, empty or textless page has an empty text. Repeated rows give repeated results, pages without a
     host vote as one host.
     """
     winners = materialize(host_paths(pages, url, source), "host_paths")
     joined = pages.select(key, url, source, host_of(F.col(url)).alias("_host")).join(
-        winners.select(F.col("host").alias("_host"), F.col("path").alias("_path")), "_host", "left")
+        winners.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("usual").alias("_usual")), "_host", "left")
 
     def extract(b):
-        texts = [text_of(parse(s), p) for s, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+        texts = [text_of(parse(s), p, u or 0.0) for s, p, u in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
         return {key: b.column(0), url: b.column(1), "text": texts, "n_chars": list(map(len, texts))}
 
-    return common.map_batches(joined.select(key, url, source, "_path"), extract,
+    return common.map_batches(joined.select(key, url, source, "_path", "_usual"), extract,
                               f"{key} {pages.schema[key].dataType.simpleString()}, {url} string, text string, n_chars long")

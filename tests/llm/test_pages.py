@@ -42,6 +42,21 @@ def test_hosts_agree_on_a_path(spark):
     assert html_text.main_text(spark.createDataFrame([], PAGE)).collect() == []
 
 
+def test_articles_of_sections_keep_headline_and_lead(spark):
+    section = "<section><p>" + "long text " * 30 + "</p></section>"
+    nested = "<div><div class=row><p>" + "long text " * 30 + "</p></div></div>"
+    story = "<body><main><article><h1>Head</h1><p>Lead</p>{}<p>between</p>{}</article></main><div class=list><p>list</p></div>"
+    rows = [(i, "http://a.com/x", story.format(section * 2, section * 2), "h", "p", "t") for i in range(4)]
+    rows += [(i, "http://b.com/x", story.format(nested * 2, nested * 2), "h", "p", "t") for i in range(4, 8)]
+    elsewhere = "<body><main><article><p>Read below</p></article></main><div class=story><p>" + "other words " * 300 + "</p></div>"
+    rows.append((8, "http://a.com/y", elsewhere, "h", "p", "t"))
+    pages = spark.createDataFrame(rows, PAGE)
+    assert {r.path for r in html_text.host_paths(pages).collect()} == {"html>body>main>article"}
+    texts = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert all(texts[i].startswith("Head\n\nLead\n\nlong") and "between" in texts[i] and "list" not in texts[i] for i in range(8))
+    assert texts[8] == ("other words " * 300).strip()
+
+
 def plain_rule(url):
     host = path = ""
     if url and "://" in url:
