@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import bpe, html_text, langid, packing, quality, simhash, topk, toxicity, urls, vectors
+from factorspark.llm import bpe, html_text, langid, licenses, packing, quality, simhash, topk, toxicity, urls, vectors
 from factorspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+ORACLES["op13_licenses"] = licenses.oracle_sql()
+
 ORACLES["op1_vectors"] = """
 with recursive rows as (select vec_id, label, list_transform(embedding, lambda x: x::double) v from embeddings
     where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0

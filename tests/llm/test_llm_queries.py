@@ -11,13 +11,14 @@ COLUMNS = {
     "op3_simhash": ["doc_id", "fingerprint", "component_id"], "op4_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op5_url_filter": ["page_id", "host", "path", "rule", "verdict"], "op6_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op7_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "op8_top_k": ["query_id", "rank", "vec_id", "score"],
-    "op9_language": ["doc_id", "held_out", "lang_pred", "score"], "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op13_licenses": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"], "op10_quality": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
 def test_all_are_registered():
     assert set(COLUMNS) | {"pipeline"} <= set(entry.queries())
-    assert set(queries.ORACLES) == {"op1_vectors", "op8_top_k"}
+    assert set(queries.ORACLES) == {"op1_vectors", "op8_top_k", "op13_licenses"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
