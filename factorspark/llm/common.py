@@ -8,17 +8,33 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factorspark.session import materialize
+from factorspark.session import materialize, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Stage:
+    """A table written to the shared folder, to be removed once nothing reads it any more."""
+
+    def __init__(self, df: DataFrame, purpose: str):
+        self.path = shared_dir(df.sparkSession, purpose)
+        df.write.parquet(self.path)
+        self.table = df.sparkSession.read.schema(df.schema).parquet(self.path)
+
+    def remove(self) -> None:
+        spark = self.table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(key: Column, modulus: int, remainder: int) -> Column:
     """Whether the row with this key is kept from training; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
@@ -65,6 +81,19 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str)
     return df.mapInArrow(run, schema)
 
 
+def whole_vectors(column: pa.Array, dims: int, scale: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the lists of ``dims`` finite components, and these as the integers ``floor(scale * component)``; from ``limit`` on
+    in magnitude an error."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(lengths == dims)
+    x = column.take(pa.array(at)).flatten().cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False).reshape(len(at), dims)  # null: nan
+    good = np.isfinite(x).all(1)
+    x = np.floor(x[good] * scale)
+    if np.abs(x).max(initial=0) >= limit:
+        raise ValueError(f"components of {limit // scale} or more would overflow")
+    return at[good], x.astype(np.int64)
+
+
 def sampled(docs: DataFrame, labels: DataFrame | None, label: str, key: str, held: tuple[int, int], text: str = "text",
             per_label: int = 3000, max_labels: int = 256, max_chars: int | None = None, extra: str | None = None) -> tuple[DataFrame, dict]:
     """Training rows ``_y, _t, _x, _k, _o`` (label, text, extra, key, place) and the number of eligible keys of each label.

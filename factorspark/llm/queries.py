@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import bpe, html_text, langid, licenses, packing, quality, simhash, topk, toxicity, urls, vectors
+from factorspark.llm import bpe, clustering, html_text, langid, licenses, packing, quality, simhash, topk, toxicity, urls, vectors
 from factorspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dims=64, seed="2")
+
+
 @query
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
@@ -92,6 +97,8 @@ def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+ORACLES["op11_clusters"] = clustering.oracle_sql()
+
 ORACLES["op13_licenses"] = licenses.oracle_sql()
 
 ORACLES["op1_vectors"] = """

@@ -12,13 +12,14 @@ COLUMNS = {
     "op5_url_filter": ["page_id", "host", "path", "rule", "verdict"], "op6_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op7_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "op8_top_k": ["query_id", "rank", "vec_id", "score"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
     "op13_licenses": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"], "op10_quality": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
 def test_all_are_registered():
     assert set(COLUMNS) | {"pipeline"} <= set(entry.queries())
-    assert set(queries.ORACLES) == {"op1_vectors", "op8_top_k", "op13_licenses"}
+    assert set(queries.ORACLES) == {"op1_vectors", "op8_top_k", "op11_clusters", "op13_licenses"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
