@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorspark.llm import bpe, clustering, html_text, langid, licenses, packing, quality, simhash, topk, toxicity, urls, vectors
+from factorspark.llm import bpe, clustering, html_text, langid, licenses, packing, quality, simhash, topk, toxicity, urls, vectors, whitening
 from factorspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,11 @@ def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dims=64, seed="2")
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), scale=64, shift=1_000_000, components=32)
+
+
 @query
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))

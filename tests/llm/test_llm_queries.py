@@ -13,6 +13,7 @@ COLUMNS = {
     "op7_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "op8_top_k": ["query_id", "rank", "vec_id", "score"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op11_clusters": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "op13_licenses": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"], "op10_quality": ["doc_id", "held_out", "score", "predicted"],
 }
 
@@ -32,6 +33,7 @@ def test_query_equals_oracle(spark, name):
 def test_query_rows(spark, name):
     df = entry.queries()[name](spark, SF)
     assert df.columns == COLUMNS[name]
-    source = "pages" if name in ("op2_main_text", "op5_url_filter") else "documents"
+    source = "pages" if name in ("op2_main_text", "op5_url_filter") else "embeddings" if name == "op12_whitening" else "documents"
     n = spark.read.parquet(f"{SF}/{source}.parquet").count()
+    n *= 32 if name == "op12_whitening" else 1
     assert df.count() == n if name != "op7_packing" else df.select("doc_id").distinct().count() == n
