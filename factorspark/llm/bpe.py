@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -123,13 +125,13 @@ BLANK_RUN = re.compile(f"[{BLANK}]+")
 class Encoder:
     """Encodes and decodes texts as the tokenizer described by a vocabulary file (JSON text) does."""
 
-    def __init__(self, automaton: Automaton, kept: int = 250_000):
+    def __init__(self, automaton: Automaton, kept: int = 400_000):
         self.a = automaton
         self.kept = kept
         self.rows: dict[int, dict[int, int]] = {}
+        self.filled = 0
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
-        self.recent: dict[str, bytes] = {}
         self.pattern = regex.compile(WORDS.replace(r"\s", BLANK))
         self.specials = re.compile("|".join(sorted(map(re.escape, automaton.special), key=len, reverse=True))) if automaton.special else None
         self.numbers = [str(i) for i in range(len(automaton.label))]
@@ -153,6 +155,7 @@ class Encoder:
         """
         w = word.encode("utf-8", "replace")
         n, rows, trie, c_last = len(w), self.rows, self.trie, w[-1]
+        view = memoryview(w)  # its slices are no copies
         dead = set()
         path: list[tuple[int, int]] = []  # the place before each token, the token
         state, p = 0, 0
@@ -162,7 +165,7 @@ class Encoder:
                 row = rows[state] = {}
             node, fits = trie, []
             e = p
-            for c in w[p:n - 1]:
+            for c in view[p:n - 1]:
                 node = node.get(c)
                 if node is None:
                     break
@@ -176,6 +179,7 @@ class Encoder:
                 to = row.get(t)
                 if to is None:
                     to = row[t] = arc(self.a, state, t)
+                    self.filled += 1
                 if to >= 0:
                     path.append((p, t))
                     p, state = e, to
@@ -186,30 +190,31 @@ class Encoder:
                 dead.add(p)
                 p = path.pop()[0]
                 state = self.a.target[path[-1][1]] if path else 0
+        if self.filled > 8 * self.kept:
+            rows.clear()
+            self.filled = 0
         return [t for _, t in path]
 
-    def _plain(self, chunk: str) -> bytes:
+    def _split(self, chunk: str) -> tuple[str, ...] | list[str]:
         low = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         if low.isalpha():
-            found = (low,)
-        elif low[:-1].isalpha():  # letters and one other character are two words
-            found = (low[:-1], low[-1])
-        else:
-            found = self.pattern.findall(low)
+            return (low,)
+        if low[:-1].isalpha():  # letters and one other character are two words
+            return (low[:-1], low[-1])
+        return self.pattern.findall(low)
+
+    def _plain(self, chunk: str) -> bytes:
         parts = []
-        for w in found:
+        for w in self._split(chunk):
             got = self.words.get(w)
             if got is None:
                 got = array("I", self._word(w)).tobytes()
-                if len(self.words) < self.kept:
+                if len(w) <= 64 and len(self.words) < self.kept:
                     self.words[w] = got
             parts.append(got)
         return b"".join(parts)
 
     def _chunk(self, chunk: str) -> bytes:
-        got = self.recent.get(chunk)
-        if got is not None:
-            return got
         if self.specials and self.specials.search(chunk):
             parts, at = [], 0
             for m in self.specials.finditer(chunk):
@@ -218,13 +223,8 @@ class Encoder:
             got = b"".join([*parts, self._plain(chunk[at:])])
         else:
             got = self._plain(chunk)
-        if len(chunk) < 256:
-            if len(self.chunks) < self.kept:
-                self.chunks[chunk] = got
-            else:
-                if len(self.recent) >= self.kept // 4:
-                    self.recent.clear()
-                self.recent[chunk] = got
+        if len(chunk) <= 64 and len(self.chunks) < self.kept // 4:
+            self.chunks[chunk] = got
         return got
 
     def encode(self, text: str | None) -> bytes:
@@ -235,6 +235,27 @@ class Encoder:
         get, more = self.chunks.get, self._chunk
         return b"".join([get(c) or more(c) for c in chunks if c])
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin (with the end of the last); null is empty.
+
+        The texts are split at once, each distinct chunk between spaces is encoded once, and all ids are gathered by its number.
+        """
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():  # Arrow splits there as well
+            parts = [np.frombuffer(self.encode(t), dtype="<u4") for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, "<u4"), *parts]), np.cumsum([0, *map(len, parts)])
+        lists = pc.utf8_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        chunks = lists.flatten().dictionary_encode()
+        get, more = self.chunks.get, self._chunk
+        parts = [(get(c) or more(c)) if c else b"" for c in chunks.dictionary.to_pylist()]
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        ids, first = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(size) - size
+        at = chunks.indices.to_numpy()
+        size, first = size[at], first[at]
+        total = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(total[-1]) + np.repeat(first - total[:-1], size)
+        return ids[place], total[ends]
+
     def join_numbers(self, ids: np.ndarray) -> str:
         return " ".join(map(self.numbers.__getitem__, ids.tolist()))
 
@@ -270,8 +291,8 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     ``path`` names a vocabulary file that every machine has.
     """
     def run(b):
-        e = encoder(path)
-        return {key: b.column(0), "ids": list(map(e.encode, b.column(1).to_pylist()))}
+        ids, ends = encoder(path).encode_all(b.column(1))
+        return {key: b.column(0), "ids": [ids[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:], strict=True)]}
 
     return common.map_batches(docs.select(key, text), run, f"{key} {docs.schema[key].dataType.simpleString()}, ids binary")
 
@@ -283,8 +304,9 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     def run(b):
         e = encoder(path)
         n, coded, decoded = [], [], []
-        for t in b.column(1).to_pylist():
-            ids = np.frombuffer(e.encode(t), dtype="<u4")
+        all_ids, ends = e.encode_all(b.column(1))
+        for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            ids = all_ids[lo:hi]
             n.append(len(ids))
             coded.append(sha256(e.join_numbers(ids).encode()).hexdigest())
             decoded.append(sha256(e.decode(ids).encode("utf-8")).hexdigest())

@@ -170,13 +170,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: st
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(b):
-        e = bpe.encoder(path)
         cols = {"row": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-        for i, t in enumerate(b.column(1).to_pylist()):
-            ids = memoryview(e.encode(t) + end)
-            for j, at in enumerate(range(0, len(ids), 4 * capacity)):
-                part = ids[at:at + 4 * capacity]
-                for name, v in (("row", i), ("piece", j), ("start", at // 4), ("length", len(part) // 4), ("ids_crc32", zlib.crc32(part))):
+        ids, ends = bpe.encoder(path).encode_all(b.column(1))
+        for i, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            for j, at in enumerate(range(lo, hi + 1, capacity)):  # the end id stands at hi
+                crc, stop = zlib.crc32(ids[at:min(hi, at + capacity)]), min(hi + 1, at + capacity)
+                crc = zlib.crc32(end, crc) if stop > hi else crc
+                for name, v in (("row", i), ("piece", j), ("start", at - lo), ("length", stop - at), ("ids_crc32", crc)):
                     cols[name].append(v)
         return {key: b.column(0).take(common.pa.array(cols.pop("row"))), **cols}
 
