@@ -73,7 +73,7 @@ def drawdown(nav: Column, w: WindowSpec) -> Column:
 
 
 def avg_rank(v: Column, by_cols: Sequence[str], ascending: bool = True) -> Column:
-    """Rank in the cross-section with averaged ties; nulls stay null and do not count."""
+    """Rank with averaged ties in a cross-section of few members (industries); nulls stay null and do not count."""
     order = v.asc_nulls_last() if ascending else v.desc_nulls_last()
     x = Window.partitionBy(*by_cols).orderBy(order)
     upto = F.count(v).over(x.rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -81,22 +81,21 @@ def avg_rank(v: Column, by_cols: Sequence[str], ascending: bool = True) -> Colum
 
 
 def pct_rank(v: Column, by_cols: Sequence[str], ascending: bool = True) -> Column:
-    """Averaged rank as a share of the non-null values of the cross-section (0 < p <= 1)."""
+    """Averaged rank as a share of the non-null values, for few members; see share_columns for names."""
     return avg_rank(v, by_cols, ascending) / F.count(v).over(Window.partitionBy(*by_cols))
 
 
 def zscore(v: Column, by_cols: Sequence[str]) -> Column:
-    """Population z-score in the cross-section; zero where the spread vanishes."""
+    """Population z-score in a cross-section of few members; zero where the spread vanishes."""
     x = Window.partitionBy(*by_cols)
     sd = F.stddev_pop(v).over(x)
     return F.when(v.isNotNull(), F.when(sd > 1e-12, (v - F.avg(v).over(x)) / sd).otherwise(F.lit(0.0)))
 
 
-def zscore_columns(df: DataFrame, specs: dict[str, str], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
-    """Population z-scores: specs maps the new column to its input. The wide form joins one row of means and
-    spreads per cross-section instead of passing the cross-section through one task."""
-    if not wide:
-        return df.withColumns({o: zscore(F.col(v), by_cols) for o, v in specs.items()})
+def zscore_columns(df: DataFrame, specs: dict[str, str], by_cols: Sequence[str]) -> DataFrame:
+    """Population z-scores: specs maps the new column to its input. One row of means and spreads per cross-section is joined,
+    so no cross-section meets in one task."""
+    df = materialize(df, "scores")
     stats = [f(v).alias(f"__{n}_{v}") for v in dict.fromkeys(specs.values()) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
     out = df.join(df.groupBy(*by_cols).agg(*stats), list(by_cols), "left")
     z = {o: F.when(F.col(v).isNotNull(), F.when(F.col(f"__s_{v}") > 1e-12, (F.col(v) - F.col(f"__m_{v}")) / F.col(f"__s_{v}")).otherwise(F.lit(0.0)))
@@ -172,61 +171,74 @@ def with_ewm(df: DataFrame, specs: dict[str, tuple[str | tuple[str, str], float,
     return df.groupBy(key).applyInPandas(smooth, schema)
 
 
-def is_wide(keys: DataFrame, column: str, limit: int = 2_000_000) -> bool:
-    """Whether more names than one task should rank at once can meet in a cross-section. Checked on the
-    table that lists the names, which is far smaller than their bars."""
-    if keys.count() <= limit:  # answered from file footers
-        return False
-    return keys.agg(F.approx_count_distinct(column, 0.02)).first()[0] > limit
+def positions(rows: DataFrame, keys: Sequence[str], value: str, pieces: int | None = None) -> DataFrame:
+    """``keys, value, first, last, n``: the distinct values of each group with the 0-based positions of their first and last copy
+    in sorted order, and the group's size; null values don't count.
 
-
-def rank_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
-    """Averaged ranks in the cross-section: specs maps the new column to (column, ascending). Small
-    cross-sections are sorted in one task each, wide ones are split (see bucketed_rank)."""
-    if not wide:
-        return df.withColumns({o: avg_rank(F.col(v), by_cols, up) for o, (v, up) in specs.items()})
-    # Every rank reads the frame again, so it is written once; the plan grows with the number of ranks.
+    One plan for groups of any size: copies are combined first, one sort by ranges deals all groups out at once (small ones whole,
+    large ones over several tasks, ``pieces`` in all if given), positions run inside a piece, and the counts of a group's earlier
+    pieces are added. The pieces are written, so that a lost task cannot cut them anew.
+    """
+    k = list(keys)
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*k, value).agg(F.count("*").alias("__n"))
+    ranged = counts.repartitionByRange(pieces, *k, value) if pieces else counts.repartitionByRange(*k, value)
+    ranged = materialize(ranged.withColumn("__b", F.spark_partition_id()), "pieces")
+    group = Window.partitionBy(*k)
+    earlier = F.sum("__bn").over(group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = ranged.groupBy(*k, "__b").agg(F.sum("__n").alias("__bn")).select(
+        *k, "__b", F.coalesce(earlier, F.lit(0)).alias("__earlier"), F.sum("__bn").over(group).alias("n"))
+    inside = Window.partitionBy(*k, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__earlier") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
+    return ranged.join(sizes, [*k, "__b"]).select(*k, value, first.alias("first"), (first + F.col("__n") - 1).alias("last"), "n")
+
+
+def with_positions(df: DataFrame, values: Sequence[str], by_cols: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """df with a struct ``__at_<value>`` (first, last, n; see positions) for each of the number columns ``values``, null where the
+    value is null. All columns are ranked in one pass; df is written once and read by both sides of the join."""
     k = list(by_cols)
-    df = materialize(df, "ranks")
-    out_df = df
-    for out, (v, up) in specs.items():
-        pos = value_positions(df, v, k)
-        out_df = out_df.join(pos.select(*k, v, ((F.col("__first") + F.col("__last")) / F.lit(2.0) + 1).alias(out)), [*k, v], "left")
-    down = {o: v for o, (v, up) in specs.items() if not up}
-    if down:
-        inputs = list(dict.fromkeys(down.values()))
-        out_df = out_df.join(_counts(df, inputs, k), k)
-        out_df = out_df.withColumns({o: F.col(f"__n_{v}") + 1 - F.col(o) for o, v in down.items()}).drop(*[f"__n_{v}" for v in inputs])
-    return out_df
-
-
-def share_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str], wide: bool = False) -> DataFrame:
-    """Averaged ranks as a share of the non-null values of the cross-section (0 < p <= 1)."""
-    if not wide:
-        return df.withColumns({o: pct_rank(F.col(v), by_cols, up) for o, (v, up) in specs.items()})
+    df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "ranks")
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(v).cast("double").alias("v")) for i, v in enumerate(values)])
+    cells = df.select("__row", *k, F.explode(cells).alias("__x")).select("__row", *k, F.col("__x.f").alias("__f"), F.col("__x.v").alias("__v"))
+    cells = cells.filter(F.col("__v").isNotNull())
+    at = cells.join(positions(cells, [*k, "__f"], "__v", pieces), [*k, "__f", "__v"]).select("__row", "__f", F.struct("first", "last", "n").alias("at"))
+    if len(values) == 1:
+        at = at.select("__row", F.col("at").alias(f"__at_{values[0]}"))
+    else:
+        at = at.groupBy("__row").agg(*[F.max(F.when(F.col("__f") == i, F.col("at"))).alias(f"__at_{v}") for i, v in enumerate(values)])
+    return df.join(at, "__row", "left").drop("__row")
+
+
+def _rank_of(value: str, ascending: bool) -> Column:
+    at = F.col(f"__at_{value}")
+    up = (at["first"] + at["last"]) / F.lit(2.0) + 1
+    return up if ascending else at["n"] + 1 - up
+
+
+def rank_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str], counts: bool = False, pieces: int | None = None) -> DataFrame:
+    """Ranks in the cross-section with averaged ties: specs maps the new column to (column, ascending); nulls stay null. With
+    ``counts`` also ``n_<new column>``, the number of values ranked."""
     inputs = list(dict.fromkeys(v for v, _ in specs.values()))
-    df = materialize(df, "shares")
-    n = _counts(df, inputs, by_cols)
-    df = rank_columns(df, specs, by_cols, wide=True).join(n, list(by_cols))
-    return df.withColumns({o: F.col(o) / F.col(f"__n_{v}") for o, (v, _) in specs.items()}).drop(*[f"__n_{v}" for v in inputs])
+    out = with_positions(df, inputs, by_cols, pieces).withColumns({o: _rank_of(v, up) for o, (v, up) in specs.items()})
+    if counts:
+        out = out.withColumns({f"n_{o}": F.col(f"__at_{v}")["n"] for o, (v, _) in specs.items()})
+    return out.drop(*[f"__at_{v}" for v in inputs])
 
 
-def _counts(df: DataFrame, columns: Sequence[str], by_cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by_cols).agg(*[F.count(v).alias(f"__n_{v}") for v in columns])
+def share_columns(df: DataFrame, specs: dict[str, tuple[str, bool]], by_cols: Sequence[str]) -> DataFrame:
+    """Averaged ranks as a share of the non-null values of the cross-section (0 < p <= 1)."""
+    inputs = list(dict.fromkeys(v for v, _ in specs.values()))
+    out = with_positions(df, inputs, by_cols)
+    return out.withColumns({o: _rank_of(v, up) / F.col(f"__at_{v}")["n"] for o, (v, up) in specs.items()}).drop(*[f"__at_{v}" for v in inputs])
 
 
-def group_quantiles(df: DataFrame, value: str, by_cols: Sequence[str], cuts: Sequence[float], out: str, wide: bool = False) -> DataFrame:
-    """Interpolated quantiles per group as one array. The wide form finds the order statistics from the
-    exact positions of the distinct values instead of holding a group in one task."""
+def group_quantiles(df: DataFrame, value: str, by_cols: Sequence[str], cuts: Sequence[float], out: str,
+                    pieces: int | None = None) -> DataFrame:
+    """Interpolated quantiles per group as one array, from the exact positions of the distinct values."""
     k = list(by_cols)
-    if not wide:
-        # Adding zero makes -0.0 and 0.0 one value.
-        return df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.percentile(F.col(value) + F.lit(0.0), F.array(*[F.lit(x) for x in cuts])).alias(out))
-    pos = value_positions(df, value, k)
-    n = df.filter(F.col(value).isNotNull()).groupBy(*k).agg(F.count("*").alias("__n"))
+    pos = positions(df, k, value, pieces)
     points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(cuts)])
-    marks = pos.join(n, k).withColumn("__p", F.explode(F.transform(points, lambda p: F.struct(p["i"].alias("i"), (p["q"] * (F.col("__n") - 1)).alias("at")))))
-    at, lo, hi = F.col("__p.at"), F.col("__first"), F.col("__last")
+    marks = pos.withColumn("__p", F.explode(F.transform(points, lambda p: F.struct(p["i"].alias("i"), (p["q"] * (F.col("n") - 1)).alias("at")))))
+    at, lo, hi = F.col("__p.at"), F.col("first"), F.col("last")
     # A quantile between two values takes each with the weight of its distance.
     share = F.when((F.floor(at) >= lo) & (F.floor(at) <= hi), 1 - (at - F.floor(at))).otherwise(0.0) + F.when(
         (F.floor(at) + 1 >= lo) & (F.floor(at) + 1 <= hi), at - F.floor(at)).otherwise(0.0)
@@ -236,29 +248,19 @@ def group_quantiles(df: DataFrame, value: str, by_cols: Sequence[str], cuts: Seq
         *k, F.transform("__a", lambda x: x["__e"]).alias(out))
 
 
-def value_positions(df: DataFrame, value: str, by_cols: Sequence[str], buckets: int = 64) -> DataFrame:
-    """Distinct values per group with the 0-based positions of their first and last copy in sorted order.
+def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, pieces: int | None = None) -> DataFrame:
+    """The 1-based place of each row in its group by ``order`` (ascending). As in positions, one sort by ranges splits large groups
+    and the counts of a group's earlier pieces are added; df is written once."""
+    k = list(keys)
+    ranged = df.repartitionByRange(pieces, *k, *order) if pieces else df.repartitionByRange(*k, *order)
+    ranged = materialize(ranged.withColumn("__b", F.spark_partition_id()), "pieces")
+    earlier = F.sum("__bn").over(Window.partitionBy(*k).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = ranged.groupBy(*k, "__b").agg(F.count("*").alias("__bn")).select(*k, "__b", F.coalesce(earlier, F.lit(0)).alias("__earlier"))
+    inside = F.row_number().over(Window.partitionBy(*k, "__b").orderBy(*order))
+    numbered = ranged.withColumn("__place", inside).join(sizes, [*k, "__b"])
+    return numbered.select(*df.columns, (F.col("__earlier") + F.col("__place")).cast("bigint").alias(out))
 
-    Equal values are combined first; approximate quantiles split every group into buckets, positions run
-    inside a bucket and the counts of the lower buckets are added. The split only spreads the work: the
-    positions are exact whatever the quantiles are.
-    """
-    keys = list(by_cols)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = counts.groupBy(*keys).agg(F.percentile_approx(value, cuts, 1000).alias("__edges"))
-    spread = counts.join(edges, keys).withColumn(
-        "__b", F.size(F.filter("__edges", lambda e: e < F.col(value)))).drop("__edges")
-    sizes = spread.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
-    lower = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(*keys, "__b", F.coalesce(F.sum("__bn").over(lower), F.lit(0)).alias("__lower"))
-    inside = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("__lower") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
-    return spread.join(sizes, [*keys, "__b"]).select(*keys, value, first.alias("__first"), (first + F.col("__n") - 1).alias("__last"))
-
-
-def bucketed_rank(df: DataFrame, value: str, by_cols: Sequence[str], out: str, buckets: int = 64) -> DataFrame:
-    """Averaged rank for cross-sections too large for one task (see value_positions)."""
-    pos = value_positions(df, value, by_cols, buckets)
-    ranks = pos.select(*by_cols, value, ((F.col("__first") + F.col("__last")) / F.lit(2.0) + 1).alias(out))
-    return df.join(ranks, [*by_cols, value], "left")
+
+def bucketed_rank(df: DataFrame, value: str, by_cols: Sequence[str], out: str, pieces: int = 64) -> DataFrame:
+    """Averaged rank, the groups being dealt out in the given number of pieces."""
+    return rank_columns(df, {out: (value, True)}, by_cols, pieces=pieces)

@@ -43,20 +43,25 @@ def overlay(base: DataFrame, fix: DataFrame) -> DataFrame:
     return keep.unionByName(fix.select(*base.columns))
 
 
-def load_bars(parts: Sequence[DataFrame], fix: DataFrame | None = None, keep: str = "last") -> DataFrame:
-    """Union of shards in rising priority: normalise codes, then repair, then one row per key."""
+def load_bars(parts: Sequence[DataFrame], fix: DataFrame | None = None, keep: str = "last", origin: str | None = None) -> DataFrame:
+    """Union of shards in rising priority: normalise codes, then repair, then one row per key. Inside a shard the column
+    ``origin``, if one is named, ranks the rows by where they were read from; it is dropped in the end."""
     frames = [p.withColumns({"code": C.normalize_code(c("code")), "__prio": F.lit(i)}) for i, p in enumerate(parts)]
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
     if fix is not None:
-        cols = [x for x in df.columns if x != "__prio"]
-        fixed = fix.withColumn("code", C.normalize_code(c("code"))).select(*cols).withColumn("__prio", F.lit(len(parts)))
+        cols = [x for x in df.columns if x not in ("__prio", origin)]
+        absent = {x: F.lit(None).cast(df.schema[x].dataType) for x in cols if x not in fix.columns}
+        fixed = fix.withColumn("code", C.normalize_code(c("code"))).withColumns(absent).select(*cols).withColumn("__prio", F.lit(len(parts)))
+        if origin is not None:
+            fixed = fixed.withColumn(origin, F.lit(None).cast(df.schema[origin].dataType))
         df = overlay(df, fixed)
     pick = keep_last if keep == "last" else keep_first
     # Equal priorities are told apart by the row itself, so the pick does not depend on row order.
-    rest = [x for x in df.columns if x not in ("code", "date", "__prio")]
-    return pick(df, BAR_KEY, ["__prio", *rest]).drop("__prio")
+    above = ["__prio"] if origin is None else ["__prio", origin]
+    rest = [x for x in df.columns if x not in ("code", "date", *above)]
+    return pick(df, BAR_KEY, [*above, *rest]).drop(*above)
 
 
 def select_columns(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:

@@ -86,19 +86,10 @@ def top_seats(seats: DataFrame, n: int) -> DataFrame:
     return seats.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(c("rank") <= n)
 
 
-def rank_seats(seats: DataFrame) -> DataFrame:
-    """Rank per (date, code, trade, side) by the amount of that side, equal amounts by seat code.
-
-    One plan for groups of any size: positions come from the distinct amounts, which spread over many tasks, and only
-    seats of one and the same amount are numbered together.
-    """
-    d = materialize(seats.withColumn("__amt", seat_amount()), "seats")  # read by every branch below
-    pos = W.value_positions(d, "__amt", SEAT_GROUP)
-    n = d.groupBy(*SEAT_GROUP).agg(F.count("*").alias("__n"))
-    same = Window.partitionBy(*SEAT_GROUP, "__amt").orderBy("seat_code")
-    d = d.join(pos, [*SEAT_GROUP, "__amt"]).join(n, list(SEAT_GROUP))
-    rank = c("__n") - 1 - c("__last") + F.row_number().over(same)
-    return d.withColumn("rank", rank.cast("bigint")).select(*seats.columns, "rank")
+def rank_seats(seats: DataFrame, pieces: int | None = None) -> DataFrame:
+    """Rank per (date, code, trade, side) by the amount of that side, equal amounts by seat code; large groups are split."""
+    d = seats.withColumn("__less", -seat_amount())
+    return W.with_row_number(d, SEAT_GROUP, ["__less", "seat_code"], "rank", pieces).select(*seats.columns, "rank")
 
 
 def seat_net(seats: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factorspark.functions.arrays import let, running
+
 c = F.col
 
 # Payload keys that change on every run, and marks of KPI names.
@@ -17,51 +19,62 @@ SEVERITY = ("PROMOTE-READY", "NOT-STARTED", "MISSING", "BLOCKED")
 MAP = "map<string,string>"
 
 
-#: A key that changes on every run with its value: a scalar, or an object or list of scalars.
-_VOLATILE_PAIR = (r'(?<!\\)"(?:' + "|".join(VOLATILE) + r')":(?:"(?:[^"\\]|\\.)*"|[-+.0-9eE]+|true|false|null|\{[^{}]*\}|\[[^\[\]]*\])')
+#: Parts of a JSON text; possessive, so that a long string costs no stack.
+_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:"]++'
+_STEP = "struct<key:string,at:int>"
+_LEAF = f"struct<steps:array<{_STEP}>,value:string>"
+
 
+def json_leaves(payload: Column) -> Column:
+    """Every value of a JSON text with the keys and list places that lead to it, in one walk over its parts.
 
-def strip_volatile(payload: Column) -> Column:
-    """The payload as canonical JSON without the keys that change on every run, at every depth and inside lists."""
-    text = F.to_json(F.try_parse_json(payload))
-    text = F.regexp_replace(text, _VOLATILE_PAIR + ",", "")
-    return F.regexp_replace(text, "(?:,)?" + _VOLATILE_PAIR, "")
+    An array of ``steps`` (each a quoted key, or a place ``at`` in a list) and ``value``: scalars as they are written, objects as ``{``
+    and lists as ``[``, which stand before what they hold. A text that is no JSON gives null.
+    """
+    path = f"array<{_STEP}>"
 
+    def entry(key: Column, at: Column) -> Column:
+        return F.struct(key.cast("string").alias("key"), at.cast("int").alias("at"))
 
-def nesting(payload: Column) -> Column:
-    """Levels of objects and lists in a JSON text."""
-    marks = F.split(F.regexp_replace(F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", ""), "")
-    step = lambda a, x: F.struct((a["d"] + F.when(x.isin("{", "["), 1).when(x.isin("}", "]"), -1).otherwise(0)).alias("d"),
-                                 F.greatest(a["m"], a["d"] + F.when(x.isin("{", "["), 1).otherwise(0)).alias("m"))
-    return F.aggregate(marks, F.struct(F.lit(0).alias("d"), F.lit(0).alias("m")), step)["m"]
+    def step(steps: Column, x: Column) -> Column:
+        # The last step is the key or place of the value that comes next; an object's first key follows its brace.
+        top, outer = F.try_element_at(steps, F.lit(-1)), F.slice(steps, 1, F.greatest(F.size(steps) - 1, F.lit(0)))
+        name, now = x["token"], F.lit(None)
+        return (F.when(x["is_key"], F.concat(outer, F.array(entry(name, now))))
+                .when(name == "{", F.concat(steps, F.array(entry(F.lit(""), now)))).when(name == "[", F.concat(steps, F.array(entry(now, F.lit(0)))))
+                .when(name.isin("}", "]"), outer)
+                .when((name == ",") & top["at"].isNotNull(), F.concat(outer, F.array(entry(now, top["at"] + 1)))).otherwise(steps))
 
+    def out(steps: Column, x: Column) -> Column:
+        return F.when(~x["is_key"] & ~x["token"].isin("}", "]", ",", ":"), F.struct(steps.alias("steps"), x["token"].alias("value")))
 
-def flatten_payload(df: DataFrame, depth: int | None = None) -> DataFrame:
-    """JSON payloads to rows (domain, variant, path, value); nested objects become dotted paths, lists and
-    scalars stay text. Volatile keys are left out at every level. Without ``depth`` objects are opened down to the deepest
-    one there is."""
-    # Texts that look like numbers are marked, so that only numbers count as KPIs.
-    marked = F.regexp_replace(strip_volatile(c("payload")), r'(?<!\\)":"(?=[-+.0-9]|NaN|[Ii]nf)', '":"#')
-    base = df.select("domain", "variant", marked.alias("payload"))
-    if depth is None:
-        depth = base.agg(F.max(nesting(c("payload")))).first()[0] or 1
-    base = base.select("domain", "variant", F.explode(F.from_json("payload", MAP)).alias("path", "value"))
-    for _ in range(depth - 1):
-        # One pass over the rows for each level: an object gives way to its members, all else stays as it is.
-        inner = F.transform(F.map_entries(F.from_json("value", MAP)), lambda e: F.struct(
-            F.concat_ws(".", c("path"), e["key"]).alias("path"), e["value"].alias("value")))
-        is_object = F.coalesce(F.startswith(F.ltrim("value"), F.lit("{")), F.lit(False))
-        own = F.array(F.struct("path", "value"))
-        base = base.select("domain", "variant", F.explode(F.when(is_object, inner).otherwise(own)).alias("r")).select("domain", "variant", "r.*")
-    return base
+    tokens = F.regexp_extract_all(F.to_json(F.try_parse_json(payload)), F.lit(_TOKEN), 0)
+    items = let(tokens, lambda t: F.transform(t, lambda x, i: F.struct(x.alias("token"), F.coalesce(F.get(t, i + 1) == ":", F.lit(False)).alias("is_key"))))
+    return F.array_compact(running(items, F.array().cast(path), step, out, _LEAF))
 
 
-def is_kpi(path: Column, value: Column) -> Column:
-    leaf = F.lower(F.element_at(F.split(path, r"\."), -1))
+def flatten_payload(df: DataFrame) -> DataFrame:
+    """JSON payloads to rows ``domain, variant, path, value, volatile, kpi``, one for each object, list and scalar at any depth.
+
+    ``path`` holds the quoted keys and list places that lead to the value. ``volatile`` marks what lies under a key that changes on
+    every run, ``kpi`` numbers outside of lists whose own key has a KPI mark.
+    """
+    leaf = F.explode(json_leaves(c("payload"))).alias("leaf")
+    d = df.select("domain", "variant", leaf).select("domain", "variant", c("leaf.steps").alias("steps"), c("leaf.value").alias("value"))
+    path = F.array_join(F.transform("steps", lambda x: F.concat(F.lit("/"), F.coalesce(x["key"], x["at"].cast("string")))), "")
+    volatile = F.exists("steps", lambda x: F.coalesce(x["key"].isin([f'"{k}"' for k in VOLATILE]), F.lit(False)))
+    listed = F.exists("steps", lambda x: x["at"].isNotNull())
+    return d.select("domain", "variant", path.alias("path"), "value", volatile.alias("volatile"),
+                    (~listed & is_kpi(F.try_element_at("steps", F.lit(-1))["key"], c("value"))).alias("kpi"))
+
+
+def is_kpi(key: Column, value: Column) -> Column:
+    """Whether a JSON value is a number whose key has a KPI mark."""
+    leaf = F.lower(F.coalesce(key, F.lit("")))
     named = F.lit(False)
     for m in KPI_MARKS:
         named = named | F.contains(leaf, F.lit(m))
-    return named & value.try_cast("double").isNotNull()
+    return named & F.rlike(value, F.lit("^[-0-9]"))
 
 
 def reconcile(shadow: DataFrame, legacy: DataFrame, tol: float = 1e-9) -> DataFrame:
@@ -73,15 +86,14 @@ def reconcile(shadow: DataFrame, legacy: DataFrame, tol: float = 1e-9) -> DataFr
     keys = ["domain", "variant"]
     heads = shadow.select(*keys, c("data_date").alias("s_date"), F.lit(True).alias("in_s")).join(
         legacy.select(*keys, c("data_date").alias("l_date"), F.lit(True).alias("in_l")), keys, "full_outer")
-    a = flatten_payload(shadow).withColumnRenamed("value", "sv")
-    b = flatten_payload(legacy).withColumnRenamed("value", "lv")
+    a = flatten_payload(shadow).withColumnsRenamed({"value": "sv", "kpi": "sk", "volatile": "s_skip"})
+    b = flatten_payload(legacy).withColumnsRenamed({"value": "lv", "kpi": "lk", "volatile": "l_skip"})
     j = a.join(b, [*keys, "path"], "full_outer")
-    kpi = is_kpi(c("path"), F.coalesce("sv", "lv"))
-    delta = F.abs(c("sv").try_cast("double") - c("lv").try_cast("double"))
-    g = j.withColumns({"kpi": kpi, "delta": delta}).groupBy(*keys).agg(
-        F.coalesce(F.max(F.when(c("kpi"), c("delta"))), F.lit(0.0)).alias("max_kpi_delta"),
-        F.count_if(c("kpi") & (c("sv").isNull() | c("lv").isNull())).alias("missing_kpi"),
-        F.count_if(~c("sv").eqNullSafe(c("lv"))).alias("changed_leaves"))
+    sk, lk = F.coalesce("sk", F.lit(False)), F.coalesce("lk", F.lit(False))
+    delta = F.when(sk & lk, F.abs(c("sv").try_cast("double") - c("lv").try_cast("double")))
+    g = j.withColumns({"delta": delta, "skip": F.coalesce("s_skip", "l_skip")}).groupBy(*keys).agg(
+        F.coalesce(F.max("delta"), F.lit(0.0)).alias("max_kpi_delta"), F.count_if(sk != lk).alias("missing_kpi"),
+        F.count_if(~c("skip") & ~c("sv").eqNullSafe(c("lv"))).alias("changed_leaves"))
     out = heads.join(g, keys, "left")
     out = out.withColumns({"data_date_equal": c("s_date").eqNullSafe(c("l_date")), "kpi_equal": (c("max_kpi_delta") <= tol) & (c("missing_kpi") == 0),
                            "sha_equal": c("changed_leaves") == 0})

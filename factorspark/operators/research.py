@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factorspark.functions import columns as C
@@ -363,38 +363,101 @@ MISSING = -1e300
 
 
 def walk_forward_score(features: DataFrame, labels: DataFrame, days: DataFrame, blocks: DataFrame, columns: Sequence[str], seed: int = 42,
-                       trees: int = 10, depth: int = 4, scored_until: str | None = None) -> DataFrame:
+                       trees: int = 10, depth: int = 4, scored_until: str | None = None, store: ModelStore | None = None, at_once: int = 8) -> DataFrame:
     """Learned score: one gradient-boosted model per block, fit on the rows before it and applied inside
     it. The block's valid days don't fit: they stop the boosting where more trees no longer help. Every feature row of
     a block is scored; a missing value is a value of its own, below all others. With ``scored_until`` only later dates
-    are predicted. Blocks are few (one per 42 days); the loop only submits Spark jobs."""
+    are predicted.
+
+    With a ``store`` each block's model and scores are kept there: a later run reads the scores of the dates that have some,
+    scores further dates of a known block by its model and fits new blocks only. Blocks are few (one per 42 days) and don't
+    depend on each other, so the driver submits the jobs of ``at_once`` of them at a time.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    known = {x: F.when(c(x).isNull() | F.isnan(c(x).cast("double")), F.lit(MISSING)).otherwise(c(x).cast("double")) for x in columns}
-    va = VectorAssembler(inputCols=list(columns), outputCol="x")
-    data = va.transform(features.select("code", "date", *columns).withColumns(known).join(labels.select("code", "date", "label"), ["code", "date"], "left"))
-    data = data.select("code", "date", "x", "label").join(F.broadcast(days.select("date", "td_idx")), "date")
-    # Every block reads these rows, so they are computed once.
-    data = materialize(data, "walk-forward")
-    out = None
+    spark = features.sparkSession
+    place = {r["td_idx"]: r["date"] for r in days.select("td_idx", "date").collect()}  # the calendar
+    todo = []
     for b in blocks.orderBy("block").collect():
-        if scored_until is not None:
-            ahead = days.filter((c("td_idx") >= b.lo) & (c("td_idx") < b.hi) & (c("date") > F.lit(scored_until).cast("date"))).limit(1).count()
-            if not ahead:
-                continue
-        train = data.filter((c("td_idx") >= b.t0) & (c("td_idx") < b.train_end) & c("label").isNotNull())
-        train = train.withColumns({"label": c("label").cast("double"), "valid": c("td_idx") >= b.fit_end})
-        model = GBTRegressor(featuresCol="x", labelCol="label", predictionCol="p", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed,
-                             subsamplingRate=0.8, validationIndicatorCol="valid", validationTol=0.0).fit(train)
-        pred = data.filter((c("td_idx") >= b.lo) & (c("td_idx") < b.hi))
-        if scored_until is not None:
-            pred = pred.filter(c("date") > F.lit(scored_until).cast("date"))
-        pred = model.transform(pred).select("code", "date", F.lit(b.block).alias("block"), c("p").cast("float").alias("score"))
-        out = pred if out is None else out.unionByName(pred)
-    if out is None:
-        return features.sparkSession.createDataFrame([], "code string, date date, block int, score float")
-    return out
+        until = max((x for x in (scored_until, store and store.scored_until(b.block)) if x), default=None)
+        inside = [d for i, d in place.items() if b.lo <= i < b.hi and (until is None or d.isoformat() > until)]
+        if inside:
+            todo.append((b, min(inside).isoformat()))
+    schema = "code string, date date, block int, score float"
+    parts = [] if store is None else [p for p in [store.scores()] if p is not None]
+    if todo:
+        known = {x: F.when(c(x).isNull() | F.isnan(c(x).cast("double")), F.lit(MISSING)).otherwise(c(x).cast("double")) for x in columns}
+        va = VectorAssembler(inputCols=list(columns), outputCol="x")
+        data = va.transform(features.select("code", "date", *columns).withColumns(known).join(labels.select("code", "date", "label"), ["code", "date"], "left"))
+        # Every block reads these rows, so they are computed once.
+        data = materialize(data.select("code", "date", "x", "label").join(F.broadcast(days.select("date", "td_idx")), "date"), "walk-forward")
+
+        def fitted(b):
+            model = None if store is None else store.model(b.block)
+            if model is None:
+                train = data.filter((c("td_idx") >= b.t0) & (c("td_idx") < b.train_end) & c("label").isNotNull())
+                train = train.withColumns({"label": c("label").cast("double"), "valid": c("td_idx") >= b.fit_end})
+                model = GBTRegressor(featuresCol="x", labelCol="label", predictionCol="p", maxIter=trees, maxDepth=depth, stepSize=0.05, seed=seed,
+                                     subsamplingRate=0.8, validationIndicatorCol="valid", validationTol=0.0).fit(train)
+                if store is not None:
+                    store.keep_model(b.block, model)
+            return model
+
+        def scored(b, since):
+            rows = data.filter((c("td_idx") >= b.lo) & (c("td_idx") < b.hi) & (c("date") >= F.lit(since).cast("date")))
+            pred = fitted(b).transform(rows).select("code", "date", F.lit(b.block).alias("block"), c("p").cast("float").alias("score"))
+            return pred if store is None else store.keep_scores(b.block, since, pred)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            parts += list(pool.map(inheritable_thread_target(spark)(lambda job: scored(*job)), todo))
+    out = spark.createDataFrame([], schema)
+    for p in parts:
+        out = out.unionByName(p)
+    return out if scored_until is None else out.filter(c("date") > F.lit(scored_until).cast("date"))
+
+
+class ModelStore:
+    """Models and scores of walk-forward blocks under a shared folder: ``model/block=N`` and ``scores/block=N/since=DATE``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._scores = self.scores()
+        self._until = {} if self._scores is None else {r["block"]: r["until"].isoformat() for r in self._scores.groupBy("block").agg(
+            F.max("date").alias("until")).collect()}  # a row for each block
+        self.fits: list[int] = []  #: blocks whose model was fitted through this object
+
+    def _exists(self, path: str) -> bool:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+    def scores(self) -> DataFrame | None:
+        """All scores that were kept when this was called."""
+        if not self._exists(f"{self.root}/scores"):
+            return None
+        return self.spark.read.schema("code string, date date, score float, block int, since string").parquet(f"{self.root}/scores").select(
+            "code", "date", "block", "score")
+
+    def scored_until(self, block: int) -> str | None:
+        return self._until.get(block)
+
+    def model(self, block: int):
+        from pyspark.ml.regression import GBTRegressionModel
+
+        path = f"{self.root}/model/block={block}"
+        return GBTRegressionModel.load(path) if self._exists(f"{path}/treesMetadata") else None
+
+    def keep_model(self, block: int, model) -> None:
+        model.write().overwrite().save(f"{self.root}/model/block={block}")
+        self.fits.append(block)
+
+    def keep_scores(self, block: int, since: str, scores: DataFrame) -> DataFrame:
+        path = f"{self.root}/scores/block={block}/since={since}"
+        scores.drop("block").write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("code string, date date, score float").parquet(path).select("code", "date", F.lit(block).alias("block"), "score")
 
 
 # ---- sweeps and controls -----------------------------------------------------------------------
@@ -416,19 +479,16 @@ def period_of(date: Column, periods: Sequence[tuple[str, str, str | None]]) -> C
 
 
 def screen_sweep(ind: DataFrame, fut: str, grid: Sequence[tuple[str, float]], periods: Sequence[tuple[str, str, str | None]],
-                 base: K.ScreenParams, wide: bool = False) -> DataFrame:
+                 base: K.ScreenParams) -> DataFrame:
     """Hits, mean future return and win rate of the momentum screen per (parameter, value, period).
 
-    One threshold moves at a time. All thresholds are tested on one pass over the indicator block.
+    One threshold moves at a time. All thresholds are answered by one pass over the indicator block (see sweeps.ladder).
     """
-    d = W.share_columns(ind, {"rk": ("ret20", True)}, ["date"], wide)
-    d = d.withColumn("period", period_of(c("date"), periods)).filter(c("period").isNotNull())
+    from factorspark.operators import sweeps
+
+    d = W.share_columns(ind.select("date", "close", "ma20", "ma60", "ma60_rising", "ret20", "ret120", "amt20", fut), {"rk": ("ret20", True)}, ["date"])
     d = d.filter(C.gt(c("close"), c("ma20")) & C.gt(c("ma20"), c("ma60")) & c("ma60_rising") & (c("ret120") > 0))
-    d = with_grid(d.select("period", "rk", "ret20", "amt20", fut), grid)
-    pick = lambda name, default: F.when(c("param") == name, c("value")).otherwise(F.lit(default))
-    hit = (c("rk") >= pick("rank_min", base.rank_min)) & (c("ret20") < pick("ret20_max", base.ret20_max)) & (c("amt20") >= pick("amt20_min", base.amt20_min))
-    return d.filter(hit).groupBy("param", "value", "period").agg(
-        F.count("*").alias("n"), F.avg(fut).alias("avg_fut"), F.avg((c(fut) > 0).cast("double")).alias("win_rate"))
+    return sweeps.ladder(d, sweeps.screen_places(base, grid), period_of(c("date"), periods), fut)
 
 
 def random_score(seed: Column, *keys: str) -> Column:

@@ -110,7 +110,7 @@ FEATURES = (
 )
 
 
-def features(df: DataFrame, wide: bool = False) -> DataFrame:
+def features(df: DataFrame) -> DataFrame:
     """The 35 model features per (code, date) over joined bases."""
     w = W.by()
     move = W.ret(c("close"), 1, w)
@@ -145,14 +145,14 @@ def features(df: DataFrame, wide: bool = False) -> DataFrame:
     })
     df = df.withColumn("amp20", W.roll(c("amp"), 20, F.avg, w))
     df = df.select("code", "date", "close", "amt20", *[f for f in FEATURES if not f.startswith("rk_")])
-    df = W.share_columns(df, {f"rk_{v}": (v, True) for v in ("ret5", "ret20", "vol20", "amt20", "sharpe20")}, ["date"], wide)
+    df = W.share_columns(df, {f"rk_{v}": (v, True) for v in ("ret5", "ret20", "vol20", "amt20", "sharpe20")}, ["date"])
     return df.select("code", "date", "close", *FEATURES)
 
 
-def momentum_screen(df: DataFrame, params: ScreenParams = ScreenParams(), wide: bool = False) -> DataFrame:
+def momentum_screen(df: DataFrame, params: ScreenParams = ScreenParams()) -> DataFrame:
     """Add the rank ``rk`` of ret20 and the flag ``hit`` of the momentum screen to the indicator block; null
     inputs give false."""
-    df = W.share_columns(df, {"rk": ("ret20", True)}, ["date"], wide)
+    df = W.share_columns(df, {"rk": ("ret20", True)}, ["date"])
     hit = (
         (c("rk") >= params.rank_min) & C.gt(c("close"), c("ma20")) & C.gt(c("ma20"), c("ma60")) & c("ma60_rising")
         & (c("ret20") < params.ret20_max) & (c("ret120") > 0) & (c("amt20") >= params.amt20_min))
@@ -230,25 +230,21 @@ MODE_RANKS = {
     "wrrf": (*CORE, "jdev"), "amihud": ("ret20", "liquid"), "voladj": ("sharpe20",), "kdj": ("jdev",), "kdj_rev": ("jrev",)}
 
 
-def scores(df: DataFrame, modes=tuple(SCORE_MODES), wide: bool = False) -> DataFrame:
-    """Composite scores per day. Needs the indicator block with kdj columns; a null part gives null."""
+def scores(df: DataFrame, modes=tuple(SCORE_MODES), pieces: int | None = None) -> DataFrame:
+    """Composite scores per day. Needs the indicator block with kdj columns; a null part gives null. ``pieces``: see W.positions."""
     need = [k for k in RANKS if any(k in MODE_RANKS[m] for m in modes)]
     df = df.withColumn("liquidity", C.div(F.lit(1.0), c("illiq20")))
     cols = [f"r_{k}" for k in need]
-    df = W.rank_columns(df, {f"r_{k}": RANKS[k] for k in need}, ["date"], wide)
-    if wide:
-        df = df.join(df.groupBy("date").agg(*[F.count(RANKS[k][0]).alias(f"n_r_{k}") for k in need]), "date")
-    else:
-        df = df.withColumns({f"n_{x}": F.count(x).over(Window.partitionBy("date")) for x in cols})
+    df = W.rank_columns(df, {f"r_{k}": RANKS[k] for k in need}, ["date"], counts=True, pieces=pieces)
     share = {("p_lowvol" if k == "vol20" else f"p_{k}"): c(f"r_{k}") / c(f"n_r_{k}") for k in need}
     df = df.withColumns(share)
     return df.withColumns({f"score_{m}": SCORE_MODES[m]() for m in modes}).drop(*cols, *share, *[f"n_{x}" for x in cols], "liquidity")
 
 
-def signals(df: DataFrame, score: str, strategy: str = "momentum", wide: bool = False) -> DataFrame:
+def signals(df: DataFrame, score: str, strategy: str = "momentum") -> DataFrame:
     """Rows that pass the screen, with the score re-ranked within (date, strategy)."""
     out = df.filter("hit").select("date", F.lit(strategy).alias("strategy"), "code", c(score).alias("s"))
-    return W.share_columns(out, {"score": ("s", True)}, ["date", "strategy"], wide).drop("s")
+    return W.share_columns(out, {"score": ("s", True)}, ["date", "strategy"]).drop("s")
 
 
 def regime(series: DataFrame, params: RegimeParams = RegimeParams()) -> DataFrame:
@@ -315,19 +311,19 @@ def forward_return(df: DataFrame, n: int, out: str = "fut") -> DataFrame:
     return df.withColumn(out, C.div(F.lead("close", n).over(w), c("close")) - 1)
 
 
-def quantile_labels(df: DataFrame, value: str, bins: int = 5, out: str = "label", wide: bool = False) -> DataFrame:
+def quantile_labels(df: DataFrame, value: str, bins: int = 5, out: str = "label", pieces: int | None = None) -> DataFrame:
     """Bin number of the value among the day's quantiles; equal edges are merged first."""
-    edges = W.group_quantiles(df, value, ["date"], [i / bins for i in range(bins + 1)], "__edges", wide)
+    edges = W.group_quantiles(df, value, ["date"], [i / bins for i in range(bins + 1)], "__edges", pieces)
     edges = edges.withColumn("__edges", F.array_distinct("__edges"))
     lab = F.greatest(F.lit(0), F.size(F.filter("__edges", lambda e: e < c(value))) - 1)
     return df.join(edges, "date", "left").withColumn(
         out, F.when(c(value).isNotNull() & (F.size("__edges") > 1), lab)).drop("__edges")
 
 
-def rank_ic(df: DataFrame, score: str, fut: str, min_names: int = 10, wide: bool = False) -> DataFrame:
+def rank_ic(df: DataFrame, score: str, fut: str, min_names: int = 10) -> DataFrame:
     """Daily rank correlation of score and future return, for days with more than min_names names."""
     d = df.filter(c(score).isNotNull() & c(fut).isNotNull())
-    d = W.rank_columns(d, {"__a": (score, True), "__b": (fut, True)}, ["date"], wide)
+    d = W.rank_columns(d, {"__a": (score, True), "__b": (fut, True)}, ["date"])
     return d.groupBy("date").agg(W.corr(c("__a"), c("__b")).alias("ic"), F.count("*").alias("n")).filter(c("n") > min_names)
 
 

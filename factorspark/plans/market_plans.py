@@ -75,10 +75,17 @@ def w20(t):
     return L.rank_seats(t.seats).select("date", "code", "trade_id", "side", "seat_code", "rank")
 
 
-@query("w20b_rank_seats_wide", """SELECT date, code, trade_id, side, seat_code, row_number() OVER (PARTITION BY date, code, trade_id, side
-    ORDER BY CASE WHEN side = 'buy' THEN buy ELSE sell END DESC, seat_code) AS rank FROM f_seats""")
+@query("w20b_rank_seats_wide", """WITH h AS (SELECT CAST(seat_code AS INT) % 3 = 0 AS hot, * FROM f_seats),
+    g AS (SELECT CASE WHEN hot THEN DATE '1998-01-01' ELSE date END AS date, CASE WHEN hot THEN 'hot' ELSE code END AS code,
+      CASE WHEN hot THEN 0 ELSE trade_id END AS trade_id, side, seat_code, buy, sell FROM h)
+    SELECT date, code, trade_id, side, seat_code, row_number() OVER (PARTITION BY date, code, trade_id, side
+    ORDER BY CASE WHEN side = 'buy' THEN buy ELSE sell END DESC, seat_code) AS rank FROM g""")
 def w20b(t):
-    return L.rank_seats(t.seats).select("date", "code", "trade_id", "side", "seat_code", "rank")
+    """Two groups hold a third of all seats; they are cut into many pieces."""
+    hot = c("seat_code").cast("int") % 3 == 0
+    seats = t.seats.withColumns({"date": F.when(hot, F.lit("1998-01-01").cast("date")).otherwise(c("date")), "code": F.when(hot, "hot").otherwise(c("code")),
+                                 "trade_id": F.when(hot, F.lit(0).cast("bigint")).otherwise(c("trade_id"))})
+    return L.rank_seats(seats, pieces=40).select("date", "code", "trade_id", "side", "seat_code", "rank")
 
 
 @query("a15_seat_net", """SELECT seat_code, round(sum(buy) - sum(sell), 2) AS net, count(DISTINCT code) AS codes, count(*) AS "rows" FROM f_seats GROUP BY seat_code""")

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factorspark.functions import windows as W
+from factorspark.operators import indices as I
 from factorspark.operators import reconcile as RC
 from factorspark.operators import research as E
 from factorspark.operators import stocks as K
+from factorspark.operators import sweeps as SW
 from factorspark.plans.ctes import cte
-from factorspark.plans.market_plans import sector_table, sector_targets
+from factorspark.plans.market_plans import PARAMS, sector_table, sector_targets
 from factorspark.plans.registry import R, query, rounded
 from factorspark.plans.stock_plans import signal_table
-from factorspark.session import materialize
+from factorspark.session import materialize, shared_dir
 from factorspark.sources.tables import brand_number
 
 c = F.col
@@ -269,7 +271,67 @@ PERIODS = [("1995-1996", "1995-01-01", "1996-12-31"), ("1997-1999", "1997-01-01"
 def e10(t):
     ind = K.indicators(t.both_bases)
     ind = ind.withColumn("fut", F.try_divide(F.lead("raw_close", 5).over(W.by()), c("raw_close")) - 1)
-    return rounded(E.screen_sweep(ind, "fut", GRID, PERIODS, K.ScreenParams(rank_min=0.80, amt20_min=10_000.0), t.wide), avg_fut=9, win_rate=9)
+    return rounded(E.screen_sweep(ind, "fut", GRID, PERIODS, K.ScreenParams(rank_min=0.80, amt20_min=10_000.0)), avg_fut=9, win_rate=9)
+
+
+PERIOD_SQL = "CASE WHEN {d} < DATE '1995-01-01' THEN NULL WHEN {d} <= DATE '1996-12-31' THEN '1995-1996' WHEN {d} <= DATE '1999-12-31' THEN '1997-1999' ELSE '2000-' END"
+TIMING_GRID = [("j_low", 15.0), ("j_low", 25.0), ("j_low", 40.0), ("rsi_os", 44.0), ("rsi_os", 48.0), ("rsi_os", 52.0), ("y_down", 0.5), ("y_down", 1.0), ("y_down", 2.0),
+               ("j_high", 60.0), ("j_high", 70.0), ("j_high", 85.0), ("x_up", 0.5), ("x_up", 1.0), ("x_up", 3.0)]
+
+
+def _grid_value(param, base):
+    return f"CASE WHEN param = '{param}' THEN value ELSE {base} END"
+
+
+@query("e10b_timing_sweep", f"""WITH g AS (SELECT * FROM (VALUES {', '.join(f"('{p}', CAST({v} AS DOUBLE))" for p, v in TIMING_GRID)}) AS v(param, value)),
+    d AS (SELECT *, {PERIOD_SQL.format(d='date')} AS period, lead(px, 20) OVER (PARTITION BY series_id ORDER BY date) / px - 1 AS fut FROM f_timing),
+    h AS (SELECT param, value, period, fut, CASE WHEN param IN ('j_high', 'x_up') THEN coalesce(wj > {_grid_value('j_high', 70)} AND px >= upper AND up63 >= {_grid_value('x_up', 1)}, false) ELSE
+      CAST(coalesce(wj < {_grid_value('j_low', 25)}, false) AS INT) + CAST(coalesce(px <= lower, false) AS INT) + CAST(coalesce(dn63 <= -{_grid_value('y_down', 1)} AND dn10 <= dn63 * 0.6, false) AS INT)
+      + CAST(coalesce(wrsi < {_grid_value('rsi_os', 48)}, false) AS INT) >= 2 AND coalesce(spread_pct >= 0.5, false) AND coalesce(px < ma250, false) END AS hit FROM d, g)
+    SELECT param, value, period, count(*) AS n, {R('avg(fut)', 9)} AS avg_fut, {R('avg(CASE WHEN fut > 0 THEN 1 WHEN fut IS NOT NULL THEN 0 END)', 9)} AS win_rate
+    FROM h WHERE hit AND period IS NOT NULL GROUP BY 1, 2, 3""")
+def e10b(t):
+    ind = I.timing_indicators(t.index_series, t.calendar, t.yields, PARAMS)
+    return rounded(SW.timing_sweep(ind, PARAMS, TIMING_GRID, PERIODS), avg_fut=9, win_rate=9)
+
+
+STOPS = [0.88, 0.92, 0.95, 0.98]
+
+
+@query("e10c_stop_sweep", f"""WITH h AS (SELECT s.stop, x.code, x.date, x.entry_date, x.entry_px, x.hold, x.hrn,
+      k.close <= x.entry_px * s.stop OR x.hold >= 10 OR (x.hold >= 2 AND k.shrink) AS ends FROM f_esh AS x JOIN f_esb AS k ON k.code = x.code AND k.rn = x.hrn,
+      (VALUES {', '.join(f'(CAST({x} AS DOUBLE))' for x in STOPS)}) AS s(stop)),
+    g AS (SELECT stop, code, date, any_value(entry_date) AS entry_date, any_value(entry_px) AS entry_px, min(hrn) FILTER (WHERE ends) AS trn FROM h GROUP BY stop, code, date),
+    r AS (SELECT g.*, x.open * (1 - 0.001) * (1 - 0.0001 - 0.0005) / (entry_px * (1 + 0.001) * (1 + 0.0001)) - 1 AS ret FROM g
+      LEFT JOIN LATERAL (SELECT min(k.rn) AS xrn FROM f_esb AS k WHERE k.code = g.code AND k.rn > g.trn AND NOT k.no_sell) AS m ON true LEFT JOIN f_esb AS x ON x.code = g.code AND x.rn = m.xrn)
+    SELECT stop, {PERIOD_SQL.format(d='entry_date')} AS period, count(*) AS n, {R('avg(CASE WHEN ret > 0 THEN 1 ELSE 0 END)', 9)} AS win_rate, {R('avg(ret)', 9)} AS avg_ret
+    FROM r WHERE ret IS NOT NULL GROUP BY 1, 2""")
+def e10c(t):
+    bars = K.indicators(t.both_bases).withColumn("shrink", K.volume_shrink())
+    return rounded(SW.stop_sweep(signal_table(t).select("code", "date"), bars, STOPS, PERIODS), win_rate=9, avg_ret=9)
+
+
+SLIPPAGES = [0.0, 0.0005, 0.001, 0.003]
+
+
+@query("e10d_cost_sweep", f"""SELECT slippage, {PERIOD_SQL.format(d='entry_date')} AS period, count(*) AS n, {R('avg(CASE WHEN ret > 0 THEN 1 ELSE 0 END)', 9)} AS win_rate, {R('avg(ret)', 9)} AS avg_ret FROM (
+    SELECT entry_date, slippage, exit_px * (1 - slippage) * (1 - 0.0001 - 0.0005) / (entry_px * (1 + slippage) * (1 + 0.0001)) - 1 AS ret
+    FROM f_es, (VALUES {', '.join(f'(CAST({x} AS DOUBLE))' for x in SLIPPAGES)}) AS s(slippage) WHERE exit_px IS NOT NULL) GROUP BY 1, 2""")
+def e10d(t):
+    return rounded(SW.cost_sweep(study(t), SLIPPAGES, PERIODS), win_rate=9, avg_ret=9)
+
+
+SIZES = [1, 2, 4, 8]
+
+
+@query("e10e_top_n_sweep", f"""WITH d AS (SELECT *, CASE WHEN count(*) OVER w = 20 THEN exp(sum(ln(1 + coalesce(ret, 0))) OVER w) - 1 END AS fut FROM f_sector
+      WINDOW w AS (PARTITION BY industry ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY score DESC, industry) AS rank FROM d SEMI JOIN f_mend USING (date) WHERE score IS NOT NULL)
+    SELECT 'top_n' AS param, value, {PERIOD_SQL.format(d='date')} AS period, count(*) AS n, {R('avg(fut)', 9)} AS avg_fut,
+    {R('avg(CASE WHEN fut > 0 THEN 1 WHEN fut IS NOT NULL THEN 0 END)', 9)} AS win_rate
+    FROM r, (VALUES {', '.join(f'(CAST({x} AS DOUBLE))' for x in SIZES)}) AS s(value) WHERE rank <= value AND {PERIOD_SQL.format(d='date')} IS NOT NULL GROUP BY 1, 2, 3""")
+def e10e(t):
+    return rounded(SW.top_n_sweep(sector_table(t), SIZES, PERIODS), avg_fut=9, win_rate=9)
 
 
 # A score both engines compute alike: a congruential mix of seed, day position and industry.
@@ -342,12 +404,34 @@ def j9(t):
     return E.block_roles(t.calendar, blocks(t))
 
 
+def learning(t):
+    f = K.features(t.both_bases).select("code", "date", *K.FEATURES)
+    return f, K.quantile_labels(K.forward_return(t.bars, 5), "fut").select("code", "date", "label")
+
+
 @query("e13_walk_forward_score")
 def e13(t):
-    f = K.features(t.both_bases, t.wide).select("code", "date", *K.FEATURES)
-    lab = K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
-    half_years = E.walk_forward_blocks(t.calendar, "1995-06-01", "1996-01-01", every=126)
-    return E.walk_forward_score(f, lab, t.calendar, half_years, K.FEATURES, trees=3, depth=3)
+    return E.walk_forward_score(*learning(t), t.calendar, blocks(t), K.FEATURES)
+
+
+@query("e13b_stored_models", """WITH last AS (SELECT max(block) AS n FROM f_blocks)
+    SELECT b.code, b.date, f.block, CASE WHEN f.block = n THEN 2 ELSE 1 END AS fitted_in FROM f_bars AS b JOIN f_cal AS c USING (date)
+    JOIN f_blocks AS f ON c.td_idx >= f.lo AND c.td_idx < f.hi, last""")
+def e13b(t):
+    """Two runs over one model store: the first one ends inside the block before the last, the second reads its scores, scores
+    the rest of that block by its stored model and fits the last block only."""
+    f, lab = (materialize(x, "learning") for x in learning(t))
+    all_blocks = blocks(t)
+    lo = sorted(r["lo"] for r in all_blocks.select("lo").collect())  # few blocks
+    some_days = t.calendar.filter(c("td_idx") < lo[-2] + 20)
+    some_blocks = all_blocks.filter(c("lo") < lo[-1])
+    root = shared_dir(t.spark, "models")
+    first, second = E.ModelStore(t.spark, root), None
+    E.walk_forward_score(f.join(some_days.select("date"), "date", "left_semi"), lab, some_days, some_blocks, K.FEATURES, trees=2, depth=2, store=first)
+    second = E.ModelStore(t.spark, root)
+    out = E.walk_forward_score(f, lab, t.calendar, all_blocks, K.FEATURES, trees=2, depth=2, store=second)
+    run = F.when(c("block").isin(second.fits), 2).when(c("block").isin(first.fits), 1)
+    return out.filter(c("score").isNotNull()).select("code", "date", "block", run.alias("fitted_in"))
 
 
 @query("e14_fill_missing_scores", f"""SELECT date, code, {R('coalesce(v.score, 0)', 9)} AS score, v.score IS NULL AS missing FROM (SELECT date, code FROM f_signals) LEFT JOIN (
@@ -409,6 +493,38 @@ def j10b(t):
     return RC.domain_verdict(RC.reconcile(*snapshots(t)))
 
 
+def deep(level, inner, list_at: int):
+    """The JSON text ``inner`` under objects ``a`` to the given level (1 to 6), of which one is the member of a list."""
+    open_ = close = F.lit("")
+    for n in range(1, 7):
+        steps = ['{"a":' if i != list_at else '{"a":[0,' for i in range(n, 0, -1)]
+        open_ = F.when(level == n, F.lit("".join(steps))).otherwise(open_)
+        close = F.when(level == n, F.lit("".join("}" if i != list_at else "]}" for i in range(1, n + 1)))).otherwise(close)
+    return F.concat(open_, inner, close)
+
+
+@query("j10c_nested_payloads", """SELECT domain, variant, CASE WHEN n % 7 = 3 THEN CAST(2.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS max_kpi_delta,
+    CAST(CASE WHEN n % 7 = 4 THEN 1 ELSE 0 END AS BIGINT) AS missing_kpi, true AS data_date_equal, n % 7 NOT IN (3, 4) AS kpi_equal, n % 7 NOT IN (1, 2, 3, 4) AS sha_equal,
+    CASE WHEN n % 7 IN (1, 2, 3, 4) THEN 'BLOCKED' ELSE 'PROMOTE-READY' END AS verdict FROM f_snap""")
+def j10c(t):
+    """Objects and lists of objects under volatile keys at depth 1 to 6, and changes beside them: a text in an object (1) or in a
+    list (2), a KPI (3), a KPI that is gone (4), a number in a list, which is no KPI but the same (5)."""
+    g = t.lines.groupBy(c("p_type").alias("domain"), c("code").alias("variant")).agg(F.max("date").alias("data_date"))
+    n = brand_number(c("variant"))
+    case, level = n % 7, n % 6 + 1
+
+    def side(stamp: str, text: int, kpi: str):
+        other = F.lit(f'"x{stamp}"')
+        member = F.concat(F.lit('{"note":'), F.when(case == text, other).otherwise(F.lit('"x"')), F.lit(',"run_id":[{"nav":1,"by":"' + stamp + '"},[' + f'"{stamp}"' + "]]"),
+                          F.lit(',"generated":{"by":{"host":"' + stamp + '","at":["' + stamp + '",{}]}},"e":{"timestamp":{"s":"' + stamp + '"}}'),
+                          F.when(case == 4, F.lit("" if kpi else ',"nav":1')).otherwise(F.concat(F.lit(',"nav":'), F.when(case == 3, F.lit(kpi or "7.5")).otherwise(F.lit("5")))),
+                          F.lit("}"))
+        return F.concat(F.lit('{"top":'), deep(level, member, 0), F.lit(',"listed":'), deep(level, F.concat(F.lit('{"list":[{"v":'), F.when(
+            case == 2, other).otherwise(F.lit("1")), F.lit(',"built_at":[{"x":"' + stamp + '"}]}]}')), 3), F.lit("}"))
+    at = ["domain", "variant", "data_date"]
+    return RC.reconcile(g.select(*at, side("a", 1, "10.0").alias("payload")), g.select(*at, side("b", 1, "").alias("payload")))
+
+
 @query("a25_run_health", """SELECT domain, count(*) AS n_logs, CAST(sum(bad) AS BIGINT) AS bad_stages, 0 AS empty_logs, max(run_date) AS last_run, CASE WHEN count(*) < 5 THEN 'too_few' WHEN sum(bad) > 0 THEN 'issues' ELSE 'ok' END AS state FROM (
     SELECT *, row_number() OVER (PARTITION BY domain ORDER BY run_date DESC) AS rn FROM f_runs) WHERE rn <= 5 GROUP BY domain""".replace("0 AS empty_logs", "CAST(0 AS BIGINT) AS empty_logs"))
 def a25(t):

@@ -60,18 +60,39 @@ def s1b(t):
     return st.load().select(*COLS)
 
 
-@query("s2b_legacy_layout", """SELECT code, date, CASE WHEN date >= DATE '2024-01-21' THEN close + 2 WHEN date >= DATE '2024-01-11' THEN close + 1 ELSE close END AS close FROM f_ubars""")
+@query("s2b_legacy_layout", """SELECT code, date, CASE WHEN date >= DATE '2024-01-21' THEN close + 2 WHEN date >= DATE '2024-01-16' THEN close + 1 ELSE close END AS close FROM f_ubars""")
 def s2b(t):
-    """The older layout: flat sealed files, month folders, increments by day and flat; later parts win."""
+    """The older layout: month folders, flat sealed files over them, increments by day over both."""
     root = shared_dir(t.spark, "legacy")
     b = materialize(t.ubars.select(*COLS), "bars")
     plus = lambda lo, k: b.filter(c("date") >= day(lo)).withColumn("close", c("close") + k)
-    b.write.mode("append").parquet(root)
+    b.filter(c("date") < day("2024-01-16")).write.mode("append").parquet(root)
     plus("2024-01-11", 1).write.parquet(f"{root}/year=2024/month=01")
     plus("2024-01-21", 2).write.parquet(f"{root}/_incr/20240130")
     return read_legacy(t.spark, root).select("code", "date", "close")
 
 
+@query("s3b_increment_order", """SELECT code, date, close - CASE CAST(code AS BIGINT) % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 ELSE 5 END AS close
+    FROM f_ubars""")
+def s3b(t):
+    """One key in up to six places, with lower closes in the later ones: month folder, flat sealed file, three increment folders
+    (one of whose names extends another) and a flat increment. The last place that holds a key counts, not the greatest row."""
+    root = shared_dir(t.spark, "legacy")
+    b = materialize(t.ubars.select(*COLS), "bars")
+    kind = c("code").cast("long") % 6
+
+    def at(k: int):
+        return b.filter(kind >= k).withColumn("close", c("close") - k)
+    # Written out of order: neither the time of writing nor the order of listing counts.
+    at(4).write.parquet(f"{root}/_incr/20240111")
+    at(3).write.parquet(f"{root}/_incr/20240110-b")
+    at(2).write.parquet(f"{root}/_incr/20240110")
+    at(1).write.mode("append").parquet(root)
+    at(0).write.parquet(f"{root}/year=2024/month=01")
+    at(5).write.mode("append").parquet(f"{root}/_incr")
+    return read_legacy(t.spark, root).select("code", "date", "close")
+
+
 @query("s5b_stored_weekly", "SELECT code, period_key, date, close FROM f_weekly WHERE NOT is_partial")
 def s5b(t):
     st = BarStore(t.spark, shared_dir(t.spark, "store"), "index")

@@ -70,13 +70,14 @@ def ewm_cte(name: str, source: str, key: str, col: str, alpha: str, recursive_so
 
 def scored(t):
     """Indicator block with J columns and the screen flag."""
-    return K.momentum_screen(K.indicators(K.with_kdj(t.both_bases)), FLAGSHIP, t.wide)
+    return K.momentum_screen(K.indicators(K.with_kdj(t.both_bases)), FLAGSHIP)
 
 
 @query("p16_momentum_screen", f"""SELECT date, code, {R('ret20', 9)} AS ret20, {R('rk', 9)} AS rk,
     {R('amt20', 4)} AS amt20 FROM f_screen WHERE hit""")
 def p16(t):
-    df = K.momentum_screen(K.indicators(t.both_bases), FLAGSHIP, t.wide)
+    block = K.indicators(t.both_bases).select("code", "date", "close", "ma20", "ma60", "ma60_rising", "ret20", "ret120", "amt20")
+    df = K.momentum_screen(block, FLAGSHIP)
     return rounded(df.filter("hit").select("date", "code", "ret20", "rk", "amt20"), ret20=9, rk=9, amt20=4)
 
 
@@ -136,7 +137,7 @@ def w5(t):
 @query("w12_xs_pct_rank", f"SELECT code, date, {R(sql_pct('ret'), 9)} AS p FROM f_ind1")
 def w12(t):
     df = t.bars_hfq.withColumn("ret", W.ret(c("close"), 1, W.by()))
-    return rounded(W.share_columns(df.select("code", "date", "ret"), {"p": ("ret", True)}, ["date"], t.wide).drop("ret"), p=9)
+    return rounded(W.share_columns(df.select("code", "date", "ret"), {"p": ("ret", True)}, ["date"]).drop("ret"), p=9)
 
 
 @query("w12b_xs_rank_bucketed", f"""SELECT code, date, {R(sql_rank('volume'), 1)} AS r FROM f_ubars""")
@@ -146,28 +147,22 @@ def w12b(t):
 
 @query("a22b_quantile_labels_wide", "SELECT code, date, CAST(label AS INTEGER) AS label FROM f_labels")
 def a22b(t):
-    return K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=True).select("code", "date", "label")
-
-
-@query("w22c_scores_wide", "SELECT code, date, " + ", ".join(f"{R(m, 9)} AS score_{m}" for m in ("amihud", "kdj_rev")) + " FROM f_scores")
-def w22c(t):
-    modes = ["amihud", "kdj_rev"]
-    df = K.scores(K.indicators(K.with_kdj(t.both_bases)), modes, wide=True)
-    return rounded(df.select("code", "date", *[f"score_{m}" for m in modes]), **{f"score_{m}": 9 for m in modes})
+    """The days cut into pieces between their names."""
+    return K.quantile_labels(K.forward_return(t.bars, 5), "fut", pieces=24).select("code", "date", "label")
 
 
 @query("w13_xs_rank", f"""SELECT code, date, {R(sql_rank('volume'), 1)} AS r_up, {R(sql_rank('volume', direction='DESC'), 1)} AS r_down
     FROM f_bars""")
 def w13(t):
     b = t.bars.select("code", "date", "volume")
-    return W.rank_columns(b, {"r_up": ("volume", True), "r_down": ("volume", False)}, ["date"], t.wide).drop("volume")
+    return W.rank_columns(b, {"r_up": ("volume", True), "r_down": ("volume", False)}, ["date"]).drop("volume")
 
 
 @query("w14_xs_zscore", f"""SELECT code, date, {R('''CASE WHEN ret IS NOT NULL THEN CASE WHEN stddev_pop(ret) OVER (PARTITION BY date) > 1e-12
     THEN (ret - avg(ret) OVER (PARTITION BY date)) / stddev_pop(ret) OVER (PARTITION BY date) ELSE 0 END END''', 9)} AS z FROM f_ind1""")
 def w14(t):
     df = t.bars_hfq.withColumn("ret", W.ret(c("close"), 1, W.by()))
-    return rounded(W.zscore_columns(df.select("code", "date", "ret"), {"z": "ret"}, ["date"], t.wide).drop("ret"), z=9)
+    return rounded(W.zscore_columns(df.select("code", "date", "ret"), {"z": "ret"}, ["date"]).drop("ret"), z=9)
 
 
 @query("w8_cumprod", f"""SELECT code, date, {R('exp(sum(ln(1 + coalesce(ret, 0))) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING))', 9)} AS nav
@@ -272,7 +267,7 @@ cte("f_feat", f"""SELECT f.*, {sql_roll("avg", "amp", 20)} AS amp20, 100 - 100 /
 
 @query("w6_features", f"""SELECT code, date, trend_streak, {', '.join(f'{R(k, n)} AS {k}' for k, n in FEAT.items())} FROM f_feat""")
 def w6(t):
-    return rounded(K.features(t.both_bases, t.wide).select("code", "date", "trend_streak", *FEAT), **FEAT)
+    return rounded(K.features(t.both_bases).select("code", "date", "trend_streak", *FEAT), **FEAT)
 
 
 @query("p15_tradable", """SELECT b.code, b.date, b.close FROM f_bars AS b LEFT JOIN f_uni AS u USING (code)
@@ -317,7 +312,14 @@ cte("f_scores", """SELECT code, date, hit, p_ret20 AS momentum,
 
 @query("w22_scores", f"SELECT code, date, {', '.join(f'{R(m, 9)} AS score_{m}' for m in SC)} FROM f_scores")
 def w22(t):
-    df = K.scores(K.indicators(K.with_kdj(t.both_bases)), wide=t.wide)
+    df = K.scores(K.indicators(K.with_kdj(t.both_bases)))
+    return rounded(df.select("code", "date", *[f"score_{m}" for m in SC]), **{f"score_{m}": 9 for m in SC})
+
+
+@query("w22c_scores_wide", f"SELECT code, date, {', '.join(f'{R(m, 9)} AS score_{m}' for m in SC)} FROM f_scores")
+def w22c(t):
+    """All scores with the days cut into pieces between their names."""
+    df = K.scores(K.indicators(K.with_kdj(t.both_bases)), pieces=24)
     return rounded(df.select("code", "date", *[f"score_{m}" for m in SC]), **{f"score_{m}": 9 for m in SC})
 
 
@@ -325,9 +327,9 @@ cte("f_signals", f"""SELECT date, 'momentum' AS strategy, code, {R(sql_pct('roun
 
 
 def signal_table(t):
-    df = K.scores(scored(t), ["quality_kdj5"], t.wide)
+    df = K.scores(scored(t), ["quality_kdj5"])
     df = df.withColumn("score_quality_kdj5", F.round("score_quality_kdj5", 12))
-    return rounded(K.signals(df, "score_quality_kdj5", wide=t.wide), score=9)
+    return rounded(K.signals(df, "score_quality_kdj5"), score=9)
 
 
 @query("w22b_signals", "SELECT date, strategy, code, score FROM f_signals")
@@ -371,7 +373,7 @@ cte("f_labels", """SELECT f.code, f.date, f.fut, CASE WHEN f.fut IS NOT NULL AND
 
 @query("a22_quantile_labels", "SELECT code, date, CAST(label AS INTEGER) AS label FROM f_labels")
 def a22(t):
-    return K.quantile_labels(K.forward_return(t.bars, 5), "fut", wide=t.wide).select("code", "date", "label")
+    return K.quantile_labels(K.forward_return(t.bars, 5), "fut").select("code", "date", "label")
 
 
 cte("f_ic", f"""SELECT date, corr(a, b) AS ic, count(*) AS n FROM (SELECT date, {sql_rank('ret20')} AS a, {sql_rank('fut')} AS b FROM (
@@ -382,11 +384,11 @@ cte("f_ic", f"""SELECT date, corr(a, b) AS ic, count(*) AS n FROM (SELECT date,
 @query("a21_rank_ic", f"SELECT date, {R('ic', 9)} AS ic, n FROM f_ic")
 def a21(t):
     df = K.forward_return(t.bars.withColumn("ret20", W.ret(c("close"), 20, W.by())), 5)
-    return rounded(K.rank_ic(df, "ret20", "fut", wide=t.wide), ic=9)
+    return rounded(K.rank_ic(df, "ret20", "fut"), ic=9)
 
 
 @query("a21b_rank_ic_summary", f"""SELECT {R('avg(ic)', 9)} AS ic_mean, {R('avg(ic) / stddev_samp(ic)', 9)} AS icir, count(*) AS days
     FROM f_ic WHERE ic IS NOT NULL AND NOT isnan(ic)""")
 def a21b(t):
     df = K.forward_return(t.bars.withColumn("ret20", W.ret(c("close"), 20, W.by())), 5)
-    return rounded(K.rank_ic_summary(K.rank_ic(df, "ret20", "fut", wide=t.wide)), ic_mean=9, icir=9)
+    return rounded(K.rank_ic_summary(K.rank_ic(df, "ret20", "fut")), ic_mean=9, icir=9)

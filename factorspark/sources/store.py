@@ -312,20 +312,43 @@ class BarStore:
         return done
 
 
-def read_legacy(spark: SparkSession, base: str, schema: T.StructType = BAR) -> DataFrame:
-    """Bars of the older layout: flat sealed files and year=/month= folders below ``base``, increments below ``_incr``, as day
-    folders or flat. Sealed rows come first, so increments win."""
+#: Files of the older layout in rising priority, with the depth of their folders; fixed order: what is flat is newer.
+LEGACY = (("year=*/month=*/*.parquet", 2), ("*.parquet", 0), ("_incr/*/*.parquet", 1), ("_incr/*.parquet", 0))
+
+
+def read_legacy(spark: SparkSession, base: str, schema: T.StructType = BAR, start: str | None = None, end: str | None = None,
+                fix: DataFrame | None = None) -> DataFrame:
+    """Bars of the older layout, one row per key: year=/month= folders and flat sealed files below ``base``, increments below
+    ``_incr`` in day folders or flat.
+
+    Of rows with one key the last read counts, where month folders come before flat sealed files, these before increments in day
+    folders and these before flat increments; inside a layer folders and files go by name and a file's rows by their place. The
+    order is that of ``_metadata``, so it doesn't depend on how Spark splits the files. Date bounds also leave out month folders.
+    """
     parts = []
-    for globs in (["*.parquet", "year=*/month=*/*.parquet"], ["_incr/*.parquet", "_incr/*/*.parquet"]):
-        for g in globs:
-            try:
-                parts.append(spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{g}"))
-            except AnalysisException as e:
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
+    for pattern, depth in LEGACY:
+        reader = spark.read.option("basePath", base.rstrip("/"))
+        full = T.StructType([*schema.fields, *OPTIONAL.fields])
+        if depth == 2:
+            full = T.StructType([*full.fields, T.StructField("year", T.StringType()), T.StructField("month", T.StringType())])
+        try:
+            df = reader.schema(full).parquet(f"{base.rstrip('/')}/{pattern}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                continue
+            raise
+        if depth == 2:
+            ym = F.concat_ws("-", "year", "month")
+            if start is not None:
+                df = df.filter(ym >= start[:7])
+            if end is not None:
+                df = df.filter(ym <= end[:7])
+        # Folders and file by name, not the whole path: "20240110-b" follows "20240110" although "-" precedes "/".
+        place = F.struct(F.slice(F.split(c("_metadata.file_path"), "/"), -depth - 1, depth + 1).alias("names"), c("_metadata.row_index").alias("row"))
+        parts.append(df.select(*schema.fieldNames(), *OPTIONAL.fieldNames(), place.alias("__origin")))
     if not parts:
         raise ContractError(f"no bars under {base}")
-    return B.load_bars([p.select(*schema.fieldNames()) for p in parts])
+    return B.filter_rows(B.load_bars(parts, fix, origin="__origin"), start=start, end=end)
 
 
 def retention_plan(months: DataFrame, calendar: DataFrame, today: str, keep: int | None) -> DataFrame:

@@ -35,11 +35,6 @@ class Tables:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
-    @cached_property
-    def wide(self) -> bool:
-        """Whether the brands are too many to rank a day in one task; checked on the part table."""
-        return W.is_wide(self.raw("part"), "p_brand")
-
     @cached_property
     def lines(self) -> DataFrame:
         """Weekday line items with their part: code, date, type and price."""

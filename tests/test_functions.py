@@ -89,11 +89,11 @@ def test_ewm_with_gaps_matches_pandas(spark, panel):
     same(out["q"], (e - d).groupby(p["code"]).transform(lambda s: s.ewm(alpha=0.2, adjust=False).mean()))
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_cross_section_ranks_match_pandas(spark, panel, wide):
+@pytest.mark.parametrize("pieces", [None, 1, 40])
+def test_cross_section_ranks_match_pandas(spark, panel, pieces):
     df = pdf_to_spark(spark, panel)
-    df = W.rank_columns(df, {"r": ("vol", True), "rd": ("x", False)}, ["date"], wide)
-    df = W.share_columns(df, {"p": ("x", True)}, ["date"], wide)
+    df = W.rank_columns(df, {"r": ("vol", True), "rd": ("x", False)}, ["date"], pieces=pieces)
+    df = W.share_columns(df, {"p": ("x", True)}, ["date"])
     out = collect(df, "r", "rd", "p")
     p = panel.sort_values(["code", "date"]).reset_index(drop=True)
     g = p.groupby("date")
@@ -102,10 +102,10 @@ def test_cross_section_ranks_match_pandas(spark, panel, wide):
     same(out["p"], g["x"].rank(pct=True))
 
 
-def test_zscores_of_both_forms_agree(spark, panel):
+def test_zscores_match_windows(spark, panel):
     df = pdf_to_spark(spark, panel)
     a = collect(W.zscore_columns(df, {"z": "x"}, ["date"]), "z")
-    b = collect(W.zscore_columns(df, {"z": "x"}, ["date"], wide=True), "z")
+    b = collect(df.withColumn("z", W.zscore(F.col("x"), ["date"])), "z")
     same(a["z"], b["z"])
 
 
@@ -117,6 +117,7 @@ def test_seat_ranks_of_one_hot_group(spark):
     key = lambda d: sorted((r.code, r.seat_code, r["rank"]) for r in d.collect())
     want = sorted(rows[:900], key=lambda r: (-r[5], r[4]))
     got = key(rank_seats(df))
+    assert key(rank_seats(df, pieces=32)) == got
     assert key(top_seats(df, 5)) == [x for x in got if x[2] <= 5]
     assert {(s, r) for k, s, r in got if k == "600000"} == {(r[4], i + 1) for i, r in enumerate(want)}
 
@@ -131,15 +132,15 @@ def test_bucketed_rank_with_one_hot_value(spark):
     same(out["r"], want)
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_quantile_labels_match_qcut(spark, wide):
+@pytest.mark.parametrize("pieces", [None, 1, 40])
+def test_quantile_labels_match_qcut(spark, pieces):
     rng = np.random.default_rng(5)
     rows = []
     for d in pd.date_range("2024-01-01", periods=12):
         for i in range(23):
             rows.append((f"{i:06d}", d.date(), float(round(rng.normal(), 0 if d.day % 2 else 3))))
     pdf = pd.DataFrame(rows, columns=["code", "date", "v"])
-    df = K.quantile_labels(spark.createDataFrame(pdf), "v", wide=wide)
+    df = K.quantile_labels(spark.createDataFrame(pdf), "v", pieces=pieces)
     out = df.select("code", "date", "label").toPandas().sort_values(["date", "code"]).reset_index(drop=True)
     p = pdf.sort_values(["date", "code"]).reset_index(drop=True)
     want = p.groupby("date")["v"].transform(lambda s: pd.qcut(s, 5, labels=False, duplicates="drop"))

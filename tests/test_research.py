@@ -199,3 +199,86 @@ def test_walk_forward_scores_only_new_dates(spark):
     assert [r.block for r in blocks.orderBy("block").collect()] == [1, 2]
     out = E.walk_forward_score(f, lab, cal, blocks, ["a", "b"], trees=2, depth=2, scored_until=d[110].isoformat())
     assert out.agg(F.min("date")).first()[0] == d[111] and out.count() == 4 * 9
+
+
+VOLATILE_CASES = [
+    ('{"generated":{"by":{"host":"a"}},"x":1}', '{"generated":{"by":{"host":"b"}},"x":1}'),
+    ('{"generated":{"by":1}}', "{}"), ('{"a":{"run_id":[{"b":[1,{"c":2}]}]},"b":[]}', '{"b":[],"a":{"run_id":[7]}}'),
+    ('{"a":[1,{"timestamp":{"x":[1]},"n":2}]}', '{"a":[1,{"timestamp":0,"n":2}]}'), ('{"a":[1,{"n":2}]}', '{"a":[1,{"n":3}]}'),
+    ('{"a":[1,2]}', '{"a":[1]}'), ('{"a":[]}', '{"a":{}}'), ('{"a":[[]]}', '{"a":[]}'), ('{"nav":1.0,"t":{"win":2}}', '{"nav":1.5,"t":{"win":2}}'),
+    ('{"nav":1}', '{"nav":"1"}'), ('{"nav":true}', '{"nav":false}'), ('{"rows":[{"nav":1}]}', '{"rows":[{"nav":2}]}'),
+    ('{"a":"x\\"}],{\\"run_id\\":1","b":"\\\\"}', '{"a":"x\\"}],{\\"run_id\\":1","b":"\\\\"}'), ('{"a.b":1}', '{"a":{"b":1}}'),
+    ('{"generated":{"nav":1}}', '{"generated":{"nav":2}}'), ('{"a":{"a":{"a":{"a":{"a":{"a":{"built_at":{"a":[{"z":1}]}}}}}}}}',
+                                                          '{"a":{"a":{"a":{"a":{"a":{"a":{"built_at":2}}}}}}}'),
+    ('[{"run_id":1},"x"]', '[{"run_id":2},"x"]'), ("3", "3"), ('"' + "q" * 50_000 + '"', '"' + "q" * 50_000 + '"'),
+    ('{"l":[' + ",".join(f'{{"v":{i},"run_id":{i}}}' for i in range(3000)) + "]}", '{"l":[' + ",".join(f'{{"v":{i}}}' for i in range(3000)) + "]}"),
+]
+
+
+def test_reconciliation_equals_a_plain_walk(spark):
+    import json
+
+    def strip(o):
+        if isinstance(o, dict):
+            return {k: strip(v) for k, v in o.items() if k not in RC.VOLATILE}
+        return [strip(v) for v in o] if isinstance(o, list) else o
+
+    def kpis(o, path=()):
+        if not isinstance(o, dict):
+            return {}
+        out = {}
+        for k, v in o.items():
+            if isinstance(v, (int, float)) and not isinstance(v, bool):
+                if any(m in k.lower() for m in RC.KPI_MARKS):
+                    out[(*path, k)] = float(v)
+            else:
+                out |= kpis(v, (*path, k))
+        return out
+
+    day = dt.date(2025, 1, 2)
+    frame = lambda side: spark.createDataFrame([("d", str(i), day, pair[side]) for i, pair in enumerate(VOLATILE_CASES)],
+                                               "domain string, variant string, data_date date, payload string")
+    got = {int(r.variant): r for r in RC.reconcile(frame(0), frame(1)).collect()}
+    for i, (a, b) in enumerate(VOLATILE_CASES):
+        a, b = json.loads(a), json.loads(b)
+        ka, kb = kpis(a), kpis(b)
+        delta, missing = max((abs(ka[k] - kb[k]) for k in ka.keys() & kb.keys()), default=0.0), len(ka.keys() ^ kb.keys())
+        same = json.dumps(strip(a), sort_keys=True) == json.dumps(strip(b), sort_keys=True)
+        want = (delta, missing, same, "PROMOTE-READY" if same and not missing and delta <= 1e-9 else "BLOCKED")
+        assert (got[i].max_kpi_delta, got[i].missing_kpi, got[i].sha_equal, got[i].verdict) == want, VOLATILE_CASES[i]
+
+
+def test_a_second_run_reads_its_models_and_scores(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    d = days(120)
+    cal = spark.createDataFrame([(x, i + 1) for i, x in enumerate(d)], "date date, td_idx long")
+    f = spark.createDataFrame([(f"{k:06d}", x, float(rng.normal()), float(rng.normal())) for k in range(4) for x in d], "code string, date date, a double, b double")
+    lab = f.select("code", "date", (c("a") > 0).cast("int").alias("label"))
+    blocks = E.walk_forward_blocks(cal, "2025-01-01", "2025-01-10", every=21)
+    run = lambda upto, store: E.walk_forward_score(f, lab, cal.filter(c("td_idx") <= upto), blocks.filter(c("lo") <= upto), ["a", "b"],
+                                                   trees=2, depth=2, store=store)
+    whole = {(r.code, r.date): (r.block, r.score) for r in run(120, None).collect()}
+    first = E.ModelStore(spark, str(tmp_path))
+    some = run(80, first).count()
+    second = E.ModelStore(spark, str(tmp_path))
+    got = run(120, second).collect()
+    assert {(r.code, r.date): (r.block, r.score) for r in got} == whole and len(got) == len(whole) > some
+    assert not set(first.fits) & set(second.fits) and set(first.fits) | set(second.fits) == {b for b, _ in whole.values()}
+    third = E.ModelStore(spark, str(tmp_path))
+    assert run(120, third).count() == len(whole) and third.fits == []
+
+
+def test_first_hit_counts_what_a_grid_would(spark):
+    from factorspark.operators import sweeps as SW
+
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 9 == 0 else float(rng.integers(0, 10)), float(rng.normal()) if i % 7 else None, "p" if i % 3 else "q") for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, fut double, period string")
+    up, down = [2.0, 5.0, 8.0], [9.0, 4.0, 4.0, 0.0]
+    out = SW.ladder(df, {"below": (up, SW.first_hit(c("x"), up, lambda x, v: x < v)), "atleast": (down, SW.first_hit(c("x"), down, lambda x, v: x >= v))}, c("period"), "fut")
+    got = {(r.param, r.value, r.period): (r.n, round(r.avg_fut, 9), round(r.win_rate, 9)) for r in out.collect()}
+    for (param, v, period), have in got.items():
+        hit = [f for x, f, p in rows if p == period and x is not None and (x < v if param == "below" else x >= v)]
+        known = [f for f in hit if f is not None]
+        assert have == (len(hit), round(sum(known) / len(known), 9), round(sum(f > 0 for f in known) / len(known), 9))
+    assert len(got) == 2 * (3 + 3)

@@ -173,3 +173,29 @@ def test_legacy_layout(spark, tmp_path):
     assert len(got) == 6 and got[("600000", "2025-01-03")] == 7.0 and got[("000001", "2025-01-03")] == 5.0
     with pytest.raises(ContractError):
         read_legacy(spark, f"{tmp_path}/nothing")
+
+
+def test_the_last_place_of_a_key_counts_not_the_greatest_row(spark, tmp_path):
+    base, day = f"{tmp_path}/order", "2025-01-03"
+    put = lambda close, path, codes=("600000",): day_frame(spark, day, codes, close).coalesce(1).write.mode("append").parquet(f"{base}{path}")
+    close = lambda **more: {r.code: r.close for r in read_legacy(spark, base, **more).collect()}
+    put(20.0, "/_incr/20250104")
+    put(30.0, "/_incr/20250103")
+    assert close() == {"600000": 20.0}  # the later day folder, though written first and lower
+    put(10.0, "/_incr/20250104-late")
+    assert close() == {"600000": 10.0}
+    put(9.0, "/_incr")
+    assert close() == {"600000": 9.0}  # flat increments over day folders
+    put(99.0, "/year=2025/month=01", ("600000", "000001"))
+    put(8.0, "", ("000001", "300750"))
+    assert close() == {"600000": 9.0, "000001": 8.0, "300750": 8.0}  # flat sealed files over month folders
+    put(50.0, "/year=2024/month=12", ("688001",))
+    assert set(close(start="2025-01-01")) == {"600000", "000001", "300750"}
+    fix = day_frame(spark, day, ("sz.000001",), 1.0)
+    assert close(fix=fix)["000001"] == 1.0
+
+
+def test_of_copies_in_one_file_the_last_counts(spark, tmp_path):
+    rows = [("600000", d("2025-01-03"), 9.0, 12.0, 8.0, x, 100, 1000.0) for x in (5.0, 9.0, 7.0, 6.0)]
+    spark.createDataFrame(rows, BAR).coalesce(1).write.parquet(f"{tmp_path}/one/year=2025/month=01")
+    assert [r.close for r in read_legacy(spark, f"{tmp_path}/one").collect()] == [6.0]
