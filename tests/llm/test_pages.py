@@ -15,13 +15,13 @@ def test_blocks_of_a_page():
 <script>var t="</p>";</script><form><input name=q>Search</form><ul><li>six<li>seven</ul><aside>See also</aside></article><footer>&copy;</footer>"""
     page = html_text.parse(source)
     assert html_text.text_of(page, None) == "A & B\n\nOne two three\n\nFour <five> é x\n\nsix\n\nseven"
-    assert html_text.best_paths(page)[0] == ("html>body.home>article", 1000)
+    assert html_text.best_paths(page)[0] == (html_text.path_of("html>body.home>article"), 1000)
 
 
 @pytest.mark.parametrize("source", [None, "", "<", "<a", '<a "', "<!--", "<!-- x", "</", "</p>", "<div", "<script>x", "<![CDATA[", "&", "&#0;", "<p", "a" * 100_000,
                                     "<" * 20_000, "<div>" * 3000 + "x", '<a "' * 5000, "<p>" * 5000])
 def test_broken_pages_do_not_fail(source):
-    assert isinstance(html_text.text_of(html_text.parse(source), "html>body>article"), str)
+    assert isinstance(html_text.text_of(html_text.parse(source), html_text.path_of("html>body>article")), str)
 
 
 def test_hosts_agree_on_a_path(spark):
@@ -32,7 +32,7 @@ def test_hosts_agree_on_a_path(spark):
              (14, "x", "plain", "h", "p", "t"), (None, "http://a.com", "<body>" + body.format(3, "null key", "z"), "h", "p", "t")]
     rows.append(rows[0])
     pages = spark.createDataFrame(rows, PAGE)
-    assert {r.host: r.path for r in html_text.host_paths(pages).collect()}["a.com"] == "html>body>div.post-#"
+    assert {r.host: r.path for r in html_text.host_paths(pages).collect()}["a.com"] == html_text.path_of("html>body>div.post-#")
     got = html_text.main_text(pages)
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     out = sorted((r.page_id if r.page_id is not None else -1, r.text, r.n_chars) for r in got.collect())
@@ -51,12 +51,43 @@ def test_articles_of_sections_keep_headline_and_lead(spark):
     elsewhere = "<body><main><article><p>Read below</p></article></main><div class=story><p>" + "other words " * 300 + "</p></div>"
     rows.append((8, "http://a.com/y", elsewhere, "h", "p", "t"))
     pages = spark.createDataFrame(rows, PAGE)
-    assert {r.path for r in html_text.host_paths(pages).collect()} == {"html>body>main>article"}
+    assert {r.path for r in html_text.host_paths(pages).collect()} == {html_text.path_of("html>body>main>article")}
     texts = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
     assert all(texts[i].startswith("Head\n\nLead\n\nlong") and "between" in texts[i] and "list" not in texts[i] for i in range(8))
     assert texts[8] == ("other words " * 300).strip()
 
 
+STORY = "<h1>Head</h1>" + "".join(f"<p>Sentence number {i} of a story that goes on for a while.</p>" for i in range(12))
+STORY_TEXT = "\n\n".join(["Head", *(f"Sentence number {i} of a story that goes on for a while." for i in range(12))])
+
+
+@pytest.mark.parametrize("wrapper", [f'div class="{x}"' for x in (
+    "content-with-sidebar", "page-sidebar-right", "layout-2-sidebar", "single-post comments-open", "content ad-free", "main-search-results", "td-social-post",
+    "post-header-image", "no-sidebar", "sidebar")] + ['form id="aspnetForm"', 'div id="page-menu" role="dialog"', 'form class="search"'])
+def test_a_mark_around_the_article_does_not_drop_it(wrapper):
+    tag = wrapper.split()[0]
+    page = (f'<body><nav><a href=/>Home</a></nav><{wrapper}><div class="entry">{STORY}<span class="share">Share me</span></div><div class="sidebar"><p>Other stories</p></div>'
+            f'<div class="post-comments"><p>First!</p></div><form class="newsletter"><p>Sign up</p></form></{tag}><footer>(c)</footer>')
+    assert html_text.text_of(html_text.parse(page), None) == STORY_TEXT
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list comments", "sidebar", "related", "newsletter", "cookie-notice"])
+def test_a_longer_marked_part_beside_the_article_goes(name):
+    page = f'<body><article>{STORY}</article><div class="{name}">' + "<p>" + "words of readers and others " * 200 + "</p></div>"
+    assert html_text.text_of(html_text.parse(page), None) == STORY_TEXT
+
+
+def test_very_deep_pages_stay_small():
+    import tracemalloc
+
+    source = "<body>" + '<div class="level-{}">'.format(1) * 100_000 + "deep text here" + "</div>" * 50_000
+    tracemalloc.start()
+    page = html_text.parse(source)
+    assert html_text.text_of(page, html_text.best_paths(page)[0][0]) == "deep text here"
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+
+
 def plain_rule(url):
     host = path = ""
     if url and "://" in url:
