@@ -107,24 +107,23 @@ ORACLES["op11_clusters"] = clustering.oracle_sql()
 ORACLES["op13_licenses"] = licenses.oracle_sql()
 
 ORACLES["op1_vectors"] = """
-with recursive rows as (select vec_id, label, list_transform(embedding, lambda x: x::double) v from embeddings
-    where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+with recursive numbered as materialized (select row_number() over () rid, vec_id, label, embedding from embeddings),
+rows as materialized (select rid, label, list_transform(embedding, lambda x: x::double) v from numbered
+    where label is not null and embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
-links as (select a.vec_id a, b.vec_id b from rows a join rows b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+links as materialized (select a.rid a, b.rid b from rows a join rows b on a.label = b.label and a.rid <> b.rid and len(a.v) = len(b.v)
     where list_cosine_similarity(a.v, b.v) >= 0.93),
-reached as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a)
-select e.vec_id, coalesce(n.n, 0)::bigint n_links, least(e.vec_id, coalesce(r.low, e.vec_id)) component_id,
-    least(e.vec_id, coalesce(r.low, e.vec_id)) = e.vec_id kept
-from (select distinct vec_id from embeddings) e left join (select a, count(*) n from links group by a) n on n.a = e.vec_id
-left join (select a, min(b) low from reached group by a) r on r.a = e.vec_id
+reached as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a),
+lows as (select a, min(vec_id) low from reached join numbered on rid = b group by a)
+select e.vec_id, coalesce(n.n, 0)::bigint n_links, least(e.vec_id, r.low) component_id, least(e.vec_id, r.low) is not distinct from e.vec_id kept
+from numbered e left join (select a, count(*) n from links group by a) n on n.a = e.rid left join lows r on r.a = e.rid
 """
 
 ORACLES["op8_top_k"] = """
-with rows as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) v from embeddings
-    where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
-scores as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint score
-    from rows q join rows c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
-ranked as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer rank, vec_id, score from scores)
+with rows as materialized (select row_number() over () rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) v from embeddings
+    where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scores as (select q.rid, q.vec_id query_id, c.vec_id, c.rid other, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint score
+    from rows q join rows c on q.vec_id % 100 = 0 and q.rid <> c.rid),
+ranked as (select query_id, row_number() over (partition by rid order by score desc, vec_id nulls last, other)::integer rank, vec_id, score from scores)
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """

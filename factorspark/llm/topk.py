@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorspark.llm import common
-from factorspark.llm.vectors import groups_of, one_row_each, rows_as_vectors
+from factorspark.llm.vectors import groups_of, rows_as_vectors
 from factorspark.session import materialize
 
 
@@ -81,8 +81,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024,
 
     Rows meet in cells of a block of queries and a block of rows: each cell indexes its rows and answers its queries,
     then the best of all cells are ranked. A cell's size doesn't depend on the input, and no row is left out.
-    Null vectors and those holding null or non-finite components take no part, nor do rows with a null key; rows that
-    repeat a key count once (the least row). A shorter vector counts as filled up with zeros.
+    Every row is a vector of its own: of rows that repeat a key each is a query and a candidate, and a row with a null key is a
+    candidate, behind all others of its score. Null and empty vectors and those holding null or non-finite components take no
+    part. A shorter vector counts as filled up with zeros. An empty table gives no rows; other columns, whatever their names, are not read.
     """
     spark = vectors.sparkSession
     common.ship(spark)
@@ -98,21 +99,21 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024,
             if ids:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids)), pa.array(out, pa.binary())], names=["id", "vec"])
 
-    rows = one_row_each(vectors.where(F.col(key).isNotNull()).select(key, vector), key, vector)
-    ints = materialize(rows.mapInArrow(whole, f"id {kind}, vec binary"), "integers")
+    ints = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("_vector")).mapInArrow(whole, f"id {kind}, vec binary")
+    ints = materialize(ints.withColumn("row", F.monotonically_increasing_id()), "integers")  # numbered once
     is_query = F.col("id") % every == 0
     n, n_queries = ints.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     parts, query_parts = max(1, -(-n // rows_per_block)), max(1, -(-n_queries // queries_per_block))
-    spread = lambda p: F.pmod(F.xxhash64("id"), F.lit(p)).cast("int")
+    spread = lambda p: F.pmod(F.xxhash64("row"), F.lit(p)).cast("int")
     each = lambda p: F.explode(F.sequence(F.lit(0), F.lit(p - 1)))
-    cells = ints.select(each(query_parts).alias("q"), spread(parts).alias("c"), F.lit(0).alias("role"), "id", "vec").union(
-        ints.where(is_query).select(spread(query_parts).alias("q"), each(parts).alias("c"), F.lit(1).alias("role"), "id", "vec"))
+    cells = ints.select(each(query_parts).alias("q"), spread(parts).alias("c"), F.lit(0).alias("role"), "id", "row", "vec").union(
+        ints.where(is_query).select(spread(query_parts).alias("q"), each(parts).alias("c"), F.lit(1).alias("role"), "id", "row", "vec"))
     cells = cells.repartition("q", "c").sortWithinPartitions("q", "c", "role")
 
     def answered(batches):
         for g in groups_of(batches, 2):
             role = g.column("role").to_numpy()
-            ids = g.column("id").to_numpy()
+            ids, row = g.column("id").combine_chunks(), g.column("row").to_numpy()
             vecs = [np.frombuffer(x, dtype=np.int64) for x in g.column("vec").to_pylist()]
             dims = max(map(len, vecs))
             if min(map(len, vecs)) < dims:
@@ -120,14 +121,20 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024,
             matrix = np.stack(vecs)
             if not (role == 0).any():
                 continue
-            index = Index(ids[role == 0], matrix[role == 0])
+            # Rows take part by their places in the order of keys, null last, so that ties go to the smaller one.
+            mine = np.flatnonzero(role == 0)
+            missing = ids.is_null().to_numpy(zero_copy_only=False)[mine]
+            by = mine[np.lexsort((row[mine], ids.fill_null(0).to_numpy(zero_copy_only=False)[mine], missing))]
+            index = Index(np.arange(len(by)), matrix[by])
+            place = {r: n for n, r in enumerate(row[by].tolist())}
             out: list[tuple] = []
-            for i in np.flatnonzero(role == 1):
-                out += [(ids[i], index.ids[r], s) for r, s in index.top(matrix[i], ids[i], k)]
+            for i in np.flatnonzero(role == 1).tolist():
+                out += [(i, by[r], s) for r, s in index.top(matrix[i], place.get(int(row[i]), -1), k)]
             if out:
-                a, b, s = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
+                a, b, s = (np.array(x, dtype=np.int64) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), pa.array(row[a]), ids.take(pa.array(b)), pa.array(row[b]), pa.array(s)],
+                                                 names=["query_id", "query_row", "vec_id", "vec_row", "score"])
 
-    found = cells.mapInArrow(answered, f"query_id {kind}, vec_id {kind}, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = cells.mapInArrow(answered, f"query_id {kind}, query_row long, vec_id {kind}, vec_row long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "vec_row"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
