@@ -75,12 +75,12 @@ def audit_bars(df: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def audit_events(df: DataFrame, keys: Sequence[str], allowed: Sequence[str]) -> DataFrame:
-    """Rule -> count for an event table: duplicate and missing keys, unknown columns."""
+    """Rule -> count for an event table: duplicate and missing keys (rows without a key are no duplicates), unknown columns."""
     missing = F.lit(False)
     for k in keys:
         missing = missing | c(k).isNull()
     per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    counts = per_key.agg(F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("duplicate_key"),
+    counts = per_key.agg(F.coalesce(F.sum(F.when(~missing, c("n") - 1)), F.lit(0)).alias("duplicate_key"),
                          F.coalesce(F.sum(F.when(missing, c("n"))), F.lit(0)).alias("missing_key"))
     counts = counts.withColumn("unknown_columns", F.lit(len([x for x in df.columns if x not in allowed])))
     return _rows(counts, ["duplicate_key", "missing_key", "unknown_columns"])

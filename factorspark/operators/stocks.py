@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -250,8 +249,8 @@ def signals(df: DataFrame, score: str, strategy: str = "momentum") -> DataFrame:
 def regime(series: DataFrame, params: RegimeParams = RegimeParams()) -> DataFrame:
     """Market state per index series and day with its target ratio.
 
-    Only the last rule looks at the state before, so the rules are columns and a short ordered fold
-    per series (bounded by the calendar) picks the state.
+    Only the last rule looks at the state before: it steps from Z3 to Z2 below the ten-day mean, from Z2 or Z3 to Z1 below the
+    twenty-day mean.
     """
     w = W.by("series_id")
     px = c("close")
@@ -269,23 +268,19 @@ def regime(series: DataFrame, params: RegimeParams = RegimeParams()) -> DataFram
     df = df.select("series_id", "date", "close", rule.alias("rule"), C.gt(c("ma10"), px).alias("below10"),
                    C.gt(c("ma20"), px).alias("below20"))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        state, out = "Z1", []
-        for rule_, b10, b20 in zip(pdf["rule"], pdf["below10"], pdf["below20"]):
-            if rule_ == "warm":
-                out.append("Z1")
-                continue
-            if rule_ != "keep":
-                state = rule_
-            elif state == "Z3" and b10:
-                state = "Z2"
-            elif state in ("Z2", "Z3") and b20:
-                state = "Z1"
-            out.append(state)
-        return pdf.assign(state=out)[["series_id", "date", "close", "state"]]
-
-    out = df.groupBy("series_id").applyInPandas(fold, "series_id string, date date, close double, state string")
+    # A rule that names a state opens a segment; inside it rows only step down, so what happened first and how often tells the state.
+    keep, named = c("rule") == "keep", ~c("rule").isin("keep", "warm")
+    yes = lambda x: keep & F.coalesce(x, F.lit(False))
+    df = df.withColumns({"below10": yes(c("below10")), "below20": yes(c("below20")), "seg": F.count_if(named).over(W.running(w))})
+    run = W.running(Window.partitionBy("series_id", "seg").orderBy("date"))
+    fell = c("below10") | c("below20")
+    df = df.withColumns({
+        "start": F.coalesce(F.max(F.when(named, c("rule"))).over(run), F.lit("Z1")), "n20": F.count_if(c("below20")).over(run),
+        "first": F.first(F.when(fell, F.struct("below10", "below20")), ignorenulls=True).over(run)})
+    from_z3 = (F.when(c("first").isNull(), "Z3").when(~c("first.below10"), "Z1").when(c("n20") > c("first.below20").cast("int"), "Z1").otherwise("Z2"))
+    state = (F.when(c("rule") == "warm", "Z1").when(named, c("rule")).when(c("start") == "Z3", from_z3)
+             .when((c("start") == "Z2") & (c("n20") > 0), "Z1").otherwise(c("start")))
+    out = df.select("series_id", "date", "close", state.alias("state"))
     ratio = F.lit(None).cast("double")
     for s, v in params.ratios:
         ratio = F.when(c("state") == s, F.lit(v)).otherwise(ratio)

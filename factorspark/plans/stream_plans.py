@@ -54,9 +54,28 @@ SQL_BARS = """SELECT code, {start} AS date, first(value ORDER BY ts, event_id) A
 
 @query("x2_closed_weeks", SQL_BARS.format(start="CAST(date_trunc('week', ts) AS DATE)", start_of_last="CAST(date_trunc('week', ts) AS DATE)", amount=R("sum(value)", 4)))
 def x2(t):
-    _, sink, ck = J.work_paths(t.spark, "weeks")
-    J.finish(J.partial_bars(ticks(t), sink, ck, "week"))
-    return rounded(J.read_bars(t.spark, sink), amount=4)
+    _, root, ck = J.work_paths(t.spark, "weeks")
+    J.finish(J.emit_closed(ticks(t), root, ck, "week"))
+    return rounded(J.read_emitted(t.spark, root).drop("revision"), amount=4)
+
+
+@query("x2b_amended_weeks", f"""WITH t AS (SELECT *, event_id % 7 = 0 AS late, CAST(date_trunc('week', ts) AS DATE) AS date, ['60','00','30','68','83'][CAST(user_id % 5 + 1 AS INT)] ||
+      CASE WHEN user_id < 10000 THEN lpad(CAST(user_id AS VARCHAR), 4, '0') ELSE CAST(user_id AS VARCHAR) END AS code FROM events),
+    a AS (SELECT code, date, CAST(0 AS BIGINT) AS revision, first(value ORDER BY ts, event_id) AS open, last(value ORDER BY ts, event_id) AS close, count(*) AS volume, {R('sum(value)', 4)} AS amount
+      FROM t WHERE NOT late AND date < (SELECT max(date) FROM t WHERE NOT late) GROUP BY code, date),
+    b AS (SELECT code, date, CAST(1 AS BIGINT) AS revision, first(value ORDER BY ts, event_id) AS open, last(value ORDER BY ts, event_id) AS close, count(*) AS volume, {R('sum(value)', 4)} AS amount
+      FROM t WHERE date < (SELECT max(date) FROM t WHERE NOT late) OR date < (SELECT max(date) FROM t) GROUP BY code, date
+      HAVING bool_or(late) OR date >= (SELECT max(date) FROM t WHERE NOT late))
+    SELECT * FROM a UNION ALL SELECT * FROM b""")
+def x2b(t):
+    """A seventh of the ticks comes when all weeks but the last are closed: their weeks are emitted again with all ticks."""
+    src, root, ck = J.work_paths(t.spark, "amended")
+    all_ticks = t.raw("events").select(Tables.user_code().alias("code"), "ts", c("event_id").alias("seq"), "value")
+    for late in (False, True):
+        all_ticks.filter((c("seq") % 7 == 0) == late).write.mode("append").parquet(src)
+        J.finish(J.emit_closed(J.file_stream(t.spark, src, all_ticks.schema, per_trigger=1000), root, ck, "week"))
+    out = J.read_emitted(t.spark, root).select("code", "date", "revision", "open", "close", "volume", "amount")
+    return rounded(out, amount=4)
 
 
 @query("x3_stream_daily_bars", SQL_BARS.format(start="CAST(ts AS DATE)", start_of_last="CAST(ts AS DATE)", amount=R("sum(value)", 4)))
@@ -82,3 +101,21 @@ def x5(t):
     staged(t, lines, src, ["2024-01-16"])
     J.finish(J.drop_ledger(J.file_stream(t.spark, src, lines.schema), t.known_symbols, sink, ck))
     return J.read_ledger(t.spark, sink)
+
+
+@query("x5b_unfinished_bars", """WITH d AS (SELECT code, date, close, CASE WHEN date < DATE '2024-01-20' THEN 'first run' WHEN date = DATE '2024-01-20' THEN 'after the close' ELSE 'day to come' END AS state FROM f_ubars)
+    SELECT code, date, close, state, CASE WHEN state = 'after the close' THEN 'session open until 15:00' END AS was FROM d""")
+def x5b(t):
+    """Bars arrive in the middle of a session that would be over on a half day; they wait in the rejected table until a run after the close."""
+    src, root, ck = J.work_paths(t.spark, "gate")
+    b = t.ubars.select("code", "date", "close")
+    calendar = t.ubars.select("date", (F.dayofmonth("date") % 2 == 1).alias("half_day")).distinct()
+    staged(t, b, src, ["2024-01-20"])
+    J.finish(J.gate_bars(J.file_stream(t.spark, src, b.schema, per_trigger=8), calendar, "2024-01-20 12:00", root, ck))
+    for _ in range(2):  # the second call changes nothing
+        J.accept_closed(t.spark, b.schema, calendar, "2024-01-20 15:00", root)
+    bars = t.spark.read.schema("code string, date date, close double, batch string").parquet(f"{root}/bars")
+    rejected = t.spark.read.schema("code string, date date, close double, reason string").parquet(f"{root}/rejected")
+    state = F.when(c("batch").isNull(), c("reason")).when(c("batch").startswith("r"), "after the close").otherwise("first run")
+    out = bars.join(rejected.select("code", "date", "reason", c("close").alias("waiting")), ["code", "date"], "full_outer")
+    return out.select("code", "date", F.coalesce("close", "waiting").alias("close"), state.alias("state"), F.when(c("batch").isNotNull(), c("reason")).alias("was"))

@@ -80,10 +80,85 @@ def partial_bars(ticks: DataFrame, sink: str, checkpoint: str, span: str) -> Str
 def read_bars(spark: SparkSession, sink: str, closed: bool = True) -> DataFrame:
     """Bars out of the parts; ``closed`` withholds the latest period, which may still grow."""
     parts = spark.read.parquet(sink).drop("batch")
-    bars = parts.groupBy("code", "date").agg(
+    bars = _combined(parts)
+    return bars.filter(c("date") < parts.agg(F.max("date")).scalar()) if closed else bars
+
+
+def _combined(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("code", "date").agg(
         F.min_by("open", "first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "last").alias("close"),
         F.sum("volume").alias("volume"), F.sum("amount").alias("amount"))
-    return bars.filter(c("date") < parts.agg(F.max("date")).scalar()) if closed else bars
+
+
+def emit_closed(ticks: DataFrame, root: str, checkpoint: str, span: str) -> StreamingQuery:
+    """Emit each period's bar once, when a tick of a later period closes it, and again whenever a late tick changes it.
+
+    Under ``root`` a batch N writes its parts (``parts/batch=N``), the latest period seen so far (``clock/batch=N``, one row) and
+    the bars it closes or amends (``closed/batch=N``). It reads the parts of the periods it closes and of the keys it amends
+    only. A replayed batch sees the same earlier batches and overwrites its own folders.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        order, v = C.tick_order(c("ts"), c("seq")), c("value")
+        g = batch.groupBy("code", _period(c("ts"), span).alias("date")).agg(
+            F.min_by(v, order).alias("open"), F.min(order).alias("first"), F.max(v).alias("high"), F.min(v).alias("low"),
+            F.max_by(v, order).alias("close"), F.max(order).alias("last"), F.count("*").alias("volume"), F.sum(v).alias("amount"))
+        g.write.mode("overwrite").parquet(f"{root}/parts/batch={batch_id}")
+        own = spark.read.schema(g.schema).parquet(f"{root}/parts/batch={batch_id}")
+        parts = spark.read.schema(g.schema.add("batch", "long")).parquet(f"{root}/parts").filter(c("batch") <= batch_id)
+        before = None
+        if batch_id:
+            seen = spark.read.schema("clock date, batch long").parquet(f"{root}/clock").filter(c("batch") < batch_id)
+            before = seen.agg(F.max("clock")).first()[0]
+        now = max((d for d in (before, own.agg(F.max("date")).first()[0]) if d is not None), default=None)
+        spark.createDataFrame([(now,)], "clock date").write.mode("overwrite").parquet(f"{root}/clock/batch={batch_id}")
+        newly = parts.filter((c("date") < F.lit(now)) & (F.lit(True) if before is None else c("date") >= F.lit(before)))
+        out = _combined(newly)
+        if before is not None:
+            late = own.filter(c("date") < F.lit(before)).select("code", "date")
+            days = [r.date for r in late.select("date").distinct().collect()]  # bounded by the calendar
+            out = out.unionByName(_combined(parts.filter(c("date").isin(days)).join(late, ["code", "date"], "left_semi")))
+        out.write.mode("overwrite").parquet(f"{root}/closed/batch={batch_id}")
+
+    return ticks.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_emitted(spark: SparkSession, root: str) -> DataFrame:
+    """All emitted bars; ``revision`` is the batch that emitted them, the greatest of a key is its latest form."""
+    return spark.read.schema("code string, date date, open double, high double, low double, close double, volume long, amount double, batch long").parquet(
+        f"{root}/closed").withColumnRenamed("batch", "revision")
+
+
+def unfinished(calendar: DataFrame, now: str, close: str = "15:00", half_close: str = "11:30") -> DataFrame:
+    """``date, reason`` of the calendar days (date, half_day) whose session isn't over at the moment ``now`` (YYYY-MM-DD HH:MM)."""
+    at = F.when(F.coalesce("half_day", F.lit(False)), F.lit(half_close)).otherwise(F.lit(close))
+    today, time = now[:10], now[11:16]
+    reason = F.when(c("date") > F.lit(today).cast("date"), F.lit("day to come")).when(
+        (c("date") == F.lit(today).cast("date")) & (F.lit(time) < at), F.concat(F.lit("session open until "), at))
+    return calendar.select("date", reason.alias("reason")).filter(c("reason").isNotNull())
+
+
+def gate_bars(bars: DataFrame, calendar: DataFrame, now: str, root: str, checkpoint: str, **session: str) -> StreamingQuery:
+    """Append bars of closed sessions to ``root/bars``; those of an open session and of days to come go to ``root/rejected`` with their
+    reason. The calendar (date, half_day) is static and joined to each batch, which writes folders of its own."""
+    open_days = unfinished(calendar, now, **session)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        judged = batch.join(F.broadcast(open_days), "date", "left").select(*batch.columns, "reason")  # calendar-sized
+        judged.filter(c("reason").isNull()).drop("reason").write.mode("overwrite").parquet(f"{root}/bars/batch=b{batch_id}")
+        judged.filter(c("reason").isNotNull()).withColumn("seen_at", F.lit(now)).write.mode("overwrite").parquet(f"{root}/rejected/batch=b{batch_id}")
+
+    return bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def accept_closed(spark: SparkSession, schema, calendar: DataFrame, now: str, root: str, keys: Sequence[str] = ("code", "date"), **session: str) -> None:
+    """Accept the rejected bars whose session has closed by ``now``, each key once; a second call finds them accepted already."""
+    name = "r" + now.replace(" ", "T").replace(":", "")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    rejected = spark.read.schema(f"{fields}, reason string, seen_at string, batch string").parquet(f"{root}/rejected")
+    ready = rejected.join(F.broadcast(unfinished(calendar, now, **session)), "date", "left_anti").dropDuplicates(list(keys))
+    there = spark.read.schema(f"{fields}, batch string").parquet(f"{root}/bars").filter(c("batch") != name)
+    ready.join(there.select(*keys), list(keys), "left_anti").select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{root}/bars/batch={name}")
 
 
 STREAK_OUT = "code string, date date, close double, limit_up long, limit_count long, m3 long, m5 long, m10 long"

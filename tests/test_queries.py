@@ -11,7 +11,7 @@ FEW = ["p16_momentum_screen", "w1_rolling", "w5_kdj", "w12_xs_pct_rank", "w17_li
        "p1_normalize_code", "s1_load_bars", "s19_quote_text", "t4_top_n", "w28b_calendar_shift", "x1_append_once", "x2_closed_weeks", "x3_stream_daily_bars", "x4_limit_streak", "s25b_seal_overlap", "s26b_rebuild_over_increments",
        "s24b_event_month", "s23b_append_states", "w8_cumprod", "w15_rolling_percentile", "w18_limit_up_day", "a14_pool_summary", "a9b_manifest_states",
        "s27b_retention_applied", "s2b_legacy_layout", "s5b_stored_weekly", "s3b_increment_order", "j10c_nested_payloads",
-       "w20b_rank_seats_wide", "w22c_scores_wide", "a22b_quantile_labels_wide", "e10b_timing_sweep", "e10c_stop_sweep", "e10d_cost_sweep", "e10e_top_n_sweep", "e13b_stored_models"]
+       "w20b_rank_seats_wide", "w22c_scores_wide", "a22b_quantile_labels_wide", "e10b_timing_sweep", "e10c_stop_sweep", "e10d_cost_sweep", "e10e_top_n_sweep", "e13b_stored_models", "x2b_amended_weeks", "x5b_unfinished_bars"]
 
 
 @pytest.fixture(scope="module")

@@ -282,3 +282,46 @@ def test_first_hit_counts_what_a_grid_would(spark):
         known = [f for f in hit if f is not None]
         assert have == (len(hit), round(sum(known) / len(known), 9), round(sum(f > 0 for f in known) / len(known), 9))
     assert len(got) == 2 * (3 + 3)
+
+
+def test_regime_equals_a_plain_fold(spark):
+    rng = np.random.default_rng(11)
+    d = days(400)
+    walks = {k: np.round(100 * np.exp(np.cumsum(rng.normal(0, s, 400))), 3) for k, s in (("a", 0.004), ("b", 0.012), ("c", 0.03), ("d", 0.0))}
+    df = spark.createDataFrame([(k, x, float(v)) for k, walk in walks.items() for x, v in zip(d, walk)], "series_id string, date date, close double")
+    got = {(r.series_id, r.date): r.state for r in K.regime(df).collect()}
+    more = lambda x, y: x - y > 1e-9 * max(abs(x), abs(y)) if not np.isnan(x) and not np.isnan(y) else False
+    seen = set()
+    for k, walk in walks.items():
+        px = pd.Series(walk)
+        m5, m10, m20 = (px.rolling(n).mean() for n in (5, 10, 20))
+        state = "Z1"
+        for i, x in enumerate(d):
+            p, a, b, e = px[i], m5[i], m10[i], m20[i]
+            if np.isnan(e):
+                want = "Z1"
+            else:
+                r = px[i] / px[i - 1] - 1
+                if (more(b, a) and more(e, a)) or (more(e, a) and r < -0.01):
+                    state = "Z0"
+                elif more(p, a) and more(a, b) and more(b, e):
+                    state = "Z3"
+                elif more(p, e):
+                    state = "Z2"
+                elif more(a, m5[i - 1]) and more(b, m10[i - 1]):
+                    state = "Z1"
+                elif state == "Z3" and more(b, p):
+                    state, _ = "Z2", seen.add("Z3 to Z2")
+                elif state in ("Z2", "Z3") and more(e, p):
+                    state, _ = "Z1", seen.add(f"{state} to Z1")
+                want = state
+            assert got[(k, x)] == want, (k, i)
+    assert "Z2 to Z1" in seen
+
+
+def test_rows_without_a_key_are_no_duplicates(spark):
+    from factorspark.operators.quality import audit_events
+
+    rows = [("2025-01-02", "a", 1), ("2025-01-02", "a", 2), ("2025-01-02", None, 1), ("2025-01-02", None, 1), (None, "a", 1)]
+    df = spark.createDataFrame(rows, "date string, code string, n int")
+    assert {r[0]: r[1] for r in audit_events(df, ["date", "code"], ["date", "code", "n"]).collect()} == {"duplicate_key": 1, "missing_key": 3, "unknown_columns": 0}
