@@ -518,13 +518,14 @@ def random_control(f: DataFrame, seeds: int, top_n: int, real: DataFrame, score:
                     F.avg((c("sharpe") < target).cast("double")).alias("percentile")).withColumn("p_value", 1 - c("percentile"))
 
 
-def noise_neighbourhood(returns: DataFrame, weights: DataFrame, sigmas: Sequence[float], seeds: int) -> DataFrame:
-    """Metrics of fixed target weights when Gaussian noise of several sizes is added to the returns."""
+def noise_neighbourhood(returns: DataFrame, weights: DataFrame, sigmas: Sequence[float], seeds: int,
+                        uniforms: tuple[Column, Column] | None = None) -> DataFrame:
+    """Metrics of fixed target weights when Gaussian noise of several sizes is added to the returns. The noise comes from two
+    uniform numbers for each sigma, seed, date and member: hashes, or ``uniforms`` over these columns and those of returns."""
     grid = F.array(*[F.lit(float(s)) for s in sigmas])
     d = returns.withColumn("sigma", F.explode(grid)).withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
     key = F.concat_ws("|", c("sigma").cast("string"), c("seed").cast("string"))
-    u1 = random_score(F.lit(1), "sigma", "seed", "date", "member")
-    u2 = random_score(F.lit(2), "sigma", "seed", "date", "member")
+    u1, u2 = uniforms or tuple(random_score(F.lit(k), "sigma", "seed", "date", "member") for k in (1, 2))
     gauss = F.sqrt(-2 * F.ln(F.greatest(u1, F.lit(1e-300)))) * F.cos(2 * F.pi() * u2)
     d = d.withColumns({"key": key, "ret": c("ret") + c("sigma") * gauss})
     w = weights.withColumn("sigma", F.explode(grid)).withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(seeds)))).withColumn("key", key)

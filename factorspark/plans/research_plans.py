@@ -359,10 +359,28 @@ def e11(t):
     return rounded(E.random_control(f, 150, 3, real, score=mix), sharpe_mean=6, sharpe_p50=6, sharpe_p95=6, sharpe_max=6, percentile=9, p_value=9)
 
 
-@query("e12_noise_neighbourhood")
+SIGMAS = [0.005, 0.01, 0.02, 0.05, 0.10, 0.20]
+NOISE_SQL = "((seed * 7919 + CAST(i AS BIGINT) * 104729 + ascii(industry) * 1299709 + length(industry) * 15485863 + CAST(round(sigma * 1000) AS BIGINT) * 611953) * 48271) % 2147483647"
+
+
+@query("e12_noise_neighbourhood", f"""WITH k AS (SELECT sigma, seed FROM (SELECT unnest({SIGMAS})::DOUBLE AS sigma), (SELECT CAST(unnest(generate_series(1, 5)) AS BIGINT) AS seed)),
+    m AS (SELECT sigma, seed, date, industry, ret, {NOISE_SQL} AS m1 FROM f_sector, k WHERE ret IS NOT NULL),
+    x AS (SELECT sigma, seed, date, industry, ret + sigma * sqrt(-2 * ln((m1 + 1) / CAST(2147483648 AS DOUBLE))) * cos(2 * pi() * (((m1 * 48271 + 11) % 2147483647) / CAST(2147483648 AS DOUBLE))) AS ret FROM m),
+    d AS (SELECT r.date, max(t.date) AS sd FROM (SELECT DISTINCT date FROM x) AS r JOIN (SELECT DISTINCT date FROM f_targets) AS t ON t.date < r.date GROUP BY r.date),
+    n AS (SELECT k.sigma, k.seed, d.date, sum(h.weight * coalesce(x.ret, 0)) AS ret FROM d JOIN f_targets AS h ON h.date = d.sd CROSS JOIN k
+      LEFT JOIN x ON x.sigma = k.sigma AND x.seed = k.seed AND x.date = d.date AND x.industry = h.industry GROUP BY 1, 2, 3),
+    v AS (SELECT *, exp(sum(ln(1 + ret)) OVER (PARTITION BY sigma, seed ORDER BY date ROWS UNBOUNDED PRECEDING)) AS nav FROM n),
+    q AS (SELECT *, nav / lag(nav) OVER (PARTITION BY sigma, seed ORDER BY date) - 1 AS rr, nav / max(nav) OVER (PARTITION BY sigma, seed ORDER BY date ROWS UNBOUNDED PRECEDING) - 1 AS dd FROM v),
+    p AS (SELECT sigma, seed, arg_max(nav, date) / arg_min(nav, date) - 1 AS total, avg(rr) / stddev_pop(rr) * sqrt(CAST(252 AS DOUBLE)) AS sharpe, min(dd) AS mdd FROM q GROUP BY 1, 2)
+    SELECT sigma, count(*) AS n_seed, {', '.join(f"{R(f'quantile_cont({x}, {z})', 6)} AS {x}_p{int(z * 100)}" for x in ('total', 'sharpe', 'mdd') for z in (0.05, 0.5, 0.95))} FROM p GROUP BY sigma""")
 def e12(t):
     f = sector_table(t)
-    return E.noise_neighbourhood(f.select("date", c("industry").alias("member"), "ret").filter(c("ret").isNotNull()), sector_weights(t, f).drop("key"), [0.005, 0.01, 0.02, 0.05, 0.10, 0.20], 5)
+    ind = F.ascii("member").cast("bigint") * 1299709 + F.length("member").cast("bigint") * 15485863
+    m1 = ((c("seed").cast("bigint") * 7919 + c("i").cast("bigint") * 104729 + ind + F.round(c("sigma") * 1000).cast("bigint") * 611953) * 48271) % 2147483647
+    u1, u2 = ((x + 1) / F.lit(2147483648.0) if k == 0 else x / F.lit(2147483648.0) for k, x in enumerate((m1, (m1 * 48271 + 11) % 2147483647)))
+    returns = f.select("date", "i", c("industry").alias("member"), "ret").filter(c("ret").isNotNull())
+    out = E.noise_neighbourhood(returns, sector_weights(t, f).drop("key"), SIGMAS, 5, uniforms=(u1, u2))
+    return rounded(out, **{x: 6 for x in out.columns if x not in ("sigma", "n_seed")})
 
 
 @query("a23_latest_factors", """SELECT code, round(c0, 2) AS close, round(c0 / c20 - 1, 4) AS mom_20, round(c0 / c60 - 1, 4) AS mom_60, round(sd * sqrt(CAST(252 AS DOUBLE)), 4) AS vol_20 FROM (

@@ -20,7 +20,7 @@ def con():
 
 
 def test_every_query_has_an_oracle_but_the_random_ones():
-    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"e12_noise_neighbourhood", "e13_walk_forward_score"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"e13_walk_forward_score"}
     assert set(catalog.QUERIES) <= set(entry.queries())
     assert not set(entry.oracle_sql()) - set(entry.queries())
 
