@@ -170,8 +170,9 @@ class Encoder:
                 if node is None:
                     break
                 e += 1
-                if e not in dead and INNER in node:
-                    fits.append((e, node[INNER]))
+                t = node.get(INNER)
+                if t is not None and e not in dead:
+                    fits.append((e, t))
             else:
                 if c_last in node and LAST in node[c_last]:
                     fits.append((n, node[c_last][LAST]))
@@ -222,7 +223,11 @@ class Encoder:
                 at = m.end()
             got = b"".join([*parts, self._plain(chunk[at:])])
         else:
-            got = self._plain(chunk)
+            return self._kept(chunk)
+        return got
+
+    def _kept(self, chunk: str) -> bytes:
+        got = self._plain(chunk)
         if len(chunk) <= 64 and len(self.chunks) < self.kept // 4:
             self.chunks[chunk] = got
         return got
@@ -246,7 +251,8 @@ class Encoder:
         lists = pc.utf8_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         chunks = lists.flatten().dictionary_encode()
-        get, more = self.chunks.get, self._chunk
+        special = any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.a.special)
+        get, more = self.chunks.get, self._chunk if special else self._kept
         parts = [(get(c) or more(c)) if c else b"" for c in chunks.dictionary.to_pylist()]
         size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         ids, first = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(size) - size
