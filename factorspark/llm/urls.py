@@ -12,6 +12,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factorspark.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["url_length", "host_length", "path_length", "path_depth", "host_depth", "digit_ratio", "host_digit_ratio", "letter_ratio",
             "hyphens", "parameters", "has_fragment", "is_secure", "host_entropy", "url_entropy", "longest_label", "suffix_rate",
@@ -99,22 +101,32 @@ def with_features(df: DataFrame, model: Model, url: str = "url") -> DataFrame:
     return df.withColumns({"suffix_rate": F.coalesce("suffix_rate", F.lit(model.rate)), "suffix_share": F.coalesce("suffix_share", F.lit(0.0))})
 
 
+def training_urls(labelled: DataFrame, url: str = "url", label: str = "rule_verdict", rows: int = 20_000) -> DataFrame:
+    """The ``rows`` distinct labelled URLs with the smallest hashes (all, if fewer) with host, path and label, written once.
+
+    A hash limit from the estimated number of distinct URLs leaves somewhat more than ``rows`` to the exact cut, so copies of
+    a URL neither count nor cost.
+    """
+    known = labelled.where(F.col(label).isin("allow", "block") & F.col(url).isNotNull())
+    distinct = known.agg(F.approx_count_distinct(url, 0.02)).first()[0]
+    order = F.xxhash64(url).bitwiseAND(F.lit((1 << 40) - 1))
+    known = known.where(order < F.lit(int((1 << 40) * min(1.0, (1.3 * rows + 200) / max(distinct, 1)))))
+    return materialize(known.groupBy(url, "host", "path").agg(F.max(label).alias(label)).orderBy(order, url).limit(rows), "urls")
+
+
 def train(labelled: DataFrame, url: str = "url", label: str = "rule_verdict", rows: int = 20_000, iterations: int = 12, depth: int = 4,
           seed: int = 3) -> Model:
-    """Fit on at most about ``rows`` distinct labelled URLs, those with the smallest hashes; labels are ``allow`` and ``block``.
+    """Fit on at most ``rows`` distinct labelled URLs (see ``training_urls``); labels are ``allow`` and ``block``.
 
     Without labels, or with one label only, there are no trees and the more frequent label is the verdict (``allow`` if there
     is none).
     """
-    known = labelled.where(F.col(label).isin("allow", "block") & F.col(url).isNotNull())
-    total, blocked = known.agg(F.count("*"), F.count(F.when(F.col(label) == "block", 1))).first()
+    known = training_urls(labelled, url, label, rows)
+    total, blocked = known.agg(F.count("*"), F.count_if(F.col(label) == "block")).first()
     rate = blocked / total if total else 0.0
-    order = F.xxhash64(url).bitwiseAND(F.lit((1 << 40) - 1))
-    known = known.where(order < F.lit(int((1 << 40) * min(1.0, 1.1 * rows / max(total, 1)))))
-    known = known.groupBy(url, "host", "path").agg(F.max(label).alias(label)).orderBy(order, url).limit(rows)
     known = known.withColumn("label", (F.col(label) == "block").cast("double"))
     by_suffix = known.groupBy(F.element_at(F.split("host", r"\."), -1).alias("suffix")).agg(
-        ((F.sum("label") + 2 * rate) / (F.count("*") + 2)).alias("suffix_rate"), (F.count("*") / F.lit(float(max(1, min(rows, total))))).alias("suffix_share"))
+        ((F.sum("label") + 2 * rate) / (F.count("*") + 2)).alias("suffix_rate"), (F.count("*") / F.lit(float(max(1, total)))).alias("suffix_share"))
     model = Model(None, by_suffix, rate)
     if 0 < blocked < total:
         sample = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(known, model, url)).select("features", "label")
@@ -125,8 +137,8 @@ def train(labelled: DataFrame, url: str = "url", label: str = "rule_verdict", ro
 
 def verdicts(urls: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict``: the rule's, else the trees', which learn from the URLs that
-    rules judge. A null URL has no host and is judged by its features alone. Columns of the input with these names are
-    replaced."""
+    rules judge. A null URL has no host and is judged by its features alone. Repeated rows and null keys keep their rows, an
+    empty table gives none. Columns of the input with these names are replaced."""
     keep = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
     df = judged(urls.select(*keep), rules, url)
     model = train(df.select(url, "host", "path", "rule_verdict"), url)

@@ -126,6 +126,16 @@ def test_trees_learn_the_lexical_rule(spark):
     assert wrong == 0
 
 
+def test_copies_of_a_url_do_not_shrink_the_sample(spark):
+    copies = spark.range(60_000).select(urls.F.lit("http://a.com/one").alias("url"), urls.F.lit("allow").alias("rule_verdict"))
+    others = spark.range(500).selectExpr("concat('http://b', id % 9, '.net/p', id) url", "if(id % 3 = 0, 'block', 'allow') rule_verdict")
+    df = copies.union(others).withColumns({"host": urls.F.lit("h"), "path": urls.F.lit("/")})
+    for rows, want in ((200, 200), (20_000, 501)):
+        got = urls.training_urls(df, rows=rows)
+        assert got.count() == got.select("url").distinct().count() == want
+    assert {r[0] for r in urls.training_urls(df, rows=200).select("rule_verdict").distinct().collect()} == {"allow", "block"}
+
+
 def test_url_plan_is_native(spark):
     plan = queries.QUERIES["op5_url_filter"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
