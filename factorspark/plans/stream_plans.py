@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from factorspark.plans.data_plans import day
 from factorspark.plans.registry import R, query, rounded
+from factorspark.session import materialize
 from factorspark.sources.tables import Tables
 from factorspark.streaming import jobs as J
 
@@ -18,8 +19,8 @@ def ticks(t):
     return s.select(Tables.user_code().alias("code"), "ts", c("event_id").alias("seq"), "value")
 
 
-def staged(t, df, path, cuts):
-    """Write bars as files in date order, cut by cut, as they would arrive."""
+def staged(t, df, path, cuts, arrived=lambda: None):
+    """Write bars as files in date order, cut by cut, as they would arrive; ``arrived`` is called after each cut."""
     lo = None
     for hi in [*cuts, None]:
         part = df
@@ -28,6 +29,7 @@ def staged(t, df, path, cuts):
         if hi is not None:
             part = part.filter(c("date") < day(hi))
         part.repartitionByRange("date").write.mode("append").parquet(path)
+        arrived()
         lo = hi
 
 
@@ -87,10 +89,12 @@ def x3(t):
 
 @query("x4_limit_streak", "SELECT code, date, close, CAST(limit_up AS BIGINT) AS limit_up, limit_count, m3, m5, m10 FROM f_zt")
 def x4(t):
-    src, sink, ck = J.work_paths(t.spark, "streak")
-    b = t.ubars.select("code", "date", "close")
-    staged(t, b, src, ["2024-01-09", "2024-01-20"])
-    return J.run_to_files(J.limit_streak(J.file_stream(t.spark, src, b.schema)), sink, ck)
+    """The stream runs after each cut and takes it whole: the files of a cut have no order, the cuts have."""
+    src, root, ck = J.work_paths(t.spark, "streak")
+    b = materialize(t.ubars.select("code", "date", "close"), "bars")
+    staged(t, b, src, ["2024-01-09", "2024-01-20"],
+           lambda: J.finish(J.limit_streak(J.file_stream(t.spark, src, b.schema, per_trigger=None), root, ck)))
+    return J.read_streaks(t.spark, root)
 
 
 @query("x5_drop_ledger", """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN k = '9' THEN 'other' WHEN k IN ('5', '3') THEN 'short_format' WHEN k = '8' THEN 'unknown_code' WHEN k = '7' OR close <= 0 OR open <= 0 THEN 'parse_error' END AS reason

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from factorspark.functions import columns as C
 from factorspark.session import shared_dir
 from factorspark.sources import ingest as G
+from factorspark.sources.store import remove_folder
 
 c = F.col
 
@@ -162,37 +160,55 @@ def accept_closed(spark: SparkSession, schema, calendar: DataFrame, now: str, ro
 
 
 STREAK_OUT = "code string, date date, close double, limit_up long, limit_count long, m3 long, m5 long, m10 long"
-STREAK_STATE = "last_date string, last_close double, streak long, flags array<long>"
-
-
-def limit_streak(bars: DataFrame) -> DataFrame:
-    """Limit-up flag, run length and counts per code as keyed state. State per code is its last close, its
-    run and its last ten flags; rows not after the last seen date are ignored."""
-    b = bars.select("code", "date", "close", C.limit_threshold(c("code")).alias("threshold"))
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_date, last_close, streak, flags = state.get if state.exists else (None, None, 0, [])
-        rows = pd.concat(list(frames)).sort_values("date").drop_duplicates("date")
-        if last_date is not None:
-            rows = rows[rows["date"].astype(str) > last_date]
-        if rows.empty:
-            return
-        close = rows["close"].to_numpy(float)
-        before = np.concatenate([[np.nan if last_close is None else last_close], close[:-1]])
-        limit = np.round((before * (1 + rows["threshold"].to_numpy(float) / 100) + 1e-9) * 100) / 100
-        up = (close >= limit - 0.001).astype(int)  # false against the missing first close
-        at = np.arange(len(up))
-        opened = np.maximum.accumulate(np.where(up == 0, at, -1))  # the last row without the flag; -1: the run came in
-        run = np.where(opened < 0, streak + at + 1, at - opened)
-        known = np.concatenate([flags, up]).astype(int)
-        total = np.concatenate([[0], known.cumsum()])
-        end = len(flags) + at + 1
-        count = {n: total[end] - total[np.maximum(end - n, 0)] for n in (3, 5, 10)}
-        state.update((str(rows["date"].iloc[-1]), float(close[-1]), int(run[-1]), known[-10:].tolist()))
-        yield pd.DataFrame({"code": key[0], "date": rows["date"], "close": close, "limit_up": up, "limit_count": run, "m3": count[3],
-                            "m5": count[5], "m10": count[10]})
-
-    return b.groupBy("code").applyInPandasWithState(step, STREAK_OUT, STREAK_STATE, "append", GroupStateTimeout.NoTimeout)
+STREAK_ROWS = f"{STREAK_OUT}, day date, flags array<long>, batch long, kind string"
+
+
+def limit_streak(bars: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Limit-up flag, run length and counts per code with keyed state. State per code is its last date, its last close, its run
+    and its last ten flags (latest first); rows not after the last seen date are ignored, so bars come in batches by date. A row
+    without a date counts as the last of its batch; of several rows of a code and date the least close counts.
+
+    Under ``root`` a batch N writes its rows (``batch=N/kind=bar``) and the state of all codes after it (``batch=N/kind=state``).
+    The state joins the batch as a row before the code's own, so one shuffle serves both. A replayed batch reads the state of
+    the batch before it and overwrites its own folder; older states are removed.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        close = F.nanvl(c("close").cast("double"), F.lit(None).cast("double"))
+        rows = batch.groupBy("code", "date").agg(F.min(close).alias("close")).withColumns(
+            {"new": F.lit(1), "limit_count": F.lit(None).cast("long"), "flags": F.lit(None).cast("array<long>")})
+        if batch_id:
+            before = spark.read.schema(STREAK_ROWS).parquet(root).filter((c("batch") == batch_id - 1) & (c("kind") == "state"))
+            rows = rows.unionByName(before.select("code", c("day").alias("date"), "close", F.lit(0).alias("new"), "limit_count", "flags"))
+        w = Window.partitionBy("code").orderBy("new", c("date").asc_nulls_last())
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({
+            "seen": F.first(F.when(c("new") == 0, c("date"))).over(so_far), "run": F.coalesce(F.first("limit_count").over(so_far), F.lit(0)),
+            "earlier": F.coalesce(F.first("flags").over(so_far), F.array().cast("array<long>"))})
+        rows = rows.filter((c("new") == 0) | c("seen").isNull() | c("date").isNull() | (c("date") > c("seen")))
+        limit = F.rint((F.lag("close").over(w) * (1 + C.limit_threshold(c("code")) / 100) + 1e-9) * 100) / 100
+        rows = rows.withColumns({
+            "at": F.sum("new").over(so_far), "day": F.max("date").over(so_far), "last": F.lead("new").over(w).isNull(),
+            "limit_up": F.when(c("new") == 1, F.coalesce(c("close") >= limit - 0.001, F.lit(False)).cast("long"))})
+        opened = F.max(F.when(c("limit_up") == 0, c("at"))).over(so_far)  # the last row without the flag; null: the run came in
+        ups = lambda n: F.slice("earlier", 1, F.greatest(n - c("at"), F.lit(0)).cast("int"))
+        count = lambda n: F.aggregate(ups(n), F.coalesce(F.sum("limit_up").over(w.rowsBetween(1 - n, 0)), F.lit(0)), lambda a, x: a + x)
+        own = F.reverse(F.collect_list("limit_up").over(w.rowsBetween(-9, 0)))
+        rows = rows.withColumns({
+            "limit_count": F.coalesce(c("at") - opened, c("run") + c("at")), **{f"m{n}": count(n) for n in (3, 5, 10)},
+            "flags": F.when(c("last"), F.slice(F.concat(own, c("earlier")), 1, 10))})
+        kinds = F.array_compact(F.array(F.when(c("new") == 1, F.lit("bar")), F.when(c("last"), F.lit("state"))))
+        rows.select("code", "date", "close", "limit_up", "limit_count", "m3", "m5", "m10", "day", "flags", F.explode(kinds).alias("kind")).write.mode(
+            "overwrite").partitionBy("kind").parquet(f"{root}/batch={batch_id}")
+        remove_folder(spark, f"{root}/batch={batch_id - 2}/kind=state")
+
+    return bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_streaks(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all batches."""
+    rows = spark.read.schema(STREAK_ROWS).parquet(root).filter(c("kind") == "bar")
+    return rows.select("code", "date", "close", "limit_up", "limit_count", "m3", "m5", "m10")
 
 
 def drop_ledger(lines: DataFrame, symbols: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
@@ -208,8 +224,11 @@ def read_ledger(spark: SparkSession, sink: str) -> DataFrame:
     return d.groupBy("reason").agg(F.sum("n").alias("n"))
 
 
-def file_stream(spark: SparkSession, path: str, schema, per_trigger: int = 1, glob: str | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger)
+def file_stream(spark: SparkSession, path: str, schema, per_trigger: int | None = 1, glob: str | None = None) -> DataFrame:
+    """``per_trigger`` files make a batch, in no order among files written together; None: all that are there."""
+    r = spark.readStream.schema(schema)
+    if per_trigger is not None:
+        r = r.option("maxFilesPerTrigger", per_trigger)
     if glob is not None:
         r = r.option("pathGlobFilter", glob)
     return r.parquet(path)

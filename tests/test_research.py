@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factorspark.functions import windows as W
 from factorspark.operators import joins as J
+from factorspark.operators import limits as L
 from factorspark.operators import reconcile as RC
 from factorspark.operators import research as E
 from factorspark.operators import stocks as K
@@ -174,6 +175,52 @@ def test_stream_bars_lose_no_late_tick(spark, tmp_path, span):
     assert S.read_bars(spark, f"{tmp_path}/sink").count() == len(want) - 1
 
 
+def test_stream_limit_streak_equals_its_batch_form_over_cuts(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    d = days(40)
+    rows = []
+    for code in ("600001", "300002", "830003", None):
+        close = 10.0
+        for i, x in enumerate(d):
+            up = {"600001": 1.1, "300002": 1.2, "830003": 1.3, None: 1.1}[code]
+            close = round(close * (up if rng.random() < 0.7 or 8 <= i < 25 else 0.6), 2)  # one run spans the cuts
+            if code != "300002" or not 12 <= i < 22:  # idle in the middle cut
+                rows.append((code, x, None if (code, i) == ("830003", 30) else close))
+    bars = spark.createDataFrame(rows, "code string, date date, close double")
+    src, root, ck = (f"{tmp_path}/{x}" for x in ("src", "root", "ck"))
+    run = lambda: S.finish(S.limit_streak(S.file_stream(spark, src, bars.schema, per_trigger=None), root, ck))
+    for lo, hi in ((0, 12), (12, 22), (22, 40)):
+        for x in reversed(d[lo:hi]):  # the files of a cut are there before it runs, in no order
+            bars.filter(c("date") == x).coalesce(1).write.mode("append").parquet(src)
+        run()
+    columns = ["code", "date", "close", "limit_up", "limit_count", "m3", "m5", "m10"]
+    got = lambda: sorted(map(tuple, S.read_streaks(spark, root).select(*columns).collect()), key=str)
+    want = sorted(map(tuple, L.limit_up_daily(bars).select(*columns).collect()), key=str)
+    assert got() == want and max(r[4] for r in want) > 12
+    assert spark.read.parquet(f"{root}/batch=1/kind=state").count() == 4 and not (tmp_path / "root/batch=0/kind=state").exists()
+    (tmp_path / "ck/commits/2").unlink()
+    (tmp_path / "ck/commits/.2.crc").unlink(missing_ok=True)
+    run()  # the last batch again
+    assert got() == want
+    # Days that were seen already are ignored.
+    bars.filter(c("date") == d[20]).withColumn("close", c("close") * 2).coalesce(1).write.mode("append").parquet(src)
+    run()
+    assert got() == want
+
+
+def test_stream_limit_streak_calls_no_python(spark, tmp_path, monkeypatch):
+    """Ten thousand codes took a Python call each in every batch."""
+    def fail(*_, **__):
+        raise AssertionError("a Python function per key")
+
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandasWithState", fail)
+    src, root, ck = (f"{tmp_path}/{x}" for x in ("src", "root", "ck"))
+    bars = spark.range(10_000).select(F.format_string("60%06d", "id").alias("code"), F.lit(days(1)[0]).alias("date"), F.lit(10.0).alias("close"))
+    bars.write.parquet(src)
+    S.finish(S.limit_streak(S.file_stream(spark, src, bars.schema, per_trigger=None), root, ck))
+    assert S.read_streaks(spark, root).agg(F.count("*"), F.sum("limit_up"), F.sum("m10")).first() == (10_000, 0, 0)
+
+
 def test_reconcile_strips_volatile_keys_everywhere(spark):
     deep = '{"a":{"b":{"c":{"d":{"e":{"run_id":"%s","x":1}}}}},"list":[{"generated_at":"%s","y":2},3],"label":"%s","nav":%s}'
     rows = lambda run, label, nav: [("d", v, days(1)[0], deep % (run, run, lb, n)) for v, lb, n in (("same", "1.5", "1.0"), ("text", label, "1.0"), ("kpi", "1.5", nav))]
