@@ -372,3 +372,29 @@ def test_rows_without_a_key_are_no_duplicates(spark):
     rows = [("2025-01-02", "a", 1), ("2025-01-02", "a", 2), ("2025-01-02", None, 1), ("2025-01-02", None, 1), (None, "a", 1)]
     df = spark.createDataFrame(rows, "date string, code string, n int")
     assert {r[0]: r[1] for r in audit_events(df, ["date", "code"], ["date", "code", "n"]).collect()} == {"duplicate_key": 1, "missing_key": 3, "unknown_columns": 0}
+
+
+@pytest.mark.parametrize("name", ["w29_walk_forward_blocks", "j9_block_roles", "e13b_stored_models"])
+def test_walk_forward_queries_read_the_lines_once_for_each_table(spark, monkeypatch, name):
+    """Bars and calendar are written once; before, the raw rows were read again for features, labels and each use of the calendar."""
+    from factorspark.plans import research_plans as P
+    from factorspark.sources.tables import Tables
+
+    n = 3 * 366
+    lines = spark.range(6 * n).select(
+        c("id").alias("l_orderkey"), (c("id") % 3).alias("l_partkey"), F.lit(1).alias("l_linenumber"), (c("id") % 50 + 1).cast("double").alias("l_quantity"),
+        F.date_add(F.lit("1995-01-01"), (c("id") % n).cast("int")).alias("l_shipdate"))
+    part = spark.range(3).select(c("id").alias("p_partkey"), F.format_string("Brand#1%d", "id").alias("p_brand"), F.lit("T").alias("p_type"), (c("id") + 900.5).alias("p_retailprice"))
+    read, kept = [], []
+    monkeypatch.setattr(Tables, "raw", lambda self, t: read.append(t) or {"lineitem": lines, "part": part}[t])
+    settle = Tables.settled
+    monkeypatch.setattr(Tables, "settled", lambda self, *x: kept.extend(y for y in x if y not in self._settled) or settle(self, *x))
+    # Small blocks of work: the query's plan is what counts, not its models.
+    monkeypatch.setattr(P.E, "walk_forward_score", lambda f, lab, days, blocks, *_, **__: f.select("code", "date", F.lit(0).alias("block"), F.lit(0.0).alias("score")))
+    t = Tables(spark, "unused")
+    fn = {"w29_walk_forward_blocks": P.w29, "j9_block_roles": P.j9, "e13b_stored_models": P.e13b}[name]
+    out = fn(t)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan and out.count() > 0
+    assert kept == (["bars", "calendar"] if name.startswith("e13b") else ["calendar"])
+    assert read.count("lineitem") == len(kept)
